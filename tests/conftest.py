@@ -22,3 +22,30 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def plan_of():
+    """Physical plan text of a DataFrame, as ``explain`` prints it."""
+
+    def read(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    return read
+
+
+@pytest.fixture
+def conf(spark):
+    """Set session options for one test."""
+    before = {}
+
+    def change(name, value):
+        before.setdefault(name, spark.conf.get(name, None))
+        spark.conf.set(name, value)
+
+    yield change
+    for name, value in before.items():
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)

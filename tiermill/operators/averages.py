@@ -9,20 +9,47 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.functions.numbers import average_parts, exact_average, exact_total, plain_average
+from tiermill.functions.numbers import average_parts, exact_average, exact_total, plain_average, scaled
 from tiermill.operators.joins import Columns, enrich, key_of, named, pick
 
 RunTime = Column | datetime.datetime | None
 
 
-def _stamped(averages: list[Column], stamp: str | None, run_ts: RunTime) -> list[Column]:
-    if stamp is None:
-        return averages
+def _outputs(measures: Columns) -> dict[str, str]:
+    """Output name -> column; a plain name ``x`` is reported as ``avg_x``."""
+    if isinstance(measures, Mapping):
+        return dict(measures)
+    return {f"avg_{name}": name for name in measures}
+
+
+def _quoted(name: str) -> str:
+    return f"`{name}`"
+
+
+def _stamp(name: str | None, run_ts: RunTime) -> list[Column]:
+    if name is None:
+        return []
     if run_ts is None:
         run_ts = F.current_timestamp()
     elif isinstance(run_ts, datetime.datetime):
         run_ts = F.lit(run_ts)
-    return [*averages, run_ts.alias(stamp)]
+    return [run_ts.alias(name)]
+
+
+def _with_scaled(df: DataFrame, values: Sequence[str], exact_scale: int | None) -> DataFrame:
+    if exact_scale is None:
+        return df
+    return df.selectExpr("*", *[f"{scaled(x, exact_scale)} AS {x}_scaled" for x in values])
+
+
+def _finish(
+    parts: DataFrame, keys: Sequence[str], names: Mapping[str, str], digits: int, exact_scale: int | None
+) -> list[Column]:
+    """Keys and rounded averages from merged parts; ``names`` maps internal to output names."""
+    rounded = {
+        x: plain_average(x, digits) if exact_scale is None else exact_average(x, digits, exact_scale) for x in names
+    }
+    return [parts[_quoted(k)] for k in keys] + [F.expr(rounded[x]).alias(name) for x, name in names.items()]
 
 
 def group_averages(
@@ -42,26 +69,14 @@ def group_averages(
     taken over integers and the result is the same in any order. ``stamp`` names the time column (None leaves it out),
     ``run_ts`` replaces the clock. Works on a stream too, then in update or complete mode.
     """
-    measures = _outputs(measures)
-    inputs = [F.col(source).cast("double") for source in measures.values()]
-    if exact_scale is None:
-        rounded = [F.round(F.avg(x), digits).alias(name) for name, x in zip(measures, inputs)]
-        return df.groupBy(*keys).agg(*_stamped(rounded, stamp, run_ts))
-    parts = [part for i, x in enumerate(inputs) for part in average_parts(x, f"__{i}_", exact_scale)]
-    averages = [
-        exact_average(
-            exact_total(f"__{i}_"), F.col(f"__{i}_n"), F.col(f"__{i}_inexact"), F.col(f"__{i}_sum"), digits, exact_scale
-        ).alias(name)
-        for i, name in enumerate(measures)
-    ]
-    return df.groupBy(*keys).agg(*parts).select(*keys, *_stamped(averages, stamp, run_ts))
-
-
-def _outputs(measures: Columns) -> dict[str, str]:
-    """Output name -> column; a plain name ``x`` is reported as ``avg_x``."""
-    if isinstance(measures, Mapping):
-        return dict(measures)
-    return {f"avg_{name}": name for name in measures}
+    names = {f"__m{i}": name for i, name in enumerate(_outputs(measures))}
+    casts = [f"CAST({_quoted(source)} AS DOUBLE) AS {x}" for x, source in zip(names, _outputs(measures).values())]
+    rows = _with_scaled(df.selectExpr(*map(_quoted, keys), *casts), list(names), exact_scale)
+    parts = [F.expr(part) for x in names for part in average_parts(x, exact_scale)]
+    grouped = rows.groupBy(*map(_quoted, keys)).agg(*parts)
+    if exact_scale is not None:
+        grouped = grouped.selectExpr("*", *map(exact_total, names))
+    return grouped.select(*_finish(grouped, keys, names, digits, exact_scale), *_stamp(stamp, run_ts))
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -80,23 +95,25 @@ def _reduced(
     on: str,
     key_type: str | None,
     keys: Columns,
-    measures: dict[str, str],
+    sources: Mapping[str, str],
     exact_scale: int | None,
 ) -> DataFrame:
     """One row per (join key, group keys): how many rows it stands for and the parts of each average."""
-    key = key_of(side, on, key_type)
-    rows = df.alias(side).filter(key.isNotNull()).select(
-        key.alias(f"__{side}_on"),
-        *pick(side, keys),
-        *[F.col(f"{side}.`{source}`").cast("double").alias(f"__{name}") for name, source in measures.items()],
-    )
-    parts = [F.count(F.lit(1)).alias(f"__{side}_rows")]
-    for name in measures:
-        parts += average_parts(F.col(f"__{name}"), f"__{name}_", exact_scale)
-    reduced = rows.groupBy(f"__{side}_on", *named(keys)).agg(*parts)
+    key = key_of(side, on, key_type).alias(f"__{side}_on")
+    values = [F.col(f"{side}.`{source}`").cast("double").alias(x) for x, source in sources.items()]
+    rows = df.alias(side).select(key, *pick(side, keys), *values).filter(f"__{side}_on IS NOT NULL")
+    rows = _with_scaled(rows, list(sources), exact_scale)
+    parts = [f"count(1) AS __{side}_rows"] + [part for x in sources for part in average_parts(x, exact_scale)]
+    reduced = rows.groupBy(f"__{side}_on", *map(_quoted, named(keys))).agg(*map(F.expr, parts))
+    return reduced if exact_scale is None else reduced.selectExpr("*", *map(exact_total, sources))
+
+
+def _merged(x: str, weight: str, exact_scale: int | None) -> list[str]:
+    """Parts of ``x`` over joined reduced rows: each counts as often as the other side has rows for it."""
+    merged = [f"sum({x}_n * {weight}) AS {x}_n", f"sum({x}_sum * {weight}) AS {x}_sum"]
     if exact_scale is not None:
-        reduced = reduced.withColumns({f"__{name}_total": exact_total(f"__{name}_") for name in measures})
-    return reduced
+        merged += [f"sum({x}_total * {weight}) AS {x}_total", f"max({x}_inexact) AS {x}_inexact"]
+    return merged
 
 
 def enriched_averages(
@@ -116,54 +133,35 @@ def enriched_averages(
 ) -> DataFrame:
     """``group_averages`` of ``enrich``: each joined row counts once, however often a key repeats.
 
-    A dimension small enough to broadcast is joined to the raw facts, which then never shuffle. Otherwise both
-    sides are first reduced to one row per (join key, group keys), holding a row count and partial sums, and
-    the reduced rows are joined with each side's sums weighted by the other side's count. Then only reduced rows
-    are shuffled by join key: a key that holds a third of all facts is as small as any other, and repeated
-    keys on both sides never multiply out. ``reduce_first`` overrides the choice. Column names of both sides'
-    keys and measures must differ in the output.
+    A dimension small enough to broadcast is joined to the raw facts, which then never shuffle; facts may be
+    a stream, and a stream is always joined this way. Otherwise both sides are first reduced to one row per (join
+    key, group keys), holding a row count and partial sums, and the reduced rows are joined with each side's
+    sums weighted by the other side's count. Then only reduced rows are shuffled by join key: a key that holds
+    a third of all facts is as small as any other, and keys repeated on both sides never multiply out.
+    ``reduce_first`` overrides the choice. The output names of all keys and measures must differ.
     """
     fact_measures, dimension_measures = _outputs(fact_measures), _outputs(dimension_measures)
     keys = [*named(fact_keys), *named(dimension_keys)]
+    fact_sources = {f"__f{i}": source for i, source in enumerate(fact_measures.values())}
+    dimension_sources = {f"__d{i}": source for i, source in enumerate(dimension_measures.values())}
+    names = dict(zip([*fact_sources, *dimension_sources], [*fact_measures, *dimension_measures]))
     if reduce_first is None:
         used = {on[1], *named(dimension_keys).values(), *dimension_measures.values()}
-        reduce_first = not fits_broadcast(dimension.select(*sorted(used)))
+        reduce_first = not facts.isStreaming and not fits_broadcast(dimension.select(*sorted(used)))
     if not reduce_first:
-        joined = enrich(
-            facts,
-            dimension,
-            on,
-            {**named(fact_keys), **{f"__{name}": source for name, source in fact_measures.items()}},
-            {**named(dimension_keys), **{f"__{name}": source for name, source in dimension_measures.items()}},
-            key_type,
-        )
-        measures = {name: f"__{name}" for name in [*fact_measures, *dimension_measures]}
+        fact_columns = {**named(fact_keys), **fact_sources}
+        dimension_columns = {**named(dimension_keys), **dimension_sources}
+        joined = enrich(facts, dimension, on, fact_columns, dimension_columns, key_type)
+        measures = {name: x for x, name in names.items()}
         return group_averages(joined, keys, measures, digits, exact_scale, stamp, run_ts)
 
-    left = _reduced(facts, "fact", on[0], key_type, fact_keys, fact_measures, exact_scale)
-    right = _reduced(dimension, "dim", on[1], key_type, dimension_keys, dimension_measures, exact_scale)
+    left = _reduced(facts, "fact", on[0], key_type, fact_keys, fact_sources, exact_scale)
+    right = _reduced(dimension, "dim", on[1], key_type, dimension_keys, dimension_sources, exact_scale)
     joined = left.join(right, F.col("__fact_on") == F.col("__dim_on"), "inner")
-
-    merged: list[Column] = []
-    averages: list[Column] = []
-    for names, weight in ((fact_measures, F.col("__dim_rows")), (dimension_measures, F.col("__fact_rows"))):
-        for name in names:
-            n, total, inexact = f"__{name}_n", f"__{name}_sum", f"__{name}_inexact"
-            merged += [F.sum(F.col(n) * weight).alias(n), F.sum(F.col(total) * weight).alias(total)]
-            if exact_scale is None:
-                averages.append(plain_average(F.col(total), F.col(n), digits).alias(name))
-                continue
-            exact = f"__{name}_total"
-            merged += [
-                F.sum(F.col(exact) * weight.cast("decimal(19,0)")).alias(exact),
-                F.max(inexact).alias(inexact),
-            ]
-            averages.append(
-                exact_average(F.col(exact), F.col(n), F.col(inexact), F.col(total), digits, exact_scale).alias(name)
-            )
-    if not merged:
-        return joined.select(*keys).distinct().select(*keys, *_stamped([], stamp, run_ts))
-    return joined.groupBy(*keys).agg(*merged).select(*keys, *_stamped(averages, stamp, run_ts))
+    merged = [part for x in fact_sources for part in _merged(x, "__dim_rows", exact_scale)]
+    merged += [part for x in dimension_sources for part in _merged(x, "__fact_rows", exact_scale)]
+    grouped = joined.groupBy(*map(_quoted, keys)).agg(*map(F.expr, merged))
+    return grouped.select(*_finish(grouped, keys, names, digits, exact_scale), *_stamp(stamp, run_ts))
 
 
 def latest_per_key(history: DataFrame, keys: Sequence[str], order: str = "batch_id") -> DataFrame:

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 # A selection: column names, or output name -> column name.
 Columns = Sequence[str] | Mapping[str, str]
 
+# Second join key of facts that are spread over several copies of the dimension.
+SALT = "__salt"
+
 
 def named(columns: Columns) -> dict[str, str]:
     """A selection as output name -> column name."""
@@ -27,6 +30,16 @@ def key_of(side: str, name: str, key_type: str | None) -> Column:
     return key.cast(key_type) if key_type else key
 
 
+def spread(dimension: DataFrame, copies: int) -> DataFrame:
+    """Each dimension row ``copies`` times, numbered, for facts numbered by ``salted``."""
+    return dimension.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+
+
+def salted(columns: Sequence[str], copies: int) -> Column:
+    """Which copy of the dimension a fact meets. Depends on the data only, so a task that is run again agrees."""
+    return F.pmod(F.xxhash64(*columns), F.lit(copies)).cast("int").alias(SALT)
+
+
 def enrich(
     facts: DataFrame,
     dimension: DataFrame,
@@ -39,8 +52,11 @@ def enrich(
 
     Facts may be a stream. Null keys match nothing. ``key_type="string"`` compares the keys as text, as
     JSON messages need. Spark broadcasts a side that is under its size limit and sorts and merges
-    otherwise; adaptive execution splits a key that is too large for one task.
+    otherwise; adaptive execution splits a key that is too large for one task. Streams have no adaptive
+    execution: there, facts with a ``salted`` number and a ``spread`` dimension divide every key evenly.
     """
     condition = key_of("fact", on[0], key_type) == key_of("dim", on[1], key_type)
+    if SALT in dimension.columns:
+        condition = condition & (F.col(f"fact.{SALT}") == F.col(f"dim.{SALT}"))
     joined = facts.alias("fact").join(dimension.alias("dim"), condition, "inner")
     return joined.select(*pick("fact", fact_columns), *pick("dim", dimension_columns))

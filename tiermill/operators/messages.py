@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tiermill.operators.joins import salted
+
 
 def encode(df: DataFrame, key: str | Column) -> DataFrame:
     """One message per row: ``key`` as text, ``value`` the whole row as JSON without its null fields."""
@@ -23,13 +25,20 @@ def string_schema(fields: list[str] | tuple[str, ...]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType(), True) for name in fields])
 
 
-def decode(messages: DataFrame, schema: T.StructType, fields: list[str] | None = None) -> DataFrame:
+def decode(
+    messages: DataFrame, schema: T.StructType, fields: list[str] | None = None, copies: int = 1
+) -> DataFrame:
     """The fields of each message's JSON value, one row per message; a bad value gives a row of nulls.
 
     ``fields`` limits the schema to the fields wanted, so the parser skips the rest. Expanding a one-element
     array (and not ``data.*``) keeps Spark from copying the parse below a later filter on one of the
-    fields, such as the null check of a join key: each message is parsed once.
+    fields, such as the null check of a join key: each message is parsed once. ``copies`` above 1 adds a number
+    below it, taken from the message's offset or else its text, for a join to a dimension ``spread`` that often.
     """
     if fields is not None:
         schema = T.StructType([schema[name] for name in fields])
-    return messages.select(F.inline(F.array(F.from_json(F.col("value").cast("string"), schema))))
+    record = F.inline(F.array(F.from_json(F.col("value").cast("string"), schema)))
+    if copies == 1:
+        return messages.select(record)
+    identity = [name for name in ("topic", "partition", "offset") if name in messages.columns] or ["value"]
+    return messages.select(record, salted(identity, copies))

@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tiermill.operators.averages import RunTime, _outputs, group_averages
-from tiermill.operators.joins import Columns, enrich, named
+from tiermill.operators.averages import RunTime, enriched_averages, fits_broadcast
+from tiermill.operators.joins import SALT, Columns, named, spread
 from tiermill.operators.messages import decode, value_text
 from tiermill.sinks.files import BatchSink
 from tiermill.streaming.delivery import fan_out, start
 
+# Copies of a dimension that is too large to broadcast.
+COPIES = 8
+
 
 def average_messages(
     messages: DataFrame,
@@ -28,36 +31,55 @@ def average_messages(
     exact_scale: int | None = None,
     stamp: str | None = "timestamp",
     run_ts: RunTime = None,
+    copies: int | None = None,
 ) -> DataFrame:
     """Running averages over JSON messages joined to a static dimension table.
 
     Only the message fields in use are parsed. Messages that do not parse, or whose key the dimension lacks,
     are dropped by the join. The groups are the state; it has no expiry, so it grows with the number of
     groups and not with the number of messages.
+
+    A dimension too large to broadcast is joined in ``copies`` copies, each message meeting one of them, so that a
+    key that fills a third of a micro-batch is divided over as many tasks. By default a small dimension is not
+    copied and a large one is copied COPIES times; for one from ``hold_dimension`` pass what it was held with.
     """
-    fact_measures, dimension_measures = _outputs(fact_measures), _outputs(dimension_measures)
-    used = {on[0], *named(fact_keys).values(), *fact_measures.values()}
-    facts = decode(messages, schema, [name for name in schema.names if name in used])
-    joined = enrich(
+    if SALT not in dimension.columns:
+        needed = sorted({on[1], *named(dimension_keys).values(), *named(dimension_measures).values()})
+        dimension = dimension.select(*needed)
+        if copies is None:
+            copies = 1 if fits_broadcast(dimension) else COPIES
+        if copies > 1:
+            dimension = spread(dimension, copies)
+    elif copies is None:
+        raise ValueError("state how many copies of the dimension are held")
+    used = {on[0], *named(fact_keys).values(), *named(fact_measures).values()}
+    facts = decode(messages, schema, [name for name in schema.names if name in used], copies)
+    return enriched_averages(
         facts,
         dimension,
         on,
-        {**named(fact_keys), **{f"__{name}": source for name, source in fact_measures.items()}},
-        {**named(dimension_keys), **{f"__{name}": source for name, source in dimension_measures.items()}},
+        fact_keys,
+        dimension_keys,
+        fact_measures,
+        dimension_measures,
         key_type="string",
+        digits=digits,
+        exact_scale=exact_scale,
+        stamp=stamp,
+        run_ts=run_ts,
     )
-    measures = {name: f"__{name}" for name in [*fact_measures, *dimension_measures]}
-    keys = [*named(fact_keys), *named(dimension_keys)]
-    return group_averages(joined, keys, measures, digits, exact_scale, stamp, run_ts)
 
 
-def hold_dimension(dimension: DataFrame, key: str, partitions: int) -> DataFrame:
-    """Keep a dimension partitioned by its key on the executors, for all micro-batches of a stream.
+def hold_dimension(dimension: DataFrame, key: str, partitions: int, copies: int = COPIES) -> DataFrame:
+    """Keep a large dimension on the executors, spread and partitioned by its key, for all micro-batches.
 
-    A dimension too large to broadcast would otherwise be read and shuffled again for every micro-batch.
-    The copy does not see later changes of the table; it is spilled to disk and rebuilt where an executor is lost.
+    Otherwise it is read and shuffled again for every micro-batch. ``key`` must already be text. Pass the same
+    ``copies`` to ``average_messages``. What is held does not see later changes of the table; it is spilled to
+    disk, and rebuilt where an executor is lost.
     """
-    return dimension.repartition(partitions, key).persist()
+    if copies == 1:
+        return dimension.repartition(partitions, key).persist()
+    return spread(dimension, copies).repartition(partitions, key, SALT).persist()
 
 
 def start_updates(

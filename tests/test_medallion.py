@@ -77,7 +77,7 @@ def test_silver_facts_are_cleaned_and_deduped(spark, lake):
 
 def test_gold_averages_weigh_result_rows(spark, lake):
     gold = read(spark, lake, "gold", "avg_stats")
-    assert gold.columns == ["sport", "medal", "country_noc", "sex", "avg_height", "avg_weight", "timestamp"]
+    assert gold.columns == ["sport", "medal", "sex", "country_noc", "avg_height", "avg_weight", "timestamp"]
     rows = {(r.sport, r.medal, r.sex, r.country_noc): (r.avg_height, r.avg_weight, r.timestamp) for r in gold.collect()}
     assert rows == {
         ("Rowing", "Gold", "Female", "NZL"): (180.0, 70.0, RUN),

@@ -94,7 +94,7 @@ def test_latest_rows_equal_the_batch_answer(spark, topic, bios, expected, tmp_pa
     assert messages.select("key", "value").exceptAll(again).count() == 0
 
 
-def test_restart_goes_on_where_it_stopped(spark, topic, bios, expected, tmp_path, results):
+def test_restart_goes_on_where_it_stopped(spark, topic, bios, expected, tmp_path):
     run(spark, topic, tmp_path / "out", bios)
     assert spark.read.parquet(f"{tmp_path}/out/table").select("batch_id").distinct().count() == 1
     again = run(spark, topic, tmp_path / "out", bios)
@@ -117,7 +117,7 @@ def plan_of_last_batch(query):
     return query._jsq.explainInternal(False)
 
 
-def test_large_dimension_is_spread(spark, topic, bios, expected, tmp_path, conf, monkeypatch):
+def test_large_dimension_is_spread(spark, topic, bios, expected, tmp_path, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     run(spark, topic, tmp_path, bios)
     assert as_dict(latest_per_key(spark.read.parquet(f"{tmp_path}/table"), KEYS)) == expected

@@ -20,6 +20,7 @@ MEASURES = ("height", "weight")
 FACT_KEYS = ("sport", "medal", "country_noc")
 DIMENSION_KEYS = ("sex",)
 OUTPUT_KEY = "sport"
+OUTPUT_COLUMNS = ("sport", "medal", "sex", "country_noc", "avg_height", "avg_weight", "timestamp")
 
 RESULT_SCHEMA = string_schema(RESULT_FIELDS)
 
@@ -31,4 +32,5 @@ REPORT = Report(
     dimension_keys=DIMENSION_KEYS,
     dimension_measures=MEASURES,
     key_type="string",
+    columns=OUTPUT_COLUMNS,
 )

@@ -28,7 +28,7 @@ class Dataset:
 
 @dataclass(frozen=True)
 class Report:
-    """What gold computes from a fact and a dimension dataset."""
+    """What gold computes from a fact and a dimension dataset; ``columns`` sets the order of the output."""
 
     facts: Dataset
     dimension: Dataset
@@ -38,6 +38,7 @@ class Report:
     fact_measures: Columns = ()
     dimension_measures: Columns = ()
     key_type: str | None = None
+    columns: Sequence[str] = ()
     name: str = "avg_stats"
     options: Mapping[str, object] = field(default_factory=dict)
 
@@ -58,7 +59,7 @@ def refine(
 
 def summarise(facts: DataFrame, dimension: DataFrame, report: Report, run_ts: RunTime = None) -> DataFrame:
     """The report's averages over two refined tables."""
-    return enriched_averages(
+    averages = enriched_averages(
         facts,
         dimension,
         report.on,
@@ -70,6 +71,7 @@ def summarise(facts: DataFrame, dimension: DataFrame, report: Report, run_ts: Ru
         run_ts=run_ts,
         **report.options,
     )
+    return averages.select(*report.columns) if report.columns else averages
 
 
 def layer(lake: str, tier: str, name: str) -> str:

@@ -34,11 +34,13 @@ def arguments() -> argparse.ArgumentParser:
             job.add_argument("--landing", required=True, help="folder of the CSV files")
     for name in ("publish", "stream"):
         job = jobs.add_parser(name)
-        job.add_argument("--split", nargs=4, metavar=("COLUMN", "LOWER", "UPPER", "PARTS"), help="read the table in parts")
+        bounds = ("COLUMN", "LOWER", "UPPER", "PARTS")
+        job.add_argument("--split", nargs=4, metavar=bounds, help="read the table in parts")
         if name == "stream":
             job.add_argument("--checkpoint", help="folder from which a restart goes on")
             job.add_argument("--max-per-batch", type=int, help="messages per micro-batch")
-            job.add_argument("--hold", nargs=2, type=int, metavar=("PARTITIONS", "COPIES"), help="keep the bios on the executors")
+            held = ("PARTITIONS", "COPIES")
+            job.add_argument("--hold", nargs=2, type=int, metavar=held, help="keep the bios on the executors")
             job.add_argument("--batch-column", help="column of the output table for the micro-batch number")
     jobs.add_parser("tail").add_argument("--max-per-batch", type=int, help="messages per micro-batch")
     return parser
@@ -63,7 +65,10 @@ def broker(spark: SparkSession) -> TopicConnection:
 def main(argv: list[str] | None = None) -> None:
     args = arguments().parse_args(argv)
     spark = SparkSession.builder.appName(f"athletes-{args.job}").getOrCreate()
-    split = KeyRange(args.split[0], args.split[1], args.split[2], int(args.split[3])) if getattr(args, "split", None) else None
+    split = None
+    if getattr(args, "split", None):
+        column, lower, upper, parts = args.split
+        split = KeyRange(column, lower, upper, int(parts))
     if args.job == "bronze":
         to_bronze(spark, args.landing, args.lake, DATASETS, args.show)
     elif args.job == "silver":

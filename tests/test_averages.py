@@ -18,7 +18,10 @@ def skewed(spark):
     def key():
         return 7 if rng.random() < 0.34 else rng.choice([None, *range(40)])
 
-    facts = [(key(), rng.choice(["a", "b", None]), rng.choice([None, rng.randint(-9999, 9999) / 100])) for _ in range(900)]
+    def value():
+        return rng.choice([None, rng.randint(-9999, 9999) / 100])
+
+    facts = [(key(), rng.choice(["a", "b", None]), value()) for _ in range(900)]
     dims = [(key(), rng.choice(["x", "y"]), rng.randint(0, 9999) / 100) for _ in range(90)]
     return (
         spark.createDataFrame(facts, "k int, g string, v double").repartition(5),
@@ -133,9 +136,8 @@ def test_keys_compared_as_text_or_as_given(spark):
 
 
 def test_latest_per_key(spark):
-    history = spark.createDataFrame(
-        [("a", 1.0, 0), ("a", None, 2), ("b", 5.0, 1), (None, 7.0, 0), ("a", 3.0, 1)], "k string, x double, batch_id int"
-    )
+    written = [("a", 1.0, 0), ("a", None, 2), ("b", 5.0, 1), (None, 7.0, 0), ("a", 3.0, 1)]
+    history = spark.createDataFrame(written, "k string, x double, batch_id int")
     rows = {r.k: (r.x, r.batch_id) for r in latest_per_key(history, ["k"]).collect()}
     assert rows == {"a": (None, 2), "b": (5.0, 1), None: (7.0, 0)}
 

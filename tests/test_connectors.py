@@ -143,7 +143,6 @@ def test_working_folder_lies_in_the_shared_folder(spark, tmp_path):
     assert working_folder(spark, "x") != working_folder(spark, "x")
 
     class OnCluster:
-        class conf:
-            get = staticmethod(lambda name, default: f"{tmp_path}/shared/" if name == "spark.checkpoint.dir" else default)
+        conf = {"spark.checkpoint.dir": f"{tmp_path}/shared/"}
 
     assert working_folder(OnCluster, "x").startswith(f"{tmp_path}/shared/x-")

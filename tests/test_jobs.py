@@ -5,7 +5,7 @@ import run_job
 from test_medallion import BIO_COLUMNS, BIOS, RESULT_ROWS, write_csv
 from tiermill.operators.messages import encode
 from tiermill.plans import athlete_jobs
-from tiermill.plans.athletes import BIO, RESULT_FIELDS, RESULT_SCHEMA, RESULTS
+from tiermill.plans.athletes import BIO, OUTPUT_COLUMNS, RESULT_FIELDS, RESULT_SCHEMA, RESULTS
 from tiermill.sinks.files import parquet_sink, write_messages
 from tiermill.sources.topics import read_message_folder
 from tiermill.streaming.pipelines import start_updates
@@ -29,7 +29,8 @@ def test_batch_jobs_one_by_one_and_together(spark, tmp_path, capsys):
 
 
 def test_result_stream_keeps_the_missing_medal_null(spark, tmp_path, monkeypatch):
-    bio_table = spark.createDataFrame(BIOS, ", ".join(f"{c} {'int' if c == 'athlete_id' else 'string'}" for c in BIO_COLUMNS))
+    types = ", ".join(f"{c} {'int' if c == 'athlete_id' else 'string'}" for c in BIO_COLUMNS)
+    bio_table = spark.createDataFrame(BIOS, types)
     monkeypatch.setattr(athlete_jobs, "read_table", lambda spark, database, table, split: bio_table)
     bios = athlete_jobs.athlete_bios(spark, None)
     assert sorted(r.athlete_id for r in bios.collect()) == ["1", "2", "2", "6"]
@@ -38,7 +39,7 @@ def test_result_stream_keeps_the_missing_medal_null(spark, tmp_path, monkeypatch
     averages = athlete_jobs.result_averages(read_message_folder(spark, f"{tmp_path}/in/*"), bios)
     start_updates(averages, [parquet_sink(f"{tmp_path}/out")], available_now=True).awaitTermination()
     found = spark.read.parquet(f"{tmp_path}/out")
-    assert found.columns[:-1] == ["sport", "medal", "sex", "country_noc", "avg_height", "avg_weight", "timestamp"]
+    assert found.columns == [*OUTPUT_COLUMNS, "batch_id"]
     groups = {(r.sport, r.medal, r.sex, r.country_noc): (r.avg_height, r.avg_weight) for r in found.collect()}
     assert groups == {
         ("Rowing", "Gold", "Female", "NZL"): (180.0, 70.0),
@@ -53,7 +54,8 @@ def test_connections_come_from_settings(spark, conf):
     conf("spark.tiermill.jdbc.password", "pw")
     conf("spark.tiermill.topic.servers", "b:1")
     assert run_job.database(spark).options("t") == {
-        "url": "jdbc:mysql://db/x", "driver": "com.mysql.cj.jdbc.Driver", "dbtable": "t", "user": "me", "password": "pw",
+        "url": "jdbc:mysql://db/x", "driver": "com.mysql.cj.jdbc.Driver", "dbtable": "t",
+        "user": "me", "password": "pw",
     }
     assert run_job.broker(spark).options() == {"kafka.bootstrap.servers": "b:1"}
 
@@ -88,7 +90,8 @@ def test_topic_jobs_are_wired(spark, conf, monkeypatch, argv, job, called):
 
 def test_stream_job_builds_its_plan(spark, monkeypatch, tmp_path):
     """The whole job, with a folder in place of the topic and of both sinks."""
-    bio_table = spark.createDataFrame([(1, "F", "180", "70")], "athlete_id int, sex string, height string, weight string")
+    types = "athlete_id int, sex string, height string, weight string"
+    bio_table = spark.createDataFrame([(1, "F", "180", "70")], types)
     row = {name: "x" for name in RESULT_SCHEMA.names} | {"athlete_id": "1"}
     df = spark.createDataFrame([tuple(row.values())], RESULT_SCHEMA)
     write_messages(encode(df, F.col("athlete_id")), f"{tmp_path}/in/a")

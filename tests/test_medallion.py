@@ -94,8 +94,10 @@ def test_a_run_replaces_the_one_before(spark, lake, tmp_path):
 
 
 def test_every_result_row_counts(spark):
-    facts = spark.createDataFrame([("1", "s", None, "X")] * 3 + [("2", "s", None, "X")], "athlete_id string, sport string, medal string, country_noc string")
-    bios = spark.createDataFrame([(1, "F", "100", "10"), (2, "F", "200", "20")], "athlete_id int, sex string, height string, weight string")
+    results = [("1", "s", None, "X")] * 3 + [("2", "s", None, "X")]
+    facts = spark.createDataFrame(results, "athlete_id string, sport string, medal string, country_noc string")
+    athletes = [(1, "F", "100", "10"), (2, "F", "200", "20")]
+    bios = spark.createDataFrame(athletes, "athlete_id int, sex string, height string, weight string")
     row = summarise(facts, bios, REPORT).first()
     assert (row.medal, row.avg_height, row.avg_weight) == (None, 125.0, 12.5)
 

@@ -3,6 +3,8 @@ import decimal
 import re
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tiermill.functions.text import clean_text, value_cleaner
@@ -36,6 +38,13 @@ def test_native_cleaner_equals_python(spark):
     assert [r.c for r in rows] == [python_clean(r.t) for r in rows]
 
 
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.text(st.characters(exclude_categories=["Cs"]), max_size=60), min_size=1, max_size=30))
+def test_native_cleaner_equals_python_on_any_text(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r.t for r in clean_columns(df, ["t"]).collect()] == [python_clean(t) for t in texts]
+
+
 def test_null_becomes_token_or_stays(spark):
     df = spark.createDataFrame([(None,), ("a b",)], "t string")
     assert [r[0] for r in df.select(clean_text(F.col("t"))).collect()] == ["None", "ab"]

@@ -19,7 +19,9 @@ from tiermill.streaming.pipelines import average_messages, hold_dimension, start
 Split = KeyRange | Sequence[str] | None
 
 
-def publish_results(spark: SparkSession, database: JdbcConnection, broker: TopicConnection, split: Split = None) -> None:
+def publish_results(
+    spark: SparkSession, database: JdbcConnection, broker: TopicConnection, split: Split = None
+) -> None:
     """Send the results table to the results topic, keyed by athlete."""
     publish_table(read_table(spark, database, names.RESULTS, split), names.KEY, broker, names.RESULTS)
 

@@ -27,7 +27,10 @@ def fan_out(*sinks: BatchSink) -> BatchSink:
 
 
 def start(writer: DataStreamWriter, checkpoint: str | None, available_now: bool) -> StreamingQuery:
-    """Start a query. ``checkpoint`` lets a restart go on where it stopped; ``available_now`` ends at the end of the input."""
+    """Start a query.
+
+    ``checkpoint`` lets a restart go on where the query stopped; ``available_now`` stops it at the end of the input.
+    """
     if checkpoint is not None:
         writer = writer.option("checkpointLocation", checkpoint)
     if available_now:

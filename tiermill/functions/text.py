@@ -43,7 +43,7 @@ def value_cleaner(
     """Python twin of :func:`clean_text`, for columns whose Python text differs from Spark's."""
     unwanted = re.compile(other_than(keep))
 
-    def clean(value: object) -> str | None:
+    def clean(value):  # without annotations, which Spark would take for the kind of UDF
         if value is None:
             if null_token is None:
                 return None

@@ -89,6 +89,10 @@ def fits_broadcast(df: DataFrame) -> bool:
         return False  # no local JVM to ask
 
 
+def _only(df: DataFrame, on: str, keys: Columns, measures: Mapping[str, str]) -> DataFrame:
+    return df.select(*sorted({on, *named(keys).values(), *measures.values()}))
+
+
 def _reduced(
     df: DataFrame,
     side: str,
@@ -133,8 +137,8 @@ def enriched_averages(
 ) -> DataFrame:
     """``group_averages`` of ``enrich``: each joined row counts once, however often a key repeats.
 
-    A dimension small enough to broadcast is joined to the raw facts, which then never shuffle; facts may be
-    a stream, and a stream is always joined this way. Otherwise both sides are first reduced to one row per (join
+    If one side is small enough to broadcast, the raw rows are joined and the other side never shuffles; facts may
+    be a stream, and a stream is always joined raw. Otherwise both sides are first reduced to one row per (join
     key, group keys), holding a row count and partial sums, and the reduced rows are joined with each side's
     sums weighted by the other side's count. Then only reduced rows are shuffled by join key: a key that holds
     a third of all facts is as small as any other, and keys repeated on both sides never multiply out.
@@ -146,8 +150,8 @@ def enriched_averages(
     dimension_sources = {f"__d{i}": source for i, source in enumerate(dimension_measures.values())}
     names = dict(zip([*fact_sources, *dimension_sources], [*fact_measures, *dimension_measures]))
     if reduce_first is None:
-        used = {on[1], *named(dimension_keys).values(), *dimension_measures.values()}
-        reduce_first = not facts.isStreaming and not fits_broadcast(dimension.select(*sorted(used)))
+        small = facts.isStreaming or fits_broadcast(_only(dimension, on[1], dimension_keys, dimension_measures))
+        reduce_first = not (small or fits_broadcast(_only(facts, on[0], fact_keys, fact_measures)))
     if not reduce_first:
         fact_columns = {**named(fact_keys), **fact_sources}
         dimension_columns = {**named(dimension_keys), **dimension_sources}

@@ -148,3 +148,18 @@ def test_dedupe_merges_copies_before_the_shuffle(spark, plan_of):
     assert once.count() == 3 and dedupe(once).count() == 3
     plan = plan_of(once)
     assert plan.index("HashAggregate") < plan.index("Exchange") < plan.rindex("HashAggregate")
+
+
+def test_adaptive_execution_splits_a_hot_key_of_a_plain_join(spark, conf, plan_of):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10KB")
+    conf("spark.sql.shuffle.partitions", "16")
+    i = F.col("id")
+    facts = spark.range(0, 60_000, 1, 6).select(F.when(i % 3 == 0, F.lit(7)).otherwise(i).alias("k"), i.alias("n"))
+    dims = spark.range(0, 60_000, 1, 3).select(i.alias("id"), (i * 2).alias("double"))
+    joined = enrich(facts, dims, ("k", "id"), ["k", "n"], ["double"])
+    joined.collect()
+    assert "skew=true" in plan_of(joined)
+    assert joined.filter("double = 2 * k").count() == 60_000

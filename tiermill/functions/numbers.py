@@ -38,23 +38,23 @@ def scaled(x: str, scale: int) -> str:
 def average_parts(x: str, exact_scale: int | None) -> list[str]:
     """Aggregates from which the average of the double ``x`` can be finished, or merged further.
 
-    Always ``x_n`` (non-null values) and ``x_sum`` (as double). With ``exact_scale``, over a column
-    ``x_scaled`` made by :func:`scaled`, also ``x_high`` and ``x_low``, the exact integer sum in two parts, and
-    ``x_inexact``: true if a value was NaN, infinite or too large to scale, so that the double sum has to do.
+    Always ``x_n`` (non-null values) and ``x_sum`` (as double). With ``exact_scale``, over a column ``x_scaled`` made by
+    :func:`scaled`, ``x_high`` and ``x_low`` are the exact integer sum in two parts, and ``x_sum`` covers only the values
+    that could not be scaled (NaN, infinite, too large); it is null if there are none.
     """
-    parts = [f"count({x}) AS {x}_n", f"sum({x}) AS {x}_sum"]
-    if exact_scale is not None:
-        parts += [
-            f"sum(shiftright({x}_scaled, {LOW_BITS})) AS {x}_high",
-            f"sum({x}_scaled & {2**LOW_BITS - 1}) AS {x}_low",
-            f"max({x} IS NOT NULL AND {x}_scaled IS NULL) AS {x}_inexact",
-        ]
-    return parts
+    if exact_scale is None:
+        return [f"count({x}) AS {x}_n", f"sum({x}) AS {x}_sum"]
+    return [
+        f"count({x}) AS {x}_n",
+        f"sum(CASE WHEN {x}_scaled IS NULL THEN {x} END) AS {x}_sum",
+        f"sum(shiftright({x}_scaled, {LOW_BITS})) AS {x}_high",
+        f"sum({x}_scaled & {2**LOW_BITS - 1}) AS {x}_low",
+    ]
 
 
 def exact_total(x: str) -> str:
     """The two integer sums of :func:`average_parts` put together."""
-    return f"CAST({x}_high AS DECIMAL(20,0)) * {2**LOW_BITS} + coalesce({x}_low, 0) AS {x}_total"
+    return f"(CAST({x}_high AS DECIMAL(20,0)) * {2**LOW_BITS} + {x}_low)"
 
 
 def plain_average(x: str, digits: int) -> str:
@@ -63,10 +63,14 @@ def plain_average(x: str, digits: int) -> str:
 
 
 def exact_average(x: str, digits: int, exact_scale: int) -> str:
-    """Average from ``x_total``, rounded to ``digits`` in integer arithmetic: round(a / b) = (2a + b) div 2b."""
+    """Average from ``x_total``, rounded to ``digits`` in integer arithmetic: round(a / b) = (2a + b) div 2b.
+
+    A group with a value that could not be scaled gets the rounded double average.
+    """
     up, down = 10 ** max(digits - exact_scale, 0), 10 ** max(exact_scale - digits, 0)
     units = f"(abs({x}_total) * {2 * up} + {x}_n * {down}) div ({x}_n * {2 * down})"
+    double_sum = f"({x}_sum + coalesce(CAST({x}_total AS DOUBLE), 0.0D) / {10**exact_scale}.0D)"
     return (
-        f"CASE WHEN {x}_inexact THEN round({x}_sum / {x}_n, {digits}) "
+        f"CASE WHEN {x}_sum IS NOT NULL THEN round({double_sum} / {x}_n, {digits}) "
         f"WHEN {x}_n > 0 THEN CAST(sign({x}_total) AS INT) * ({units}) / {10**digits}.0D END"
     )

@@ -75,7 +75,7 @@ def group_averages(
     parts = [F.expr(part) for x in names for part in average_parts(x, exact_scale)]
     grouped = rows.groupBy(*map(_quoted, keys)).agg(*parts)
     if exact_scale is not None:
-        grouped = grouped.selectExpr("*", *map(exact_total, names))
+        grouped = grouped.selectExpr("*", *[f"{exact_total(x)} AS {x}_total" for x in names])
     return grouped.select(*_finish(grouped, keys, names, digits, exact_scale), *_stamp(stamp, run_ts))
 
 
@@ -108,15 +108,14 @@ def _reduced(
     rows = df.alias(side).select(key, *pick(side, keys), *values).filter(f"__{side}_on IS NOT NULL")
     rows = _with_scaled(rows, list(sources), exact_scale)
     parts = [f"count(1) AS __{side}_rows"] + [part for x in sources for part in average_parts(x, exact_scale)]
-    reduced = rows.groupBy(f"__{side}_on", *map(_quoted, named(keys))).agg(*map(F.expr, parts))
-    return reduced if exact_scale is None else reduced.selectExpr("*", *map(exact_total, sources))
+    return rows.groupBy(f"__{side}_on", *map(_quoted, named(keys))).agg(*map(F.expr, parts))
 
 
 def _merged(x: str, weight: str, exact_scale: int | None) -> list[str]:
     """Parts of ``x`` over joined reduced rows: each counts as often as the other side has rows for it."""
     merged = [f"sum({x}_n * {weight}) AS {x}_n", f"sum({x}_sum * {weight}) AS {x}_sum"]
     if exact_scale is not None:
-        merged += [f"sum({x}_total * {weight}) AS {x}_total", f"max({x}_inexact) AS {x}_inexact"]
+        merged.append(f"sum({exact_total(x)} * {weight}) AS {x}_total")
     return merged
 
 

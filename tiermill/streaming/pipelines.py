@@ -71,15 +71,17 @@ def average_messages(
 
 
 def hold_dimension(dimension: DataFrame, key: str, partitions: int, copies: int = COPIES) -> DataFrame:
-    """Keep a large dimension on the executors, spread and partitioned by its key, for all micro-batches.
+    """Keep a large dimension on the executors, for all micro-batches: spread, partitioned and sorted by its key.
 
-    Otherwise it is read and shuffled again for every micro-batch. ``key`` must already be text. Pass the same
+    Otherwise it is read, shuffled and sorted again for every micro-batch. ``key`` must already be text. Pass the same
     ``copies`` to ``average_messages``. What is held does not see later changes of the table; it is spilled to
     disk, and rebuilt where an executor is lost.
     """
-    if copies == 1:
-        return dimension.repartition(partitions, key).persist()
-    return spread(dimension, copies).repartition(partitions, key, SALT).persist()
+    keys = [key]
+    if copies > 1:
+        dimension = spread(dimension, copies)
+        keys.append(SALT)
+    return dimension.repartition(partitions, *keys).sortWithinPartitions(*keys).persist()
 
 
 def start_updates(

@@ -69,6 +69,21 @@ def test_skewed_join_equals_brute_force(skewed, reduce_first, key_type):
     assert averages(facts, dims, reduce_first, key_type=key_type) == brute_force(fact_rows, dim_rows)
 
 
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_a_key_that_is_hot_on_both_sides_does_not_multiply_out(spark, conf, threshold):
+    """A million facts and ten thousand dimension rows share a key: ten billion pairs, never formed."""
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
+    i = F.col("id")
+    facts = spark.range(3_000_000).select(F.when(i % 3 == 0, -1).otherwise(i).alias("k"), (i % 2 / 4).alias("v"))
+    dims = spark.range(30_000).select(F.when(i % 3 == 0, -1).otherwise(i).alias("id"), (i % 4 / 2).alias("h"))
+    row = enriched_averages(facts, dims, ("k", "id"), [], [], ["v"], ["h"], exact_scale=2, digits=4).first()
+    hot, cold = 1_000_000 * 10_000, [k for k in range(30_000) if k % 3]
+    v = hot // 2 * 25 + sum(25 * (k % 2) for k in cold)
+    h = 1_000_000 * sum(50 * (k % 4) for k in range(0, 30_000, 3)) + sum(50 * (k % 4) for k in cold)
+    n = hot + len(cold)
+    assert (row.avg_v, row.avg_h) == (round(v / n / 100, 4), round(h / n / 100, 4))
+
+
 def test_both_ways_agree_in_double_form(skewed):
     facts, dims, _, _ = skewed
     one, two = averages(facts, dims, False, None), averages(facts, dims, True, None)
@@ -96,8 +111,28 @@ def test_small_dimension_is_broadcast_and_facts_stay_in_place(spark, skewed, pla
     facts, dims = spark.read.parquet(str(tmp_path / "facts")), spark.read.parquet(str(tmp_path / "dims"))
     assert fits_broadcast(dims)
     plan = plan_of(enriched_averages(facts, dims, ("k", "id"), ["g"], ["s"], ["v"], ["h"], stamp=None))
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert plan.index("Exchange hashpartitioning") < plan.index("BroadcastHashJoin")
+    above, below = plan.split("BroadcastHashJoin")
+    assert above.count("Exchange hashpartitioning") == 1
+    fact_side, dimension_side = below.split("BroadcastExchange")
+    assert "Exchange" not in fact_side and "struct<k:int,g:string,v:double>" in fact_side
+    assert "HashAggregate" in dimension_side and "struct<id:int,s:string,h:double>" in dimension_side
+
+
+def test_small_facts_are_broadcast_and_a_large_dimension_stays_in_place(spark, skewed, conf, plan_of, tmp_path):
+    facts, _, fact_rows, _ = skewed
+    facts.write.parquet(str(tmp_path / "facts"))
+    height = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 100
+    key = (F.col("id") % 50).cast("int")
+    wide = spark.range(20_000).select(key.alias("id"), F.lit("x").alias("s"), height.alias("h"))
+    wide.write.parquet(str(tmp_path / "dims"))
+    facts, dims = spark.read.parquet(str(tmp_path / "facts")), spark.read.parquet(str(tmp_path / "dims"))
+    conf("spark.sql.autoBroadcastJoinThreshold", "100KB")
+    df = enriched_averages(facts, dims, ("k", "id"), ["g"], ["s"], ["v"], ["h"], exact_scale=2, stamp=None)
+    fact_side, dimension_side = plan_of(df).split("BroadcastHashJoin")[1].split("struct<k:int,g:string,v:double>")
+    assert "BroadcastExchange" in fact_side and "HashAggregate" in fact_side
+    assert "Exchange" not in dimension_side and "struct<id:int,s:string,h:double>" in dimension_side
+    dim_rows = [tuple(r) for r in dims.collect()]
+    assert {(r.g, r.s): (r.avg_v, r.avg_h) for r in df.collect()} == brute_force(fact_rows, dim_rows)
 
 
 def test_only_named_columns_are_read(spark, plan_of):

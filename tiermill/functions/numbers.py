@@ -35,26 +35,44 @@ def scaled(x: str, scale: int) -> str:
     return f"CASE WHEN abs({x}) < {limit!r}D THEN CAST({x} * {10**scale}.0D + 0.5D * sign({x}) AS BIGINT) END"
 
 
-def average_parts(x: str, exact_scale: int | None) -> list[str]:
-    """Aggregates from which the average of the double ``x`` can be finished, or merged further.
+def value_parts(x: str, exact_scale: int | None) -> dict[str, str]:
+    """What one row adds to the average of the double ``x``: the part's suffix and its SQL.
 
-    Always ``x_n`` (non-null values) and ``x_sum`` (as double). With ``exact_scale``, over a column ``x_scaled`` made by
-    :func:`scaled`, ``x_high`` and ``x_low`` are the exact integer sum in two parts, and ``x_sum`` covers only the values
-    that could not be scaled (NaN, infinite, too large); it is null if there are none.
+    Always ``n`` (1 unless null) and ``sum``. With ``exact_scale``, over a column ``x_scaled`` made by :func:`scaled`,
+    ``high`` and ``low`` are the scaled value in two parts, and ``sum`` is left to the values that could not be
+    scaled (NaN, infinite, too large); its total is null if there are none.
     """
     if exact_scale is None:
-        return [f"count({x}) AS {x}_n", f"sum({x}) AS {x}_sum"]
-    return [
-        f"count({x}) AS {x}_n",
-        f"sum(CASE WHEN {x}_scaled IS NULL THEN {x} END) AS {x}_sum",
-        f"sum(shiftright({x}_scaled, {LOW_BITS})) AS {x}_high",
-        f"sum({x}_scaled & {2**LOW_BITS - 1}) AS {x}_low",
-    ]
+        return {"n": f"CAST({x} IS NOT NULL AS BIGINT)", "sum": x}
+    return {
+        "n": f"CAST({x} IS NOT NULL AS BIGINT)",
+        "sum": f"CASE WHEN {x}_scaled IS NULL THEN {x} END",
+        "high": f"shiftright({x}_scaled, {LOW_BITS})",
+        "low": f"{x}_scaled & {2**LOW_BITS - 1}",
+    }
+
+
+def average_parts(x: str, exact_scale: int | None) -> list[str]:
+    """Aggregates ``x_n``, ``x_sum`` and so on, from which the average of ``x`` is finished or merged further."""
+    return [f"sum({part}) AS {x}_{name}" for name, part in value_parts(x, exact_scale).items()]
+
+
+def merged_parts(x: str, weight: str, exact_scale: int | None, many: bool) -> list[str]:
+    """Aggregates that merge parts of ``x``, each counted ``weight`` times.
+
+    ``many``: both factors may be large, so the exact parts are multiplied as decimals.
+    """
+    parts = [f"sum({x}_n * {weight}) AS {x}_n", f"sum({x}_sum * {weight}) AS {x}_sum"]
+    if exact_scale is not None:
+        for name in (f"{x}_high", f"{x}_low"):
+            factor = f"CAST({name} AS DECIMAL(20,0))" if many else name
+            parts.append(f"sum({factor} * {weight}) AS {name}")
+    return parts
 
 
 def exact_total(x: str) -> str:
-    """The two integer sums of :func:`average_parts` put together."""
-    return f"(CAST({x}_high AS DECIMAL(20,0)) * {2**LOW_BITS} + {x}_low)"
+    """The two integer sums put together."""
+    return f"CAST({x}_high AS DECIMAL(30,0)) * {2**LOW_BITS} + {x}_low AS {x}_total"
 
 
 def plain_average(x: str, digits: int) -> str:

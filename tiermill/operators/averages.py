@@ -9,7 +9,15 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.functions.numbers import average_parts, exact_average, exact_total, plain_average, scaled
+from tiermill.functions.numbers import (
+    average_parts,
+    exact_average,
+    exact_total,
+    merged_parts,
+    plain_average,
+    scaled,
+    value_parts,
+)
 from tiermill.operators.joins import Columns, enrich, key_of, named, pick
 
 RunTime = Column | datetime.datetime | None
@@ -43,13 +51,21 @@ def _with_scaled(df: DataFrame, values: Sequence[str], exact_scale: int | None)
 
 
 def _finish(
-    parts: DataFrame, keys: Sequence[str], names: Mapping[str, str], digits: int, exact_scale: int | None
-) -> list[Column]:
-    """Keys and rounded averages from merged parts; ``names`` maps internal to output names."""
-    rounded = {
-        x: plain_average(x, digits) if exact_scale is None else exact_average(x, digits, exact_scale) for x in names
-    }
-    return [parts[_quoted(k)] for k in keys] + [F.expr(rounded[x]).alias(name) for x, name in names.items()]
+    parts: DataFrame,
+    keys: Sequence[str],
+    names: Mapping[str, str],
+    digits: int,
+    exact_scale: int | None,
+    stamp: list[Column],
+) -> DataFrame:
+    """Keys, rounded averages and time from the parts of each group; ``names`` maps internal to output names."""
+    if exact_scale is None:
+        rounded = {x: plain_average(x, digits) for x in names}
+    else:
+        parts = parts.selectExpr("*", *map(exact_total, names))
+        rounded = {x: exact_average(x, digits, exact_scale) for x in names}
+    averages = [F.expr(rounded[x]).alias(name) for x, name in names.items()]
+    return parts.select(*map(_quoted, keys), *averages, *stamp)
 
 
 def group_averages(
@@ -74,9 +90,7 @@ def group_averages(
     rows = _with_scaled(df.selectExpr(*map(_quoted, keys), *casts), list(names), exact_scale)
     parts = [F.expr(part) for x in names for part in average_parts(x, exact_scale)]
     grouped = rows.groupBy(*map(_quoted, keys)).agg(*parts)
-    if exact_scale is not None:
-        grouped = grouped.selectExpr("*", *[f"{exact_total(x)} AS {x}_total" for x in names])
-    return grouped.select(*_finish(grouped, keys, names, digits, exact_scale), *_stamp(stamp, run_ts))
+    return _finish(grouped, keys, names, digits, exact_scale, _stamp(stamp, run_ts))
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -89,11 +103,7 @@ def fits_broadcast(df: DataFrame) -> bool:
         return False  # no local JVM to ask
 
 
-def _only(df: DataFrame, on: str, keys: Columns, measures: Mapping[str, str]) -> DataFrame:
-    return df.select(*sorted({on, *named(keys).values(), *measures.values()}))
-
-
-def _reduced(
+def _side(
     df: DataFrame,
     side: str,
     on: str,
@@ -101,22 +111,22 @@ def _reduced(
     keys: Columns,
     sources: Mapping[str, str],
     exact_scale: int | None,
+    reduce: bool,
 ) -> DataFrame:
-    """One row per (join key, group keys): how many rows it stands for and the parts of each average."""
+    """One join side: its join key, group keys, the parts of each average, and how many rows a row stands for.
+
+    With ``reduce`` there is one row per (join key, group keys), otherwise one for each row of ``df``.
+    """
     key = key_of(side, on, key_type).alias(f"__{side}_on")
     values = [F.col(f"{side}.`{source}`").cast("double").alias(x) for x, source in sources.items()]
     rows = df.alias(side).select(key, *pick(side, keys), *values).filter(f"__{side}_on IS NOT NULL")
     rows = _with_scaled(rows, list(sources), exact_scale)
-    parts = [f"count(1) AS __{side}_rows"] + [part for x in sources for part in average_parts(x, exact_scale)]
-    return rows.groupBy(f"__{side}_on", *map(_quoted, named(keys))).agg(*map(F.expr, parts))
-
-
-def _merged(x: str, weight: str, exact_scale: int | None) -> list[str]:
-    """Parts of ``x`` over joined reduced rows: each counts as often as the other side has rows for it."""
-    merged = [f"sum({x}_n * {weight}) AS {x}_n", f"sum({x}_sum * {weight}) AS {x}_sum"]
-    if exact_scale is not None:
-        merged.append(f"sum({exact_total(x)} * {weight}) AS {x}_total")
-    return merged
+    by = [f"__{side}_on", *map(_quoted, named(keys))]
+    if reduce:
+        parts = [f"count(1) AS __{side}_rows"] + [part for x in sources for part in average_parts(x, exact_scale)]
+        return rows.groupBy(*by).agg(*map(F.expr, parts))
+    single = [f"{part} AS {x}_{name}" for x in sources for name, part in value_parts(x, exact_scale).items()]
+    return rows.selectExpr(*by, f"1L AS __{side}_rows", *single)
 
 
 def enriched_averages(
@@ -136,35 +146,45 @@ def enriched_averages(
 ) -> DataFrame:
     """``group_averages`` of ``enrich``: each joined row counts once, however often a key repeats.
 
-    If one side is small enough to broadcast, the raw rows are joined and the other side never shuffles; facts may
-    be a stream, and a stream is always joined raw. Otherwise both sides are first reduced to one row per (join
-    key, group keys), holding a row count and partial sums, and the reduced rows are joined with each side's
-    sums weighted by the other side's count. Then only reduced rows are shuffled by join key: a key that holds
-    a third of all facts is as small as any other, and keys repeated on both sides never multiply out.
-    ``reduce_first`` overrides the choice. The output names of all keys and measures must differ.
+    A side is reduced to one row per (join key, group keys), holding a row count and partial sums; after the join the
+    sums of each side are weighted by the row count of the other. So keys repeated on both sides never multiply
+    out. If one side is small enough to broadcast, it is reduced and broadcast and the other side is joined as
+    it is, without a shuffle. Otherwise both sides are reduced, so only reduced rows are shuffled by join key: a key
+    that holds a third of all facts is as small as any other. ``reduce_first`` settles whether to reduce the facts.
+
+    Facts may be a stream, whose rows are joined as they are. The output names of all keys and measures must differ.
     """
     fact_measures, dimension_measures = _outputs(fact_measures), _outputs(dimension_measures)
     keys = [*named(fact_keys), *named(dimension_keys)]
     fact_sources = {f"__f{i}": source for i, source in enumerate(fact_measures.values())}
     dimension_sources = {f"__d{i}": source for i, source in enumerate(dimension_measures.values())}
     names = dict(zip([*fact_sources, *dimension_sources], [*fact_measures, *dimension_measures]))
-    if reduce_first is None:
-        small = facts.isStreaming or fits_broadcast(_only(dimension, on[1], dimension_keys, dimension_measures))
-        reduce_first = not (small or fits_broadcast(_only(facts, on[0], fact_keys, fact_measures)))
-    if not reduce_first:
+    if facts.isStreaming:
         fact_columns = {**named(fact_keys), **fact_sources}
         dimension_columns = {**named(dimension_keys), **dimension_sources}
         joined = enrich(facts, dimension, on, fact_columns, dimension_columns, key_type)
         measures = {name: x for x, name in names.items()}
         return group_averages(joined, keys, measures, digits, exact_scale, stamp, run_ts)
 
-    left = _reduced(facts, "fact", on[0], key_type, fact_keys, fact_sources, exact_scale)
-    right = _reduced(dimension, "dim", on[1], key_type, dimension_keys, dimension_sources, exact_scale)
+    def side(df: DataFrame, name: str, reduce: bool) -> DataFrame:
+        if name == "fact":
+            return _side(df, name, on[0], key_type, fact_keys, fact_sources, exact_scale, reduce)
+        return _side(df, name, on[1], key_type, dimension_keys, dimension_sources, exact_scale, reduce)
+
+    reduce_facts = reduce_dimension = True
+    if reduce_first is not None:
+        reduce_facts = reduce_first
+    elif fits_broadcast(side(dimension, "dim", False)):
+        reduce_facts = False
+    elif fits_broadcast(side(facts, "fact", False)):
+        reduce_dimension = False
+    left, right = side(facts, "fact", reduce_facts), side(dimension, "dim", reduce_dimension)
     joined = left.join(right, F.col("__fact_on") == F.col("__dim_on"), "inner")
-    merged = [part for x in fact_sources for part in _merged(x, "__dim_rows", exact_scale)]
-    merged += [part for x in dimension_sources for part in _merged(x, "__fact_rows", exact_scale)]
+    many = reduce_facts and reduce_dimension
+    merged = [part for x in fact_sources for part in merged_parts(x, "__dim_rows", exact_scale, many)]
+    merged += [part for x in dimension_sources for part in merged_parts(x, "__fact_rows", exact_scale, many)]
     grouped = joined.groupBy(*map(_quoted, keys)).agg(*map(F.expr, merged))
-    return grouped.select(*_finish(grouped, keys, names, digits, exact_scale), *_stamp(stamp, run_ts))
+    return _finish(grouped, keys, names, digits, exact_scale, _stamp(stamp, run_ts))
 
 
 def latest_per_key(history: DataFrame, keys: Sequence[str], order: str = "batch_id") -> DataFrame:

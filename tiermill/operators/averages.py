@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
@@ -18,7 +19,7 @@ from tiermill.functions.numbers import (
     scaled,
     value_parts,
 )
-from tiermill.operators.joins import Columns, enrich, key_of, named, pick
+from tiermill.operators.joins import Columns, enrich, named
 
 RunTime = Column | datetime.datetime | None
 
@@ -44,10 +45,12 @@ def _stamp(name: str | None, run_ts: RunTime) -> list[Column]:
     return [run_ts.alias(name)]
 
 
-def _with_scaled(df: DataFrame, values: Sequence[str], exact_scale: int | None) -> DataFrame:
-    if exact_scale is None:
-        return df
-    return df.selectExpr("*", *[f"{scaled(x, exact_scale)} AS {x}_scaled" for x in values])
+def _values(sources: Mapping[str, str], exact_scale: int | None) -> list[str]:
+    """Measures as doubles under internal names, and scaled to integers if they are to be summed exactly."""
+    values = [f"CAST({_quoted(source)} AS DOUBLE) AS {x}" for x, source in sources.items()]
+    if exact_scale is not None:
+        values += [f"{scaled(x, exact_scale)} AS {x}_scaled" for x in sources]
+    return values
 
 
 def _finish(
@@ -86,8 +89,8 @@ def group_averages(
     ``run_ts`` replaces the clock. Works on a stream too, then in update or complete mode.
     """
     names = {f"__m{i}": name for i, name in enumerate(_outputs(measures))}
-    casts = [f"CAST({_quoted(source)} AS DOUBLE) AS {x}" for x, source in zip(names, _outputs(measures).values())]
-    rows = _with_scaled(df.selectExpr(*map(_quoted, keys), *casts), list(names), exact_scale)
+    sources = dict(zip(names, _outputs(measures).values()))
+    rows = df.selectExpr(*map(_quoted, keys), *_values(sources, exact_scale))
     parts = [F.expr(part) for x in names for part in average_parts(x, exact_scale)]
     grouped = rows.groupBy(*map(_quoted, keys)).agg(*parts)
     return _finish(grouped, keys, names, digits, exact_scale, _stamp(stamp, run_ts))
@@ -103,30 +106,40 @@ def fits_broadcast(df: DataFrame) -> bool:
         return False  # no local JVM to ask
 
 
-def _side(
-    df: DataFrame,
-    side: str,
-    on: str,
-    key_type: str | None,
-    keys: Columns,
-    sources: Mapping[str, str],
-    exact_scale: int | None,
-    reduce: bool,
-) -> DataFrame:
-    """One join side: its join key, group keys, the parts of each average, and how many rows a row stands for.
+@dataclass(frozen=True)
+class _Side:
+    """One side of the join: its rows under internal names."""
 
-    With ``reduce`` there is one row per (join key, group keys), otherwise one for each row of ``df``.
-    """
-    key = key_of(side, on, key_type).alias(f"__{side}_on")
-    values = [F.col(f"{side}.`{source}`").cast("double").alias(x) for x, source in sources.items()]
-    rows = df.alias(side).select(key, *pick(side, keys), *values).filter(f"__{side}_on IS NOT NULL")
-    rows = _with_scaled(rows, list(sources), exact_scale)
-    by = [f"__{side}_on", *map(_quoted, named(keys))]
-    if reduce:
-        parts = [f"count(1) AS __{side}_rows"] + [part for x in sources for part in average_parts(x, exact_scale)]
-        return rows.groupBy(*by).agg(*map(F.expr, parts))
-    single = [f"{part} AS {x}_{name}" for x in sources for name, part in value_parts(x, exact_scale).items()]
-    return rows.selectExpr(*by, f"1L AS __{side}_rows", *single)
+    rows: DataFrame
+    name: str
+    keys: list[str]
+    values: list[str]
+    exact_scale: int | None
+
+    @classmethod
+    def of(
+        cls, df: DataFrame, name: str, on: str, key_type: str | None, keys: Columns, sources: Mapping[str, str],
+        exact_scale: int | None,
+    ) -> _Side:
+        key = f"CAST({_quoted(on)} AS {key_type})" if key_type else _quoted(on)
+        kept = [f"{_quoted(source)} AS {_quoted(output)}" for output, source in named(keys).items()]
+        rows = df.selectExpr(f"{key} AS __{name}_on", *kept, *_values(sources, exact_scale))
+        return cls(rows, name, list(named(keys)), list(sources), exact_scale)
+
+    def single(self) -> DataFrame:
+        """A row each, with what it adds to the averages."""
+        parts = [
+            f"{part} AS {x}_{name}" for x in self.values for name, part in value_parts(x, self.exact_scale).items()
+        ]
+        return self.rows.selectExpr(*self._by(), f"1L AS __{self.name}_rows", *parts)
+
+    def reduced(self) -> DataFrame:
+        """One row per (join key, group keys), with how many rows it stands for and what they add."""
+        parts = [part for x in self.values for part in average_parts(x, self.exact_scale)]
+        return self.rows.groupBy(*self._by()).agg(*map(F.expr, [f"count(1) AS __{self.name}_rows", *parts]))
+
+    def _by(self) -> list[str]:
+        return [f"__{self.name}_on", *map(_quoted, self.keys)]
 
 
 def enriched_averages(
@@ -166,21 +179,17 @@ def enriched_averages(
         measures = {name: x for x, name in names.items()}
         return group_averages(joined, keys, measures, digits, exact_scale, stamp, run_ts)
 
-    def side(df: DataFrame, name: str, reduce: bool) -> DataFrame:
-        if name == "fact":
-            return _side(df, name, on[0], key_type, fact_keys, fact_sources, exact_scale, reduce)
-        return _side(df, name, on[1], key_type, dimension_keys, dimension_sources, exact_scale, reduce)
-
-    reduce_facts = reduce_dimension = True
-    if reduce_first is not None:
-        reduce_facts = reduce_first
-    elif fits_broadcast(side(dimension, "dim", False)):
-        reduce_facts = False
-    elif fits_broadcast(side(facts, "fact", False)):
-        reduce_dimension = False
-    left, right = side(facts, "fact", reduce_facts), side(dimension, "dim", reduce_dimension)
+    fact = _Side.of(facts, "fact", on[0], key_type, fact_keys, fact_sources, exact_scale)
+    dim = _Side.of(dimension, "dim", on[1], key_type, dimension_keys, dimension_sources, exact_scale)
+    many = False
+    if reduce_first is None and fits_broadcast(dim.rows):
+        left, right = fact.single(), F.broadcast(dim.reduced())
+    elif reduce_first is None and fits_broadcast(fact.rows):
+        left, right = F.broadcast(fact.reduced()), dim.single()
+    else:
+        many = reduce_first is not False
+        left, right = fact.reduced() if many else fact.single(), dim.reduced()
     joined = left.join(right, F.col("__fact_on") == F.col("__dim_on"), "inner")
-    many = reduce_facts and reduce_dimension
     merged = [part for x in fact_sources for part in merged_parts(x, "__dim_rows", exact_scale, many)]
     merged += [part for x in dimension_sources for part in merged_parts(x, "__fact_rows", exact_scale, many)]
     grouped = joined.groupBy(*map(_quoted, keys)).agg(*map(F.expr, merged))

@@ -57,17 +57,18 @@ def average_parts(x: str, exact_scale: int | None) -> list[str]:
     return [f"sum({part}) AS {x}_{name}" for name, part in value_parts(x, exact_scale).items()]
 
 
-def merged_parts(x: str, weight: str, exact_scale: int | None, many: bool) -> list[str]:
-    """Aggregates that merge parts of ``x``, each counted ``weight`` times.
+def merged_parts(x: str, weight: str | None, exact_scale: int | None, many: bool) -> list[str]:
+    """Aggregates that merge parts of ``x``, each counted ``weight`` times, or once.
 
     ``many``: both factors may be large, so the exact parts are multiplied as decimals.
     """
-    parts = [f"sum({x}_n * {weight}) AS {x}_n", f"sum({x}_sum * {weight}) AS {x}_sum"]
-    if exact_scale is not None:
-        for name in (f"{x}_high", f"{x}_low"):
-            factor = f"CAST({name} AS DECIMAL(20,0))" if many else name
-            parts.append(f"sum({factor} * {weight}) AS {name}")
-    return parts
+    names = ["n", "sum"] if exact_scale is None else ["n", "sum", "high", "low"]
+    merged = []
+    for name in names:
+        part = f"{x}_{name}"
+        factor = f"CAST({part} AS DECIMAL(20,0))" if many and name in ("high", "low") else part
+        merged.append(f"sum({factor if weight is None else f'{factor} * {weight}'}) AS {part}")
+    return merged
 
 
 def exact_total(x: str) -> str:

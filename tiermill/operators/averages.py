@@ -181,17 +181,20 @@ def enriched_averages(
 
     fact = _Side.of(facts, "fact", on[0], key_type, fact_keys, fact_sources, exact_scale)
     dim = _Side.of(dimension, "dim", on[1], key_type, dimension_keys, dimension_sources, exact_scale)
-    many = False
+    # how often a row of each side counts; None where the other side has its rows one by one
+    fact_weight, dim_weight = "__dim_rows", "__fact_rows"
     if reduce_first is None and fits_broadcast(dim.rows):
-        left, right = fact.single(), F.broadcast(dim.reduced())
+        left, right, dim_weight = fact.single(), F.broadcast(dim.reduced()), None
     elif reduce_first is None and fits_broadcast(fact.rows):
-        left, right = F.broadcast(fact.reduced()), dim.single()
+        left, right, fact_weight = F.broadcast(fact.reduced()), dim.single(), None
+    elif reduce_first is False:
+        left, right, dim_weight = fact.single(), dim.reduced(), None
     else:
-        many = reduce_first is not False
-        left, right = fact.reduced() if many else fact.single(), dim.reduced()
+        left, right = fact.reduced(), dim.reduced()
     joined = left.join(right, F.col("__fact_on") == F.col("__dim_on"), "inner")
-    merged = [part for x in fact_sources for part in merged_parts(x, "__dim_rows", exact_scale, many)]
-    merged += [part for x in dimension_sources for part in merged_parts(x, "__fact_rows", exact_scale, many)]
+    many = fact_weight is not None and dim_weight is not None
+    merged = [part for x in fact_sources for part in merged_parts(x, fact_weight, exact_scale, many)]
+    merged += [part for x in dimension_sources for part in merged_parts(x, dim_weight, exact_scale, many)]
     grouped = joined.groupBy(*map(_quoted, keys)).agg(*map(F.expr, merged))
     return _finish(grouped, keys, names, digits, exact_scale, _stamp(stamp, run_ts))
 

@@ -27,6 +27,7 @@ from tiermill.streaming.pipelines import average_messages, start_updates, tail_t
 SMOKE_DIR = "/root/testdata/sf0.001"
 KEYS = ["event_type", "c_mktsegment", "c_nationkey"]
 MICRO_BATCHES = 4
+SINK_FILES = 4  # per micro-batch, which holds at most one row per group
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -241,7 +242,10 @@ def _run_event_stream(spark: SparkSession, sf_dir: str, folder: str) -> None:
         dimension_measures={"avg_acctbal": "c_acctbal"},
         exact_scale=2,
     )
-    sinks = [message_folder_sink(f"{folder}/topic", "event_type"), parquet_sink(f"{folder}/table")]
+    sinks = [
+        message_folder_sink(f"{folder}/topic", "event_type", files=SINK_FILES),
+        parquet_sink(f"{folder}/table", files=SINK_FILES),
+    ]
     start_updates(averages, sinks, f"{folder}/checkpoint", available_now=True).awaitTermination()
 
 

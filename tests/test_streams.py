@@ -164,3 +164,16 @@ def test_tail_prints_and_stores_the_text(spark, tmp_path):
     tail_to_files(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint", available_now=True).awaitTermination()
     stored = spark.read.parquet(f"{tmp_path}/out")
     assert sorted(r.value for r in stored.collect()) == ['{"a":1}', "é"]
+
+
+def test_files_per_micro_batch(spark, tmp_path):
+    df = spark.range(100).select(F.col("id").cast("string").alias("k")).repartition(8)
+    for batch_id, files in enumerate([None, 2]):
+        parquet_sink(f"{tmp_path}/table", files)(df, batch_id)
+        message_folder_sink(f"{tmp_path}/topic", "k", files)(df, batch_id)
+    for name in ("table", "topic"):
+        for batch_id, files in enumerate([8, 2]):
+            written = spark.read.parquet(f"{tmp_path}/{name}/batch_id={batch_id}")
+            assert written.count() == 100 and len(written.inputFiles()) == files
+    parquet_sink(f"{tmp_path}/table", 2)(df, 1)
+    assert spark.read.parquet(f"{tmp_path}/table").count() == 200

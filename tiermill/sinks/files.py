@@ -34,20 +34,27 @@ def batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
-def parquet_sink(path: str) -> BatchSink:
-    """Micro-batch sink: one folder per batch, so a batch that is run again replaces itself."""
+def _in_files(batch: DataFrame, files: int | None) -> DataFrame:
+    return batch if files is None else batch.repartition(files)
+
+
+def parquet_sink(path: str, files: int | None = None) -> BatchSink:
+    """Micro-batch sink: one folder per batch, so a batch that is run again replaces itself.
+
+    A batch has as many files as the stream has state partitions, unless ``files`` says how many.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_parquet(batch, batch_folder(path, batch_id))
+        write_parquet(_in_files(batch, files), batch_folder(path, batch_id))
 
     return write
 
 
-def message_folder_sink(path: str, key: str) -> BatchSink:
+def message_folder_sink(path: str, key: str, files: int | None = None) -> BatchSink:
     """Micro-batch sink: the rows as (key, JSON value) messages, one folder per batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_messages(encode(batch, key), batch_folder(path, batch_id))
+        write_messages(_in_files(encode(batch, key), files), batch_folder(path, batch_id))
 
     return write
 

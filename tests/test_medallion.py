@@ -113,6 +113,17 @@ def test_number_filter_runs_at_the_scan(spark, tmp_path, plan_of):
     assert "Python" not in plan
 
 
+def test_odd_numbers_pass_the_filter_and_reach_the_average(spark):
+    heights = ["180", "180.5", " 180 ", "180d", "NaN", "inf", "na", "", None]
+    rows = [(i, f"sex {i}", h, "70") for i, h in enumerate(heights)]
+    bios = spark.createDataFrame(rows, "athlete_id int, sex string, height string, weight string")
+    facts = spark.range(9).selectExpr("id AS athlete_id", "'s' AS sport", "'m' AS medal", "'X' AS country_noc")
+    silver = refine(bios, ["sex"], ["height", "weight"])
+    rows = {r.sex: r.avg_height for r in summarise(facts, silver, REPORT).collect()}
+    assert str(rows.pop("sex4")) == "nan"
+    assert rows == {"sex0": 180.0, "sex1": 180.5, "sex2": 180.0, "sex3": 180.0, "sex5": float("inf")}
+
+
 def test_csv_with_a_given_schema(spark, tmp_path):
     write_csv(tmp_path / "t.csv", ["id", "s"], [(1, "x"), (2, None)])
     assert read_csv(spark, str(tmp_path / "t.csv")).dtypes == [("id", "int"), ("s", "string")]

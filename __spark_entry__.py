@@ -170,7 +170,7 @@ def valid_dimension_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = _dirty_part(spark, sf_dir).select("p_name", "p_type", "size_text", "p_retailprice")
+    part = _dirty_part(spark, sf_dir).select("p_name", "p_type", "size_text")
     return refine(part, ["p_name", "p_type"], ["size_text"])
 
 
@@ -383,8 +383,7 @@ def oracle_sql() -> dict[str, str]:
             from (select *, {_SIZE_SQL} as size_text from part)
             where try_cast(size_text as double) is not null and p_retailprice is not null""",
         "silver_clean": f"""
-            select distinct {_clean_sql("p_name")} as p_name, {_clean_sql("p_type")} as p_type, size_text,
-                p_retailprice
+            select distinct {_clean_sql("p_name")} as p_name, {_clean_sql("p_type")} as p_type, size_text
             from (select *, {_SIZE_SQL} as size_text from part) where try_cast(size_text as double) is not null""",
         "preview_limit": f"""
             select distinct p_partkey, {_clean_sql("p_name")} as p_name, {_clean_sql("p_type")} as p_type, size_text

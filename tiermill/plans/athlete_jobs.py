@@ -67,10 +67,11 @@ def stream_results(
     """Run the averages on the results topic; each update goes to the output topic and the output table.
 
     ``hold`` = (partitions, copies) keeps the bios on the executors, so the database is read once and not for
-    every micro-batch.
+    every micro-batch; the copies divide an athlete who fills much of a batch. Without it the bios are read anew, and
+    later changes of the table seen, in every batch, and they are joined in one copy.
     """
     bios = athlete_bios(spark, database, split)
-    copies = None
+    copies = 1
     if hold is not None:
         partitions, copies = hold
         needed = [names.KEY, *names.DIMENSION_KEYS, *names.MEASURES]

@@ -119,7 +119,8 @@ def plan_of_last_batch(query):
 
 def test_large_dimension_is_spread(spark, topic, bios, expected, tmp_path, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    run(spark, topic, tmp_path, bios)
+    query = run(spark, topic, tmp_path, bios)
+    assert "explode(" in plan_of_last_batch(query)
     assert as_dict(latest_per_key(spark.read.parquet(f"{tmp_path}/table"), KEYS)) == expected
 
 
@@ -133,6 +134,7 @@ def test_held_dimension_is_not_shuffled_or_sorted_again(spark, topic, bios, expe
         query = run(spark, topic, tmp_path, held, copies=3)
         plan = plan_of_last_batch(query)
         assert "SortMergeJoin" in plan and "InMemoryTableScan" in plan
+        assert "AdaptiveSparkPlan" not in plan.split("InMemoryRelation")[0]
         below = plan[plan.index("SortMergeJoin") : plan.index("InMemoryTableScan")]
         # the messages are shuffled and sorted under the join, the dimension is taken as it lies
         assert below.count("Exchange hashpartitioning") == 1

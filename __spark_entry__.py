@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+import importlib
 import math
 from collections.abc import Callable
 
@@ -24,6 +25,14 @@ from tiermill.sources.files import read_csv, read_parquet, working_folder
 from tiermill.sources.topics import read_message_folder
 from tiermill.streaming.pipelines import average_messages, start_updates, tail_to_files
 
+# The operators for training data, present only if their subpackage is.
+try:
+    llm_queries = importlib.import_module("tiermill.llm.queries")
+except ModuleNotFoundError as missing:
+    if missing.name not in ("tiermill.llm", "tiermill.llm.queries"):
+        raise
+    llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 KEYS = ["event_type", "c_mktsegment", "c_nationkey"]
 MICRO_BATCHES = 4
@@ -288,6 +297,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query by name."""
+    return {**table_queries(), **(llm_queries.queries() if llm_queries else {})}
+
+
+def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries of this library without the subpackage for training data."""
     return {
         "gold_avg_stats": gold_avg_stats,
         "gold_avg_reduced": gold_avg_reduced,
@@ -334,7 +348,12 @@ _CUSTOMER_JSON_SQL = """cast(to_json({'c_custkey': c_custkey, 'c_name': c_name,
 
 
 def oracle_sql() -> dict[str, str]:
-    """The same results in SQL."""
+    """The same results in SQL, for every query that SQL can express."""
+    return {**table_sql(), **(llm_queries.oracle_sql() if llm_queries else {})}
+
+
+def table_sql() -> dict[str, str]:
+    """SQL for every one of ``table_queries``."""
     event_averages = f"""
         select event_type, c_mktsegment, c_nationkey,
             {_average_sql("value")} as avg_value, {_average_sql("c_acctbal")} as avg_acctbal

@@ -29,10 +29,10 @@ def _sorted(columns, rows):
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.table_queries()))
 def test_query_equals_sql(spark, tables, name):
-    result = registry.queries()[name](spark, SF_DIR)
-    expected = tables.sql(registry.oracle_sql()[name])
+    result = registry.table_queries()[name](spark, SF_DIR)
+    expected = tables.sql(registry.table_sql()[name])
     assert sorted(result.columns) == sorted(expected.columns)
     ours = _sorted(result.columns, [tuple(row) for row in result.collect()])
     theirs = _sorted(expected.columns, expected.fetchall())
@@ -44,7 +44,12 @@ def test_query_equals_sql(spark, tables, name):
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.table_queries()) == set(registry.table_sql())
+
+
+def test_every_query_is_registered():
+    assert set(registry.table_queries()) <= set(registry.queries())
+    assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
 def test_entry_runs(spark):

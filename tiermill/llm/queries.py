@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiermill.llm.bpe import decode_texts, encode_texts
 from tiermill.llm.common import full_text
 from tiermill.llm.exact_dedup import exact_copies
+from tiermill.llm.packing import pack_documents
 from tiermill.llm.sharding import shard_rows
 from tiermill.sources.files import read_parquet
 
 SHARDS = 40
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,14 +39,30 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_documents(spark, sf_dir), VOCABULARY)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(_documents(spark, sf_dir))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = decode_texts(encode_texts(_documents(spark, sf_dir), VOCABULARY), VOCABULARY)
+    return decoded.select(
+        "doc_id",
+        F.call_function("div", F.octet_length("ids"), F.lit(4)).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op2_packing": op2_packing,
         "op5_exact_dedup": op5_exact_dedup,
+        "op7_bpe": op7_bpe,
     }
 
 

@@ -13,6 +13,7 @@ from tiermill.llm.common import full_text
 from tiermill.llm.exact_dedup import exact_copies
 from tiermill.llm.packing import pack_documents
 from tiermill.llm.sharding import shard_rows
+from tiermill.llm.simhash import near_copies
 from tiermill.sources.files import read_parquet
 
 SHARDS = 40
@@ -43,6 +44,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir), VOCABULARY)
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(_documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(_documents(spark, sf_dir))
 
@@ -61,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op2_packing": op2_packing,
+        "op4_simhash": op4_simhash,
         "op5_exact_dedup": op5_exact_dedup,
         "op7_bpe": op7_bpe,
     }

@@ -14,6 +14,7 @@ from tiermill.llm.exact_dedup import exact_copies
 from tiermill.llm.packing import pack_documents
 from tiermill.llm.sharding import shard_rows
 from tiermill.llm.simhash import near_copies
+from tiermill.llm.substring_dedup import cut_repeats
 from tiermill.sources.files import read_parquet
 
 SHARDS = 40
@@ -62,6 +63,15 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_repeats(_documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id",
+        F.col("__n_words").alias("n_words"),
+        F.col("__n_removed").alias("n_removed"),
+        F.col("__kept_sha256").alias("kept_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -69,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_simhash": op4_simhash,
         "op5_exact_dedup": op5_exact_dedup,
         "op7_bpe": op7_bpe,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 

@@ -17,7 +17,9 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
+from tiermill.llm.common import extended
 from tiermill.llm.vocabulary import SPLIT, Vocabulary, parsed, share
 
 # Words a worker remembers with their ids; all are forgotten when it is full.
@@ -198,7 +200,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, text: str = "text", keep: tup
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.binary())], names=[*keep, "ids"])
 
     narrow = docs.select(*[f"`{c}`" for c in keep], f"`{text}`")
-    schema = narrow.select(*[f"`{c}`" for c in keep]).schema.add("ids", "binary")
+    schema = extended(narrow.select(*[f"`{c}`" for c in keep]).schema, "ids binary")
     return narrow.mapInArrow(run, schema)
 
 
@@ -213,4 +215,4 @@ def decode_texts(encoded: DataFrame, vocabulary: str, into: str = "decoded") ->
             texts = [decode(np.frombuffer(i, "<u4")) if i is not None else None for i in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, into])
 
-    return encoded.mapInArrow(run, encoded.schema.add(into, "string"))
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(into, T.StringType())]))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiermill.sources.files import working_folder
 
@@ -70,3 +71,8 @@ def text_sha256(text: Column) -> Column:
 
 def _named(df: DataFrame) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns]
+
+
+def extended(schema: T.StructType, more: str) -> T.StructType:
+    """``schema`` and the fields of the DDL text ``more``, as a new schema."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(more).fields])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tiermill.llm.bpe import decode_texts, encode_texts
 from tiermill.llm.common import full_text
+from tiermill.llm.embedding_dedup import similar_vectors
 from tiermill.llm.exact_dedup import exact_copies
 from tiermill.llm.packing import pack_documents
 from tiermill.llm.sharding import shard_rows
@@ -63,6 +64,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_vectors(read_parquet(spark, f"{sf_dir}/embeddings.parquet"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_repeats(_documents(spark, sf_dir).select("doc_id", "text")).select(
         "doc_id",
@@ -79,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_simhash": op4_simhash,
         "op5_exact_dedup": op5_exact_dedup,
         "op7_bpe": op7_bpe,
+        "op9_embedding_dedup": op9_embedding_dedup,
         "op10_substring_dedup": op10_substring_dedup,
     }
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import full_text, one_row_each, staged
+from tiermill.llm.common import extended, full_text, one_row_each, staged
 from tiermill.llm.components import components, local_roots
 from tiermill.llm.words import words_in_pieces
 
@@ -67,7 +67,7 @@ def _hashes(words: list[bytes], shingle: int) -> np.ndarray:
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and ``fp``, the fingerprint of the whole text as a signed 64-bit integer."""
     narrow = docs.select(*[f"`{c}`" for c in keep], full_text().alias("__text"))
-    schema = narrow.drop("__text").schema.add("fp", "long")
+    schema = extended(narrow.drop("__text").schema, "fp bigint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

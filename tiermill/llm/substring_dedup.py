@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import staged
+from tiermill.llm.common import extended, staged
 from tiermill.llm.words import words_in_pieces
 
 WINDOW = 20
@@ -364,5 +364,5 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK_
     asked = held.drop("windows").join(_answers(shared, "shared"), "chunk", "left")
     earliest = staged(_earliest(_digests(asked, plan)), "first-windows")
     asked = asked.join(_answers(earliest, "earliest"), "chunk", "left")
-    schema = docs.schema.add("__n_words", "long").add("__n_removed", "long").add("__kept_sha256", "string")
+    schema = extended(docs.schema, "__n_words bigint, __n_removed bigint, __kept_sha256 string")
     return _cut_texts(asked.select("chunk", "payload", "shared_slices", "shared", "earliest_slices", "earliest"), plan, schema)

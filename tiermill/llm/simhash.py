@@ -95,8 +95,8 @@ def _deeper(rows: DataFrame, depth: int) -> DataFrame:
     patterns: Column = F.when(flipped == 0, F.array(*map(F.lit, _flips(STEP, 2))))
     patterns = patterns.when(flipped == 1, F.array(*map(F.lit, _flips(STEP, 1)))).otherwise(F.array(F.lit(0)))
     own = F.shiftrightunsigned("fp", 64 - depth - STEP).bitwiseAND(F.lit((1 << STEP) - 1).cast("bigint"))
-    rows = rows.select("fp", "prefix", F.explode(patterns).cast("bigint").alias("pattern"))
-    return rows.select("fp", F.shiftleft("prefix", STEP).bitwiseOR(own.bitwiseXOR("pattern")).alias("prefix"))
+    rows = rows.select("fp", "prefix", F.explode(patterns.cast("array<bigint>")).alias("pattern"))
+    return rows.select("fp", F.shiftleft("prefix", STEP).bitwiseOR(own.bitwiseXOR(F.col("pattern"))).alias("prefix"))
 
 
 def buckets(fps: DataFrame, full: int = FULL_BUCKET) -> DataFrame:

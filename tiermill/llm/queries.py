@@ -12,6 +12,7 @@ from tiermill.llm.bpe import decode_texts, encode_texts
 from tiermill.llm.common import full_text
 from tiermill.llm.embedding_dedup import similar_vectors
 from tiermill.llm.exact_dedup import exact_copies
+from tiermill.llm.kneser_ney import quality
 from tiermill.llm.packing import pack_documents
 from tiermill.llm.sharding import shard_rows
 from tiermill.llm.simhash import near_copies
@@ -46,6 +47,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir), VOCABULARY)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_documents(spark, sf_dir), read_parquet(spark, f"{sf_dir}/labels.parquet"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(_documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
@@ -81,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op2_packing": op2_packing,
+        "op3_quality": op3_quality,
         "op4_simhash": op4_simhash,
         "op5_exact_dedup": op5_exact_dedup,
         "op7_bpe": op7_bpe,

@@ -13,6 +13,7 @@ from tiermill.llm.common import full_text
 from tiermill.llm.embedding_dedup import similar_vectors
 from tiermill.llm.exact_dedup import exact_copies
 from tiermill.llm.kneser_ney import quality
+from tiermill.llm.maxent import text_scores
 from tiermill.llm.packing import pack_documents
 from tiermill.llm.sharding import shard_rows
 from tiermill.llm.simhash import near_copies
@@ -59,6 +60,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(_documents(spark, sf_dir))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_scores(_documents(spark, sf_dir))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = decode_texts(encode_texts(_documents(spark, sf_dir), VOCABULARY), VOCABULARY)
     return decoded.select(
@@ -89,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality": op3_quality,
         "op4_simhash": op4_simhash,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_lm_scoring": op6_lm_scoring,
         "op7_bpe": op7_bpe,
         "op9_embedding_dedup": op9_embedding_dedup,
         "op10_substring_dedup": op10_substring_dedup,

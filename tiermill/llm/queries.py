@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +13,7 @@ from tiermill.llm.common import full_text
 from tiermill.llm.embedding_dedup import similar_vectors
 from tiermill.llm.exact_dedup import exact_copies
 from tiermill.llm.kneser_ney import quality
+from tiermill.llm.licenses import license_notices
 from tiermill.llm.maxent import text_scores
 from tiermill.llm.packing import pack_documents
 from tiermill.llm.sharding import shard_rows
@@ -21,7 +22,7 @@ from tiermill.llm.substring_dedup import cut_repeats
 from tiermill.sources.files import read_parquet
 
 SHARDS = 40
-VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+VOCABULARY = corpus_pipeline.VOCABULARY
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +75,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_notices(_documents(spark, sf_dir))
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_vectors(read_parquet(spark, f"{sf_dir}/embeddings.parquet"))
 
@@ -96,8 +101,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_exact_dedup": op5_exact_dedup,
         "op6_lm_scoring": op6_lm_scoring,
         "op7_bpe": op7_bpe,
+        "op8_license_scan": op8_license_scan,
         "op9_embedding_dedup": op9_embedding_dedup,
         "op10_substring_dedup": op10_substring_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 

@@ -7,7 +7,6 @@
 from __future__ import annotations
 
 import importlib
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,7 +35,9 @@ except ModuleNotFoundError as missing:
 SMOKE_DIR = "/root/testdata/sf0.001"
 KEYS = ["event_type", "c_mktsegment", "c_nationkey"]
 MICRO_BATCHES = 4
-SINK_FILES = 4  # per micro-batch, which holds at most one row per group
+RUN_TIME = "2024-05-06 07:08:09"
+EVENT_COLUMNS = "event_id bigint, ts string, user_id bigint, event_type string, value {}, props string"
+CUSTOMER_COLUMNS = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal {}, c_mktsegment string"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,7 +67,7 @@ def gold_avg_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_avg_reduced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The way taken when the dimension is too large to broadcast."""
+    """The way for two large sides."""
     return _event_averages(_table(spark, sf_dir, "events"), _table(spark, sf_dir, "customer"), reduce_first=True)
 
 
@@ -84,6 +85,34 @@ def gold_avg_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gold_avg_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers repeat on both sides."""
+    return enriched_averages(
+        _table(spark, sf_dir, "events"),
+        _table(spark, sf_dir, "orders"),
+        on=("user_id", "o_custkey"),
+        fact_keys=["event_type"],
+        dimension_keys=["o_orderpriority"],
+        fact_measures={"avg_value": "value"},
+        dimension_measures={"avg_total": "o_totalprice"},
+        exact_scale=2,
+        stamp=None,
+    )
+
+
+def gold_avg_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default form, with the time of the run."""
+    return enriched_averages(
+        _table(spark, sf_dir, "lineitem"),
+        _table(spark, sf_dir, "part"),
+        on=("l_partkey", "p_partkey"),
+        fact_keys=["l_returnflag"],
+        dimension_keys=["p_type"],
+        dimension_measures={"avg_size": "p_size"},
+        run_ts=F.lit(RUN_TIME).cast("timestamp_ntz"),
+    )
+
+
 def _status_or_null() -> Column:
     return F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
 
@@ -214,9 +243,27 @@ def medallion_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = working_folder(spark, "medallion")
     for name in ("events", "customer"):
         _table(spark, sf_dir, name).write.csv(f"{folder}/landing/{name}.csv", header=True)
-    report = Report(
-        facts=Dataset("events", text_columns=["event_type", "props"], numeric_columns=["value"]),
-        dimension=Dataset("customer", text_columns=["c_name", "c_mktsegment"], numeric_columns=["c_acctbal"]),
+    return run_medallion(spark, f"{folder}/landing", f"{folder}/lake", _event_report("double")).drop("timestamp")
+
+
+def medallion_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing files in which a third of the events come twice and a tenth of the numbers are none."""
+    folder = working_folder(spark, "medallion")
+    events, customer = _table(spark, sf_dir, "events"), _table(spark, sf_dir, "customer")
+    events = events.unionByName(events.filter("event_id % 3 = 0"))
+    events = events.withColumn("value", F.expr("CASE WHEN event_id % 10 = 0 THEN 'na' ELSE string(value) END"))
+    customer = customer.withColumn("c_acctbal", F.expr("CASE WHEN c_custkey % 10 = 0 THEN '-' ELSE string(c_acctbal) END"))
+    events.write.csv(f"{folder}/landing/events.csv", header=True)
+    customer.write.csv(f"{folder}/landing/customer.csv", header=True)
+    return run_medallion(spark, f"{folder}/landing", f"{folder}/lake", _event_report("string")).drop("timestamp")
+
+
+def _event_report(number: str) -> Report:
+    """Averages of events and customers whose files hold their numbers as ``number``."""
+    events, customer = EVENT_COLUMNS.format(number), CUSTOMER_COLUMNS.format(number)
+    return Report(
+        facts=Dataset("events", ["event_type", "props"], ["value"], events),
+        dimension=Dataset("customer", ["c_name", "c_mktsegment"], ["c_acctbal"], customer),
         on=("user_id", "c_custkey"),
         fact_keys=["event_type"],
         dimension_keys=["c_mktsegment", "c_nationkey"],
@@ -225,24 +272,22 @@ def medallion_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
         key_type="string",
         options={"exact_scale": 2},
     )
-    return run_medallion(spark, f"{folder}/landing", f"{folder}/lake", report).drop("timestamp")
 
 
 # --- streams --------------------------------------------------------------------------------------
 
 
-def _message_stream(spark: SparkSession, rows: DataFrame, key: str, folder: str) -> DataFrame:
-    """``rows`` published as a folder of messages and read back as a stream of a few micro-batches."""
-    write_messages(encode(rows, key), f"{folder}/messages", max(1, math.ceil(rows.count() / MICRO_BATCHES)))
-    files = len(read_parquet(spark, f"{folder}/messages").inputFiles())
-    return read_message_folder(spark, f"{folder}/messages", max(1, math.ceil(files / MICRO_BATCHES)))
+def _message_stream(spark: SparkSession, messages: DataFrame, folder: str) -> DataFrame:
+    """Messages published as a folder, a file per core, and read back as a stream of a few micro-batches."""
+    files = spark.sparkContext.defaultParallelism
+    write_messages(messages.repartition(files), f"{folder}/messages")
+    return read_message_folder(spark, f"{folder}/messages", max(1, files // MICRO_BATCHES))
 
 
-def _run_event_stream(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    events = _table(spark, sf_dir, "events")
+def _run_event_stream(spark: SparkSession, sf_dir: str, folder: str, messages: DataFrame) -> None:
     averages = average_messages(
-        _message_stream(spark, events, "user_id", folder),
-        string_schema(events.columns),
+        _message_stream(spark, messages, folder),
+        string_schema(_table(spark, sf_dir, "events").columns),
         valid_dimension(_table(spark, sf_dir, "customer"), "c_custkey", ["c_acctbal"]),
         on=("user_id", "c_custkey"),
         fact_keys=["event_type"],
@@ -251,24 +296,34 @@ def _run_event_stream(spark: SparkSession, sf_dir: str, folder: str) -> None:
         dimension_measures={"avg_acctbal": "c_acctbal"},
         exact_scale=2,
     )
-    sinks = [
-        message_folder_sink(f"{folder}/topic", "event_type", files=SINK_FILES),
-        parquet_sink(f"{folder}/table", files=SINK_FILES),
-    ]
+    sinks = [message_folder_sink(f"{folder}/topic", "event_type"), parquet_sink(f"{folder}/table")]
     start_updates(averages, sinks, f"{folder}/checkpoint", available_now=True).awaitTermination()
 
 
 def stream_enrich_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table the stream wrote, newest row per group."""
     folder = working_folder(spark, "stream")
-    _run_event_stream(spark, sf_dir, folder)
+    _run_event_stream(spark, sf_dir, folder, encode(_table(spark, sf_dir, "events"), "user_id"))
+    return latest_per_key(read_parquet(spark, f"{folder}/table"), KEYS).drop("timestamp", "batch_id")
+
+
+def stream_bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over messages of which some hold no JSON, some nothing, and some a measure that is no number."""
+    folder = working_folder(spark, "stream")
+    events = _table(spark, sf_dir, "events")
+    worded = events.withColumn("value", F.expr("CASE WHEN event_id % 7 = 0 THEN 'abc' ELSE string(value) END"))
+    messages = encode(worded.filter("event_id % 11 > 0 AND event_id % 13 > 0"), "user_id")
+    for part, value in (("event_id % 11 = 0", "{'user_id"), ("event_id % 13 = 0", None)):
+        bad = events.filter(part).select(F.col("user_id").cast("string").alias("key"), F.lit(value).cast("string").alias("value"))
+        messages = messages.unionByName(bad)
+    _run_event_stream(spark, sf_dir, folder, messages)
     return latest_per_key(read_parquet(spark, f"{folder}/table"), KEYS).drop("timestamp", "batch_id")
 
 
 def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messages the same stream wrote to its second sink, newest per group."""
     folder = working_folder(spark, "stream")
-    _run_event_stream(spark, sf_dir, folder)
+    _run_event_stream(spark, sf_dir, folder, encode(_table(spark, sf_dir, "events"), "user_id"))
     messages = read_parquet(spark, f"{folder}/topic")
     schema = string_schema([*KEYS, "avg_value", "avg_acctbal"])
     fields = messages.select(
@@ -282,7 +337,7 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = working_folder(spark, "tail")
-    messages = _message_stream(spark, _table(spark, sf_dir, "customer"), "c_custkey", folder)
+    messages = _message_stream(spark, encode(_table(spark, sf_dir, "customer"), "c_custkey"), folder)
     tail_to_files(messages, f"{folder}/out", f"{folder}/checkpoint", available_now=True).awaitTermination()
     return read_parquet(spark, f"{folder}/out")
 
@@ -306,6 +361,8 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_avg_stats": gold_avg_stats,
         "gold_avg_reduced": gold_avg_reduced,
         "gold_avg_lineitem": gold_avg_lineitem,
+        "gold_avg_repeated": gold_avg_repeated,
+        "gold_avg_double": gold_avg_double,
         "avg_null_group": avg_null_group,
         "inner_join": inner_join,
         "project_alias": project_alias,
@@ -324,7 +381,9 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_decode": json_decode,
         "csv_to_bronze": csv_to_bronze,
         "medallion_avg": medallion_avg,
+        "medallion_dirty": medallion_dirty,
         "stream_enrich_agg": stream_enrich_agg,
+        "stream_bad_messages": stream_bad_messages,
         "stream_fan_out": stream_fan_out,
         "stream_passthrough": stream_passthrough,
     }
@@ -369,6 +428,13 @@ def table_sql() -> dict[str, str]:
             select l_returnflag, l_linestatus, p_type, p_brand, {_average_sql("l_extendedprice")} as avg_price,
                 {_average_sql("l_quantity")} as avg_quantity, {_average_sql("p_retailprice")} as avg_retail
             from lineitem join part on l_partkey = p_partkey group by all""",
+        "gold_avg_repeated": f"""
+            select event_type, o_orderpriority, {_average_sql("value")} as avg_value,
+                {_average_sql("o_totalprice")} as avg_total
+            from events join orders on user_id = o_custkey group by all""",
+        "gold_avg_double": f"""
+            select l_returnflag, p_type, {_average_sql("p_size")} as avg_size, timestamp '{RUN_TIME}' as "timestamp"
+            from lineitem join part on l_partkey = p_partkey group by all""",
         "avg_null_group": f"""
             select {_STATUS_SQL} as status, o_orderpriority, {_average_sql("o_totalprice")} as avg_total
             from orders group by all""",
@@ -415,7 +481,16 @@ def table_sql() -> dict[str, str]:
             from events""",
         "csv_to_bronze": "select * from customer",
         "medallion_avg": cleaned_averages,
+        "medallion_dirty": f"""
+            {cleaned_averages.replace("group by all", "")}
+            where event_id % 10 <> 0 and c_custkey % 10 <> 0 group by all""",
         "stream_enrich_agg": event_averages,
+        "stream_bad_messages": f"""
+            select event_type, c_mktsegment, c_nationkey,
+                {_average_sql("case when event_id % 7 <> 0 then value end")} as avg_value,
+                {_average_sql("c_acctbal")} as avg_acctbal
+            from events join customer on user_id = c_custkey
+            where event_id % 11 <> 0 and event_id % 13 <> 0 group by all""",
         "stream_fan_out": event_averages,
         "stream_passthrough": f"select {_CUSTOMER_JSON_SQL} as value from customer",
     }

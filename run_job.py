@@ -18,6 +18,7 @@ from tiermill.plans.athletes import REPORT
 from tiermill.plans.medallion import run_medallion, to_bronze, to_gold, to_silver
 from tiermill.sources.jdbc import DEFAULT_DRIVER, JdbcConnection, KeyRange
 from tiermill.sources.topics import TopicConnection
+from tiermill.streaming.pipelines import PRINTED
 
 SETTINGS = "spark.tiermill"
 DATASETS = (REPORT.dimension, REPORT.facts)
@@ -35,14 +36,20 @@ def arguments() -> argparse.ArgumentParser:
     for name in ("publish", "stream"):
         job = jobs.add_parser(name)
         bounds = ("COLUMN", "LOWER", "UPPER", "PARTS")
-        job.add_argument("--split", nargs=4, metavar=bounds, help="read the table in parts")
+        reading = job.add_mutually_exclusive_group(required=True)
+        reading.add_argument("--split", nargs=4, metavar=bounds, help="read the table in parts")
+        reading.add_argument("--one-task", action="store_true", help="read the table in one task; for small tables")
         if name == "stream":
-            job.add_argument("--checkpoint", help="folder from which a restart goes on")
+            progress = job.add_mutually_exclusive_group(required=True)
+            progress.add_argument("--checkpoint", help="shared folder from which a restart goes on")
+            progress.add_argument("--trial", action="store_true", help="keep no progress; a restart begins anew")
             job.add_argument("--max-per-batch", type=int, help="messages per micro-batch")
-            held = ("PARTITIONS", "COPIES")
-            job.add_argument("--hold", nargs=2, type=int, metavar=held, help="keep the bios on the executors")
+            held = job.add_mutually_exclusive_group()
+            held.add_argument("--hold", type=int, metavar="PARTITIONS", default=athlete_jobs.HELD_PARTITIONS)
+            held.add_argument("--fresh", action="store_true", help="read the bios anew in every micro-batch")
+            job.add_argument("--hot", nargs="*", default=(), metavar="ATHLETE", help="athletes with very many results")
             job.add_argument("--batch-column", help="column of the output table for the micro-batch number")
-    jobs.add_parser("tail").add_argument("--max-per-batch", type=int, help="messages per micro-batch")
+    jobs.add_parser("tail").add_argument("--max-per-batch", type=int, default=PRINTED, help="messages per micro-batch")
     return parser
 
 
@@ -80,9 +87,16 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "publish":
         athlete_jobs.publish_results(spark, database(spark), broker(spark), split)
     elif args.job == "stream":
-        hold = tuple(args.hold) if args.hold else None
         query = athlete_jobs.stream_results(
-            spark, database(spark), broker(spark), args.checkpoint, args.max_per_batch, split, hold, args.batch_column
+            spark,
+            database(spark),
+            broker(spark),
+            args.checkpoint,
+            split,
+            args.max_per_batch,
+            None if args.fresh else args.hold,
+            args.hot,
+            args.batch_column,
         )
         query.awaitTermination()
     else:

@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tiermill.operators.averages import enriched_averages, fits_broadcast, group_averages, latest_per_key
+from tiermill.operators import averages as averages_module
+from tiermill.operators.averages import enriched_averages, group_averages, latest_per_key
 from tiermill.operators.columns import dedupe
 from tiermill.operators.joins import enrich
 
@@ -92,15 +93,15 @@ def test_both_ways_agree_in_double_form(skewed):
         assert one[key] == pytest.approx(two[key], abs=0.011)
 
 
-def test_large_dimension_is_joined_after_reducing(skewed, conf, plan_of):
+def test_two_large_sides_are_reduced_and_merged(skewed, conf, plan_of):
     facts, dims, fact_rows, dim_rows = skewed
-    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    assert not fits_broadcast(dims)
-    df = enriched_averages(facts, dims, ("k", "id"), ["g"], ["s"], ["v"], ["h"], exact_scale=2, stamp=None)
+    df = enriched_averages(
+        facts, dims, ("k", "id"), ["g"], ["s"], ["v"], ["h"], exact_scale=2, stamp=None, reduce_first=True
+    )
     plan = plan_of(df)
     join = plan.index("SortMergeJoin")
     assert "Broadcast" not in plan
-    assert plan[join:].count("partial_count") > 0
+    assert plan[join:].count("partial_count") == 2
     assert {(r.g, r.s): (r.avg_v, r.avg_h) for r in df.collect()} == brute_force(fact_rows, dim_rows)
 
 
@@ -109,7 +110,6 @@ def test_small_dimension_is_broadcast_and_facts_stay_in_place(spark, skewed, pla
     facts.write.parquet(str(tmp_path / "facts"))
     dims.write.parquet(str(tmp_path / "dims"))
     facts, dims = spark.read.parquet(str(tmp_path / "facts")), spark.read.parquet(str(tmp_path / "dims"))
-    assert fits_broadcast(dims)
     plan = plan_of(enriched_averages(facts, dims, ("k", "id"), ["g"], ["s"], ["v"], ["h"], stamp=None))
     above, below = plan.split("BroadcastHashJoin")
     assert above.count("Exchange hashpartitioning") == 1
@@ -118,7 +118,7 @@ def test_small_dimension_is_broadcast_and_facts_stay_in_place(spark, skewed, pla
     assert "HashAggregate" in dimension_side and "struct<id:int,s:string,h:double>" in dimension_side
 
 
-def test_small_facts_are_broadcast_and_a_large_dimension_stays_in_place(spark, skewed, conf, plan_of, tmp_path):
+def test_small_facts_are_broadcast(spark, skewed, conf, plan_of, tmp_path):
     facts, _, fact_rows, _ = skewed
     facts.write.parquet(str(tmp_path / "facts"))
     height = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 100
@@ -128,13 +128,43 @@ def test_small_facts_are_broadcast_and_a_large_dimension_stays_in_place(spark, s
     facts, dims = spark.read.parquet(str(tmp_path / "facts")), spark.read.parquet(str(tmp_path / "dims"))
     conf("spark.sql.autoBroadcastJoinThreshold", "100KB")
     df = enriched_averages(facts, dims, ("k", "id"), ["g"], ["s"], ["v"], ["h"], exact_scale=2, stamp=None)
-    fact_side, dimension_side = plan_of(df).split("BroadcastHashJoin")[1].split("struct<k:int,g:string,v:double>")
-    assert "BroadcastExchange" in fact_side and "HashAggregate" in fact_side
-    assert "Exchange" not in dimension_side and "struct<id:int,s:string,h:double>" in dimension_side
+    assert "BroadcastHashJoin" in plan_of(df)
     dim_rows = [tuple(r) for r in dims.collect()]
     assert {(r.g, r.s): (r.avg_v, r.avg_h) for r in df.collect()} == brute_force(fact_rows, dim_rows)
 
 
+def test_underestimated_dimension_is_not_broadcast(spark, conf, plan_of, tmp_path, monkeypatch):
+    """Spark's estimate does not see that the dimension multiplies; the count does."""
+    spark.range(10).write.parquet(str(tmp_path / "dims"))
+    conf("spark.sql.autoBroadcastJoinThreshold", "30KB")
+    facts = spark.range(0, 2_000_000).select((F.col("id") % 50_000).cast("int").alias("k"), F.lit(1.0).alias("v"))
+    dims = spark.read.parquet(str(tmp_path / "dims"))
+    dims = dims.select(F.explode(F.expr("cast(sequence(id * 5000, id * 5000 + 4999) as array<int>)")).alias("id"))
+    dims = dims.withColumn("h", F.lit(2.0))
+    df = enriched_averages(facts, dims, ("k", "id"), [], [], ["v"], ["h"], exact_scale=2, stamp=None)
+    assert "BroadcastHashJoin" in plan_of(df)
+    monkeypatch.setattr(averages_module, "BROADCAST_ROWS", 40_000)
+    df = enriched_averages(facts, dims, ("k", "id"), [], [], ["v"], ["h"], exact_scale=2, stamp=None)
+    assert tuple(df.collect()[0]) == (1.0, 2.0)
+    final = plan_of(df).split("Initial Plan")[0]
+    assert "SortMergeJoin" in final and "BroadcastHashJoin" not in final
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+@pytest.mark.parametrize("reduce_first", [None, False, True])
+def test_large_sums_are_exact_in_every_plan(spark, conf, reduce_first, threshold, ansi):
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
+    conf("spark.sql.ansi.enabled", ansi)
+    facts = spark.range(20_000).select(F.lit(1).alias("k"), F.lit(1.0e13).alias("v"))
+    dims = spark.range(1_000_000).select(F.lit(1).alias("id"), F.lit(1.0e13).alias("h"))
+    for left, right in ((facts, dims), (dims.toDF("k", "v"), facts.toDF("id", "h"))):
+        df = enriched_averages(
+            left, right, ("k", "id"), [], [], ["v"], ["h"], exact_scale=2, stamp=None, reduce_first=reduce_first
+        )
+        assert tuple(df.first()) == (1.0e13, 1.0e13)
+
+
 def test_only_named_columns_are_read(spark, plan_of):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     customer = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")

@@ -146,3 +146,14 @@ def test_working_folder_lies_in_the_shared_folder(spark, tmp_path):
         conf = {"spark.checkpoint.dir": f"{tmp_path}/shared/"}
 
     assert working_folder(OnCluster, "x").startswith(f"{tmp_path}/shared/x-")
+
+
+def test_working_folder_of_a_cluster_must_be_shared():
+    class Session:
+        def __init__(self, **conf):
+            self.conf = conf
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError):
+            working_folder(Session(**{"spark.master": master}), "x")
+    assert working_folder(Session(**{"spark.master": "local[4]"}), "x").rpartition("/")[2].startswith("x-")

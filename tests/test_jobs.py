@@ -32,12 +32,12 @@ def test_result_stream_keeps_the_missing_medal_null(spark, tmp_path, monkeypatch
     types = ", ".join(f"{c} {'int' if c == 'athlete_id' else 'string'}" for c in BIO_COLUMNS)
     bio_table = spark.createDataFrame(BIOS, types)
     monkeypatch.setattr(athlete_jobs, "read_table", lambda spark, database, table, split: bio_table)
-    bios = athlete_jobs.athlete_bios(spark, None)
+    bios = athlete_jobs.athlete_bios(spark, None, None)
     assert sorted(r.athlete_id for r in bios.collect()) == ["1", "2", "2", "6"]
     rows = [tuple(None if v is None else str(v) for v in row) for row in RESULT_ROWS]
     write_messages(encode(spark.createDataFrame(rows, RESULT_SCHEMA), "athlete_id"), f"{tmp_path}/in/a")
     averages = athlete_jobs.result_averages(read_message_folder(spark, f"{tmp_path}/in/*"), bios)
-    start_updates(averages, [parquet_sink(f"{tmp_path}/out")], available_now=True).awaitTermination()
+    start_updates(averages, [parquet_sink(f"{tmp_path}/out")], f"{tmp_path}/state", available_now=True).awaitTermination()
     found = spark.read.parquet(f"{tmp_path}/out")
     assert found.columns == [*OUTPUT_COLUMNS, "batch_id"]
     groups = {(r.sport, r.medal, r.sex, r.country_noc): (r.avg_height, r.avg_weight) for r in found.collect()}
@@ -64,7 +64,11 @@ def test_connections_come_from_settings(spark, conf):
     "argv, job, called",
     [
         (["publish", "--split", "id", "1", "9", "4"], "publish_results", 1),
-        (["stream", "--checkpoint", "c", "--max-per-batch", "50", "--hold", "8", "2"], "stream_results", 1),
+        (
+            ["stream", "--checkpoint", "c", "--one-task", "--max-per-batch", "50", "--hold", "8", "--hot", "5", "9"],
+            "stream_results",
+            1,
+        ),
         (["tail"], "tail_output", 1),
     ],
 )
@@ -85,7 +89,7 @@ def test_topic_jobs_are_wired(spark, conf, monkeypatch, argv, job, called):
     else:
         assert "awaited" in calls
     if job == "stream_results":
-        assert calls[0][3:] == ("c", 50, None, (8, 2), None)
+        assert calls[0][3:] == ("c", None, 50, 8, ["5", "9"], None)
 
 
 def test_stream_job_builds_its_plan(spark, monkeypatch, tmp_path):
@@ -104,11 +108,35 @@ def test_stream_job_builds_its_plan(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(athlete_jobs, "read_topic", lambda *args, **kw: read_message_folder(spark, f"{tmp_path}/in/*"))
     monkeypatch.setattr(athlete_jobs, "topic_sink", sink("topic"))
     monkeypatch.setattr(athlete_jobs, "table_sink", sink("table"))
-    for hold in (None, (2, 1), (2, 3)):
+    for options in ({"hold": None}, {"hold": 2}, {"hold": 2, "hot": ["1"]}):
         written.clear()
-        query = athlete_jobs.stream_results(spark, None, None, hold=hold)
+        query = athlete_jobs.stream_results(spark, None, None, None, None, **options)
         query.processAllAvailable()
         query.stop()
         assert [tuple(r) for r in written["topic"]] == [("x", "x", "F", "x", 180.0, 70.0)]
         assert written["topic"] == written["table"]
     spark.catalog.clearCache()
+
+
+@pytest.mark.parametrize("argv", [["publish"], ["stream", "--one-task"], ["stream", "--checkpoint", "c"]])
+def test_reading_and_progress_must_be_stated(argv):
+    with pytest.raises(SystemExit):
+        run_job.main(argv)
+
+
+def test_stream_job_holds_the_bios_by_default(spark, monkeypatch, tmp_path, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    bio_table = spark.createDataFrame([(1, "F", "180", "70")], "athlete_id int, sex string, height string, weight string")
+    row = {name: "x" for name in RESULT_SCHEMA.names} | {"athlete_id": "1"}
+    df = spark.createDataFrame([tuple(row.values())], RESULT_SCHEMA)
+    write_messages(encode(df, F.col("athlete_id")), f"{tmp_path}/in/a")
+    monkeypatch.setattr(athlete_jobs, "read_table", lambda *args: bio_table)
+    monkeypatch.setattr(athlete_jobs, "read_topic", lambda *args, **kw: read_message_folder(spark, f"{tmp_path}/in/*"))
+    for name in ("topic_sink", "table_sink"):
+        monkeypatch.setattr(athlete_jobs, name, lambda *args: lambda batch, batch_id: batch.count())
+    query = athlete_jobs.stream_results(spark, None, None, f"{tmp_path}/state", None, hold=3)
+    query.processAllAvailable()
+    plan = query._jsq.explainInternal(False)
+    query.stop()
+    assert "InMemoryTableScan" in plan and "SortMergeJoin" in plan
+    spark.catalog.clearCache()

@@ -3,7 +3,6 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tiermill.operators.joins import SALT
 from tiermill.operators.messages import decode, encode, string_schema, value_text
 from tiermill.plans.athletes import RESULT_FIELDS, RESULT_SCHEMA
 from tiermill.plans.tables import valid_dimension
@@ -52,15 +51,6 @@ def test_each_message_is_parsed_once(spark, plan_of):
     assert "StructField(c" not in plan
 
 
-def test_numbered_messages(spark):
-    messages = spark.range(400).select(F.concat(F.lit('{"a":"'), "id", F.lit('"}')).alias("value"))
-    counts = decode(messages, string_schema(["a"]), copies=4).groupBy(SALT).count().collect()
-    assert sorted(r[SALT] for r in counts) == [0, 1, 2, 3]
-    assert min(r["count"] for r in counts) > 50
-    same = spark.range(400).select(F.lit("x").alias("value"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
-    assert decode(same, string_schema(["a"]), copies=4).select(SALT).distinct().count() == 4
-
-
 def test_valid_dimension(spark):
     df = spark.createDataFrame([(1, "180", "na"), (2, "180.5", "70"), (3, None, "70")], "id int, h string, w string")
     valid = valid_dimension(df, "id", ["h", "w"])

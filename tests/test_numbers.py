@@ -78,6 +78,14 @@ def test_values_that_cannot_be_exact_use_the_double_average(spark):
     assert average(spark, [None, None]) is None
 
 
+def test_large_finite_values_are_exact_in_any_order(spark):
+    """One value beyond the integer parts does not make its group depend on the order of the rows."""
+    values = [3e15, -3e15, 0.01, 0.02, 0.02]
+    for shift in range(5):
+        assert average(spark, values[shift:] + values[:shift], partitions=shift + 1) == 0.01
+    assert average(spark, [2.0**53, 2.0**53 + 4]) == 2.0**53 + 2
+
+
 def test_default_form_is_the_rounded_double_average(spark):
     df = spark.createDataFrame([(1, 1.0), (1, 2.0), (1, 2.0)], "k int, x double")
     assert group_averages(df, ["k"], ["x"], stamp=None).first().avg_x == 1.67

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tiermill.operators.averages import group_averages, latest_per_key
-from tiermill.operators.joins import enrich
-from tiermill.operators.messages import encode
+from tiermill.operators.joins import enrich, hot_keys, salted, spread
+from tiermill.operators.messages import encode, string_schema
 from tiermill.plans.athletes import DIMENSION_KEYS, FACT_KEYS, KEY, MEASURES, RESULT_SCHEMA
 from tiermill.sinks.files import message_folder_sink, parquet_sink, write_messages
 from tiermill.sources.topics import read_message_folder
@@ -54,10 +54,10 @@ def publish(messages, path, files):
         write_messages(part, f"{path}/part{n}")
 
 
-def run(spark, topic, base, dimension, files_per_batch=None, copies=None):
+def run(spark, topic, base, dimension, files_per_batch=None, hot=(), copies=8):
     averages = average_messages(
         read_message_folder(spark, f"{topic}/*", files_per_batch), RESULT_SCHEMA, dimension, (KEY, KEY),
-        FACT_KEYS, DIMENSION_KEYS, (), MEASURES, exact_scale=2, run_ts=AT, copies=copies,
+        FACT_KEYS, DIMENSION_KEYS, (), MEASURES, exact_scale=2, run_ts=AT, hot=hot, copies=copies,
     )
     sinks = [message_folder_sink(f"{base}/topic", "sport"), parquet_sink(f"{base}/table")]
     query = start_updates(averages, sinks, f"{base}/checkpoint", available_now=True)
@@ -117,21 +117,30 @@ def plan_of_last_batch(query):
     return query._jsq.explainInternal(False)
 
 
-def test_large_dimension_is_spread(spark, topic, bios, expected, tmp_path, conf):
+def test_rows_of_hot_keys_are_copied_and_no_others(spark, topic, results, bios, expected, tmp_path, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    query = run(spark, topic, tmp_path, bios)
+    hot = hot_keys(results, KEY, share=0.25)
+    assert hot == ["7"]
+    assert spread(bios, KEY, hot, 8).count() == 9 + 7
+    query = run(spark, topic, tmp_path, bios, hot=hot)
     assert "explode(" in plan_of_last_batch(query)
     assert as_dict(latest_per_key(spark.read.parquet(f"{tmp_path}/table"), KEYS)) == expected
 
 
+def test_equal_messages_of_a_hot_key_take_turns(spark):
+    same = spark.range(0, 800, 1, 2).select(F.lit("7").alias("k"))
+    counts = same.select(salted(F.col("k"), ["7"], 8)).groupBy("__salt").count().collect()
+    assert sorted(r["__salt"] for r in counts) == list(range(8))
+    assert min(r["count"] for r in counts) > 50
+    assert {r[0] for r in same.select(salted(F.col("k"), ["8"], 8)).distinct().collect()} == {0}
+
+
 def test_held_dimension_is_not_shuffled_or_sorted_again(spark, topic, bios, expected, tmp_path, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    held = hold_dimension(bios, KEY, 4, copies=3)
+    held = hold_dimension(bios, KEY, 4, ["7"], copies=3)
     try:
-        assert held.count() == 27
-        with pytest.raises(ValueError):
-            run(spark, topic, tmp_path, held)
-        query = run(spark, topic, tmp_path, held, copies=3)
+        assert held.count() == 11
+        query = run(spark, topic, tmp_path, held, hot=["7"], copies=3)
         plan = plan_of_last_batch(query)
         assert "SortMergeJoin" in plan and "InMemoryTableScan" in plan
         assert "AdaptiveSparkPlan" not in plan.split("InMemoryRelation")[0]
@@ -155,19 +164,44 @@ def test_duplicates_count_in_the_stream(spark, bios, tmp_path):
     assert found == {("x y", "x y", "x y", "M"): (round((153.25 * 2 + 159.75) / 3, 2), 52.5)}
 
 
-def test_tail_prints_and_stores_the_text(spark, tmp_path):
+def test_tail_prints_and_stores_the_text(spark, tmp_path, capsys):
     df = spark.createDataFrame([("k", '{"a":1}'), (None, "é")], "key string, value string")
     write_messages(df, f"{tmp_path}/in/a")
     stream = read_message_folder(spark, f"{tmp_path}/in/*")
     printed = tail(stream, available_now=True)
     printed.awaitTermination()
-    assert "Console" in printed.lastProgress.sink.description
+    assert '{"a":1}' in capsys.readouterr().out
     assert sum(p.numInputRows for p in printed.recentProgress) == 2
     tail_to_files(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint", available_now=True).awaitTermination()
     stored = spark.read.parquet(f"{tmp_path}/out")
     assert sorted(r.value for r in stored.collect()) == ['{"a":1}', "é"]
 
 
+def test_tail_says_how_many_messages_it_leaves_out(spark, tmp_path, capsys):
+    df = spark.range(100).select(F.lit("k").alias("key"), F.format_string("m%03d", "id").alias("value"))
+    write_messages(df.coalesce(1), f"{tmp_path}/in/a")
+    for rows, left in ((30, 70), (100, 0), (1000, 0)):
+        tail(read_message_folder(spark, f"{tmp_path}/in/*"), available_now=True, rows=rows).awaitTermination()
+        lines = capsys.readouterr().out.split()
+        assert sum(line.startswith("m") and line != "more" for line in lines) == 100 - left
+        assert ("and 70 more".split() == lines[-3:]) == (left > 0)
+
+
+def test_a_measure_that_is_no_number_does_not_stop_the_stream(spark, bios, tmp_path):
+    schema = string_schema(["athlete_id", "points"])
+    values = ['{"athlete_id":"1","points":"abc"}', '{"athlete_id":"1","points":"3"}', '{"athlete_id":"2","points":"x"}']
+    rows = spark.createDataFrame([("k", v) for v in values], "key string, value string")
+    write_messages(rows, f"{tmp_path}/in/a")
+    for scale in (None, 2):
+        averages = average_messages(
+            read_message_folder(spark, f"{tmp_path}/in/*"), schema, bios, (KEY, KEY), [], ["sex"], ["points"],
+            exact_scale=scale, run_ts=AT,
+        )
+        out = f"{tmp_path}/out{scale}"
+        start_updates(averages, [parquet_sink(out)], f"{out}-state", available_now=True).awaitTermination()
+        assert {r.sex: r.avg_points for r in spark.read.parquet(out).collect()} == {"M": 3.0, "F": None}
+
+
 def test_files_per_micro_batch(spark, tmp_path):
     df = spark.range(100).select(F.col("id").cast("string").alias("k")).repartition(8)
     for batch_id, files in enumerate([None, 2]):

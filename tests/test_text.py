@@ -1,3 +1,4 @@
+from decimal import Decimal
 import datetime
 import decimal
 import re
@@ -83,7 +84,17 @@ def test_typed_columns_are_cleaned_as_python_text(spark, type_name, values):
 def test_string_columns_stay_in_the_jvm(spark, plan_of):
     df = spark.createDataFrame([("a", 1, 1.5)], "t string, i int, d double")
     assert "Python" not in plan_of(clean_columns(df.repartition(2), ["t", "i"]))
-    assert "Python" in plan_of(clean_columns(df.repartition(2), ["t", "d"]))
+    with pytest.warns(UserWarning, match="d$"):
+        assert "ArrowEvalPython" in plan_of(clean_columns(df.repartition(2), ["t", "d"]))
+
+
+def test_booleans_and_short_decimals_stay_in_the_jvm(spark, plan_of):
+    values = [(True, Decimal("1.50"), Decimal("0.000000")), (False, Decimal("-0.05"), Decimal("0.000001")), (None, None, None)]
+    df = spark.createDataFrame(values, "b boolean, d decimal(10,2), e decimal(20,6)").repartition(1)
+    cleaned = clean_columns(df, ["b", "d", "e"])
+    assert "Python" not in plan_of(cleaned)
+    clean = value_cleaner()
+    assert sorted(map(tuple, cleaned.collect())) == sorted(tuple(clean(v) for v in row) for row in values)
 
 
 def test_map_columns_applies_any_function(spark):

@@ -9,11 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A scaled value is summed as two integers, its high part and its low LOW_BITS bits. Both sums stay far
-# from the limit of a bigint: the low parts for 2**43 rows of any value, the high parts for 2**33 rows
-# of the largest value allowed and correspondingly more rows of smaller ones.
+# A scaled value is summed as two integers, its high part and its low LOW_BITS bits. Counted one by one, both sums
+# stay far from the limit of a bigint: the low parts for 2**43 rows of any value, the high parts for 2**33 rows
+# of the largest value allowed and correspondingly more rows of smaller ones. Sums that are weighted or summed again have
+# no such bound and are taken as decimals. Larger values up to LARGEST_EXACT go into a decimal of their own.
 LOW_BITS = 20
 LARGEST_SCALED = 2**50
+LARGEST_EXACT = 10**24
+# Up to this average, in scaled units, the rounding is done in integers.
+LARGEST_ROUNDED = 10**15
+PARTS = ("n", "sum", "high", "low", "big")
 
 
 def is_number(column: Column, finite_only: bool = False) -> Column:
@@ -39,14 +44,18 @@ def value_parts(x: str, exact_scale: int | None) -> dict[str, str]:
     """What one row adds to the average of the double ``x``: the part's suffix and its SQL.
 
     Always ``n`` (1 unless null) and ``sum``. With ``exact_scale``, over a column ``x_scaled`` made by :func:`scaled`,
-    ``high`` and ``low`` are the scaled value in two parts, and ``sum`` is left to the values that could not be
-    scaled (NaN, infinite, too large); its total is null if there are none.
+    ``high`` and ``low`` are the scaled value in two parts, ``big`` is that of a value too large for them, and ``sum``
+    is left to the values that are not summed exactly (NaN, infinite, beyond LARGEST_EXACT); its total is null if
+    there are none.
     """
     if exact_scale is None:
         return {"n": f"CAST({x} IS NOT NULL AS BIGINT)", "sum": x}
+    least, most = LARGEST_SCALED / 10**exact_scale, LARGEST_EXACT / 10**exact_scale
+    large = f"abs({x}) >= {least!r}D AND abs({x}) < {most!r}D"
     return {
         "n": f"CAST({x} IS NOT NULL AS BIGINT)",
-        "sum": f"CASE WHEN {x}_scaled IS NULL THEN {x} END",
+        "sum": f"CASE WHEN abs({x}) >= {most!r}D THEN {x} END",
+        "big": f"CASE WHEN {large} THEN CAST({x} * {10**exact_scale}.0D AS DECIMAL(25,0)) END",
         "high": f"shiftright({x}_scaled, {LOW_BITS})",
         "low": f"{x}_scaled & {2**LOW_BITS - 1}",
     }
@@ -57,23 +66,23 @@ def average_parts(x: str, exact_scale: int | None) -> list[str]:
     return [f"sum({part}) AS {x}_{name}" for name, part in value_parts(x, exact_scale).items()]
 
 
-def merged_parts(x: str, weight: str | None, exact_scale: int | None, many: bool) -> list[str]:
+def merged_parts(x: str, weight: str | None, exact_scale: int | None) -> list[str]:
     """Aggregates that merge parts of ``x``, each counted ``weight`` times, or once.
 
-    ``many``: both factors may be large, so the exact parts are multiplied as decimals.
+    The exact parts are decimals here: how often a row counts, or how many rows a part stands for, has no bound.
     """
-    names = ["n", "sum"] if exact_scale is None else ["n", "sum", "high", "low"]
     merged = []
-    for name in names:
+    for name in PARTS[:2] if exact_scale is None else PARTS:
         part = f"{x}_{name}"
-        factor = f"CAST({part} AS DECIMAL(20,0))" if many and name in ("high", "low") else part
+        factor = f"CAST({part} AS DECIMAL(38,0))" if name in PARTS[2:] else part
         merged.append(f"sum({factor if weight is None else f'{factor} * {weight}'}) AS {part}")
     return merged
 
 
 def exact_total(x: str) -> str:
-    """The two integer sums put together."""
-    return f"CAST({x}_high AS DECIMAL(30,0)) * {2**LOW_BITS} + {x}_low AS {x}_total"
+    """The exact sums put together."""
+    high, low, big = (f"coalesce(CAST({x}_{part} AS DECIMAL(38,0)), 0)" for part in PARTS[2:])
+    return f"CAST({high} * {2**LOW_BITS} + {low} + {big} AS DECIMAL(38,0)) AS {x}_total"
 
 
 def plain_average(x: str, digits: int) -> str:
@@ -84,12 +93,15 @@ def plain_average(x: str, digits: int) -> str:
 def exact_average(x: str, digits: int, exact_scale: int) -> str:
     """Average from ``x_total``, rounded to ``digits`` in integer arithmetic: round(a / b) = (2a + b) div 2b.
 
-    A group with a value that could not be scaled gets the rounded double average.
+    Beyond LARGEST_ROUNDED the exact total is divided as a double. A group with a value that is not summed exactly gets
+    the rounded double average.
     """
     up, down = 10 ** max(digits - exact_scale, 0), 10 ** max(exact_scale - digits, 0)
     units = f"(abs({x}_total) * {2 * up} + {x}_n * {down}) div ({x}_n * {2 * down})"
-    double_sum = f"({x}_sum + coalesce(CAST({x}_total AS DOUBLE), 0.0D) / {10**exact_scale}.0D)"
+    double_total = f"CAST({x}_total AS DOUBLE) / {10**exact_scale}.0D"
+    small = f"abs(CAST({x}_total AS DOUBLE)) < {x}_n * {LARGEST_ROUNDED}.0D"
     return (
-        f"CASE WHEN {x}_sum IS NOT NULL THEN round({double_sum} / {x}_n, {digits}) "
-        f"WHEN {x}_n > 0 THEN CAST(sign({x}_total) AS INT) * ({units}) / {10**digits}.0D END"
+        f"CASE WHEN {x}_n = 0 THEN NULL WHEN {x}_sum IS NOT NULL THEN round(({x}_sum + {double_total}) / {x}_n, {digits}) "
+        f"WHEN NOT {small} THEN round({double_total} / {x}_n, {digits}) "
+        f"ELSE CAST(sign({x}_total) AS INT) * ({units}) / {10**digits}.0D END"
     )

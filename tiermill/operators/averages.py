@@ -6,7 +6,6 @@ import datetime
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +22,9 @@ from tiermill.operators.joins import Columns, enrich, named
 
 RunTime = Column | datetime.datetime | None
 
+# Rows of a dimension up to which Spark may broadcast it, reduced, if it takes it for small enough.
+BROADCAST_ROWS = 2_000_000
+
 
 def _outputs(measures: Columns) -> dict[str, str]:
     """Output name -> column; a plain name ``x`` is reported as ``avg_x``."""
@@ -45,9 +47,9 @@ def _stamp(name: str | None, run_ts: RunTime) -> list[Column]:
     return [run_ts.alias(name)]
 
 
-def _values(sources: Mapping[str, str], exact_scale: int | None) -> list[str]:
+def _values(sources: Mapping[str, str], exact_scale: int | None, cast: str = "CAST") -> list[str]:
     """Measures as doubles under internal names, and scaled to integers if they are to be summed exactly."""
-    values = [f"CAST({_quoted(source)} AS DOUBLE) AS {x}" for x, source in sources.items()]
+    values = [f"{cast}({_quoted(source)} AS DOUBLE) AS {x}" for x, source in sources.items()]
     if exact_scale is not None:
         values += [f"{scaled(x, exact_scale)} AS {x}_scaled" for x in sources]
     return values
@@ -86,26 +88,17 @@ def group_averages(
     The default is the rounded double average, whose last digit may depend on the order of the rows when
     the average falls on a tie. ``exact_scale`` states how many decimals the measures hold; the sum is then
     taken over integers and the result is the same in any order. ``stamp`` names the time column (None leaves it out),
-    ``run_ts`` replaces the clock. Works on a stream too, then in update or complete mode.
+    ``run_ts`` replaces the clock. Works on a stream too, then in update or complete mode; a measure that is no number
+    counts as null there, so that one bad message does not stop the stream, while in a batch it is an error.
     """
     names = {f"__m{i}": name for i, name in enumerate(_outputs(measures))}
     sources = dict(zip(names, _outputs(measures).values()))
-    rows = df.selectExpr(*map(_quoted, keys), *_values(sources, exact_scale))
+    rows = df.selectExpr(*map(_quoted, keys), *_values(sources, exact_scale, "TRY_CAST" if df.isStreaming else "CAST"))
     parts = [F.expr(part) for x in names for part in average_parts(x, exact_scale)]
     grouped = rows.groupBy(*map(_quoted, keys)).agg(*parts)
     return _finish(grouped, keys, names, digits, exact_scale, _stamp(stamp, run_ts))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's size estimate puts ``df`` under the limit up to which it broadcasts by itself."""
-    try:
-        limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(str(size)) <= limit
-    except (AttributeError, PySparkException):
-        return False  # no local JVM to ask
-
-
 @dataclass(frozen=True)
 class _Side:
     """One side of the join: its rows under internal names."""
@@ -159,11 +152,16 @@ def enriched_averages(
 ) -> DataFrame:
     """``group_averages`` of ``enrich``: each joined row counts once, however often a key repeats.
 
-    A side is reduced to one row per (join key, group keys), holding a row count and partial sums; after the join the
-    sums of each side are weighted by the row count of the other. So keys repeated on both sides never multiply
-    out. If one side is small enough to broadcast, it is reduced and broadcast and the other side is joined as
-    it is, without a shuffle. Otherwise both sides are reduced, so only reduced rows are shuffled by join key: a key
-    that holds a third of all facts is as small as any other. ``reduce_first`` settles whether to reduce the facts.
+    The dimension is reduced to one row per (join key, group keys), holding a row count and partial sums; after the join
+    the sums of each side are weighted by the row count of the other. So keys repeated on both sides never multiply
+    out. A dimension of up to BROADCAST_ROWS rows is left to Spark, which broadcasts it if it estimates it to be small; the
+    facts then stay in place. Spark's estimate does not see rows that a generator or a join multiplies and is not
+    taken back, so the rows are counted first (for plain files a look at their footers), and a larger dimension is sorted
+    and merged: the facts are shuffled as they are and adaptive execution splits a hot key. ``reduce_first=False`` leaves
+    the count out and the choice to Spark.
+
+    ``reduce_first=True`` is for two large sides: the facts are reduced too, before they are shuffled, and both are sorted
+    and merged. A key that holds a third of all facts is then as small as any other. The result is the same.
 
     Facts may be a stream, whose rows are joined as they are. The output names of all keys and measures must differ.
     """
@@ -181,20 +179,13 @@ def enriched_averages(
 
     fact = _Side.of(facts, "fact", on[0], key_type, fact_keys, fact_sources, exact_scale)
     dim = _Side.of(dimension, "dim", on[1], key_type, dimension_keys, dimension_sources, exact_scale)
-    # how often a row of each side counts; None where the other side has its rows one by one
-    fact_weight, dim_weight = "__dim_rows", "__fact_rows"
-    if reduce_first is None and fits_broadcast(dim.rows):
-        left, right, dim_weight = fact.single(), F.broadcast(dim.reduced()), None
-    elif reduce_first is None and fits_broadcast(fact.rows):
-        left, right, fact_weight = F.broadcast(fact.reduced()), dim.single(), None
-    elif reduce_first is False:
-        left, right, dim_weight = fact.single(), dim.reduced(), None
-    else:
-        left, right = fact.reduced(), dim.reduced()
+    left, right = fact.reduced() if reduce_first else fact.single(), dim.reduced()
+    if reduce_first or (reduce_first is None and dimension.count() > BROADCAST_ROWS):
+        right = right.hint("merge")
     joined = left.join(right, F.col("__fact_on") == F.col("__dim_on"), "inner")
-    many = fact_weight is not None and dim_weight is not None
-    merged = [part for x in fact_sources for part in merged_parts(x, fact_weight, exact_scale, many)]
-    merged += [part for x in dimension_sources for part in merged_parts(x, dim_weight, exact_scale, many)]
+    merged = [part for x in fact_sources for part in merged_parts(x, "__dim_rows", exact_scale)]
+    dim_weight = "__fact_rows" if reduce_first else None  # otherwise each fact is a row of its own
+    merged += [part for x in dimension_sources for part in merged_parts(x, dim_weight, exact_scale)]
     grouped = joined.groupBy(*map(_quoted, keys)).agg(*map(F.expr, merged))
     return _finish(grouped, keys, names, digits, exact_scale, _stamp(stamp, run_ts))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,11 +12,14 @@ from pyspark.sql import types as T
 from tiermill.functions.numbers import is_number
 from tiermill.functions.text import KEPT_CHARACTERS, NULL_TOKEN, clean_text, value_cleaner
 
+# Up to this scale Python writes a decimal without an exponent, as Spark does.
+PLAIN_SCALE = 6
+
 
 def _same_text(data_type: T.DataType) -> bool:
     """Whether ``CAST(x AS STRING)`` and Python's ``str(x)`` agree for every value of the type."""
     if isinstance(data_type, T.DecimalType):
-        return data_type.scale == 0
+        return data_type.scale <= PLAIN_SCALE
     return isinstance(
         data_type,
         (T.StringType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.NullType),
@@ -30,18 +34,27 @@ def clean_columns(
 ) -> DataFrame:
     """Clean the listed columns; each becomes a string.
 
-    Strings, integers and dates are cleaned inside the JVM. Types that Spark and Python write differently
-    (doubles, booleans, timestamps) go through the Python cleaner, so the text is Python's.
+    Strings, integers, decimals, booleans and dates are cleaned inside the JVM. Types that Spark and Python write
+    differently (doubles, timestamps, decimals of many places) go through the Python cleaner, so the text is Python's. That
+    is slower: a warning names the columns, and a declared text schema avoids it.
     """
+    flags = [c for c in columns if isinstance(df.schema[c].dataType, T.BooleanType)]
+    df = df.withColumns({c: F.initcap(df[c].cast("string")) for c in flags})  # True and False, as Python writes them
     native = [c for c in columns if _same_text(df.schema[c].dataType)]
     df = df.withColumns({c: clean_text(df[c], keep, null_token) for c in native})
     foreign = [c for c in columns if c not in native]
-    return map_columns(df, foreign, value_cleaner(keep, null_token)) if foreign else df
+    if not foreign:
+        return df
+    warnings.warn(f"cleaned in Python, because of their types: {', '.join(foreign)}", stacklevel=2)
+    return map_columns(df, foreign, value_cleaner(keep, null_token))
 
 
 def map_columns(df: DataFrame, columns: Sequence[str], fn: Callable[[object], str | None]) -> DataFrame:
-    """Replace each listed column by ``fn`` of its value, as a string. The slow path, for custom cleaners."""
-    mapped = F.udf(fn, T.StringType())
+    """Replace each listed column by ``fn`` of its value, as a string. The slow path, for custom cleaners.
+
+    Values travel in Arrow batches.
+    """
+    mapped = F.udf(fn, T.StringType(), useArrow=True)
     return df.withColumns({c: mapped(df[c]) for c in columns})
 
 

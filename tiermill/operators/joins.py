@@ -30,14 +30,31 @@ def key_of(side: str, name: str, key_type: str | None) -> Column:
     return key.cast(key_type) if key_type else key
 
 
-def spread(dimension: DataFrame, copies: int) -> DataFrame:
-    """Each dimension row ``copies`` times, numbered, for facts numbered by ``salted``."""
-    return dimension.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+def _is_hot(key: Column, hot: Sequence[str]) -> Column:
+    return F.coalesce(key.cast("string").isin(*hot), F.lit(False)) if hot else F.lit(False)
 
 
-def salted(columns: Sequence[str], copies: int) -> Column:
-    """Which copy of the dimension a fact meets. Depends on the data only, so a task that is run again agrees."""
-    return F.pmod(F.xxhash64(*columns), F.lit(copies)).cast("int").alias(SALT)
+def spread(dimension: DataFrame, key: str, hot: Sequence[str], copies: int) -> DataFrame:
+    """The rows of hot keys ``copies`` times, numbered from 0, for facts numbered by ``salted``; all others once, as 0."""
+    last = F.when(_is_hot(F.col(f"`{key}`"), hot), F.lit(copies - 1)).otherwise(F.lit(0))
+    return dimension.withColumn(SALT, F.explode(F.sequence(F.lit(0), last)))
+
+
+def salted(key: Column, hot: Sequence[str], copies: int) -> Column:
+    """Which copy of a hot key's rows a fact meets: any, for equal facts too. A task that is run again draws the same."""
+    turn = (F.rand(copies) * copies).cast("int")
+    return F.when(_is_hot(key, hot), turn).otherwise(F.lit(0)).alias(SALT)
+
+
+def hot_keys(facts: DataFrame, key: str, share: float = 0.02) -> list[str]:
+    """The keys, as text, that hold more than ``share`` of the rows of a batch table: fewer than 1 / share of them.
+
+    The table that feeds a stream tells which keys its messages will crowd.
+    """
+    counts = facts.groupBy(F.col(f"`{key}`").cast("string").alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+    total = facts.count()
+    found = counts.filter(F.col("key").isNotNull() & (F.col("rows") > share * total)).select("key").collect()
+    return sorted(row["key"] for row in found)
 
 
 def enrich(

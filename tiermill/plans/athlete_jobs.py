@@ -14,19 +14,22 @@ from tiermill.sinks.jdbc import table_sink
 from tiermill.sinks.topics import topic_sink
 from tiermill.sources.jdbc import JdbcConnection, KeyRange, read_table
 from tiermill.sources.topics import TopicConnection, read_topic
-from tiermill.streaming.pipelines import average_messages, hold_dimension, start_updates, tail
+from tiermill.streaming.pipelines import COPIES, PRINTED, average_messages, hold_dimension, start_updates, tail
 
+# How a table is read: by key ranges or conditions, one task each. None reads it in one task and must be said.
 Split = KeyRange | Sequence[str] | None
+# Partitions of the bios held on the executors.
+HELD_PARTITIONS = 200
 
 
 def publish_results(
-    spark: SparkSession, database: JdbcConnection, broker: TopicConnection, split: Split = None
+    spark: SparkSession, database: JdbcConnection, broker: TopicConnection, split: Split
 ) -> None:
     """Send the results table to the results topic, keyed by athlete."""
     publish_table(read_table(spark, database, names.RESULTS, split), names.KEY, broker, names.RESULTS)
 
 
-def athlete_bios(spark: SparkSession, database: JdbcConnection, split: Split = None) -> DataFrame:
+def athlete_bios(spark: SparkSession, database: JdbcConnection, split: Split) -> DataFrame:
     """The bio rows whose height and weight are numbers."""
     return valid_dimension(read_table(spark, database, names.BIO, split), names.KEY, names.MEASURES)
 
@@ -34,7 +37,8 @@ def athlete_bios(spark: SparkSession, database: JdbcConnection, split: Split = N
 def result_averages(
     messages: DataFrame,
     bios: DataFrame,
-    copies: int | None = None,
+    hot: Sequence[str] = (),
+    copies: int = COPIES,
     exact_scale: int | None = None,
     run_ts: RunTime = None,
 ) -> DataFrame:
@@ -49,6 +53,7 @@ def result_averages(
         dimension_measures=names.MEASURES,
         exact_scale=exact_scale,
         run_ts=run_ts,
+        hot=hot,
         copies=copies,
     )
     return averages.select(*names.OUTPUT_COLUMNS)
@@ -58,25 +63,25 @@ def stream_results(
     spark: SparkSession,
     database: JdbcConnection,
     broker: TopicConnection,
-    checkpoint: str | None = None,
+    checkpoint: str | None,
+    split: Split,
     max_per_batch: int | None = None,
-    split: Split = None,
-    hold: tuple[int, int] | None = None,
+    hold: int | None = HELD_PARTITIONS,
+    hot: Sequence[str] = (),
     batch_column: str | None = None,
 ) -> StreamingQuery:
     """Run the averages on the results topic; each update goes to the output topic and the output table.
 
-    ``hold`` = (partitions, copies) keeps the bios on the executors, so the database is read once and not for
-    every micro-batch; the copies divide an athlete who fills much of a batch. Without it the bios are read anew, and
-    later changes of the table seen, in every batch, and they are joined in one copy.
+    The bios are held on the executors in ``hold`` partitions, so the database is read once and not for every
+    micro-batch; athletes in ``hot`` are divided over several tasks. With ``hold=None`` the bios are read anew, and later changes
+    of the table seen, in every batch. ``checkpoint`` and ``split`` must be stated; a checkpoint of None is for trials.
     """
-    bios = athlete_bios(spark, database, split)
-    copies = 1
+    needed = [names.KEY, *names.DIMENSION_KEYS, *names.MEASURES]
+    bios = athlete_bios(spark, database, split).select(*needed)
     if hold is not None:
-        partitions, copies = hold
-        needed = [names.KEY, *names.DIMENSION_KEYS, *names.MEASURES]
-        bios = hold_dimension(bios.select(*needed), names.KEY, partitions, copies)
-    averages = result_averages(read_topic(spark, broker, names.RESULTS, max_per_batch=max_per_batch), bios, copies)
+        bios = hold_dimension(bios, names.KEY, hold, hot)
+    messages = read_topic(spark, broker, names.RESULTS, max_per_batch=max_per_batch)
+    averages = result_averages(messages, bios, hot)
     sinks = [
         topic_sink(broker, names.OUTPUT, names.OUTPUT_KEY),
         table_sink(database, names.OUTPUT, batch_column),
@@ -84,6 +89,6 @@ def stream_results(
     return start_updates(averages, sinks, checkpoint)
 
 
-def tail_output(spark: SparkSession, broker: TopicConnection, max_per_batch: int | None = None) -> StreamingQuery:
-    """Print what arrives in the output topic."""
+def tail_output(spark: SparkSession, broker: TopicConnection, max_per_batch: int = PRINTED) -> StreamingQuery:
+    """Print what arrives in the output topic, a bounded number of messages at a time."""
     return tail(read_topic(spark, broker, names.OUTPUT, max_per_batch=max_per_batch))

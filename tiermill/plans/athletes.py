@@ -25,8 +25,8 @@ OUTPUT_COLUMNS = ("sport", "medal", "sex", "country_noc", "avg_height", "avg_wei
 RESULT_SCHEMA = string_schema(RESULT_FIELDS)
 
 REPORT = Report(
-    facts=Dataset(RESULTS, text_columns=RESULT_TEXT_COLUMNS),
-    dimension=Dataset(BIO, text_columns=BIO_TEXT_COLUMNS, numeric_columns=MEASURES),
+    facts=Dataset(RESULTS, text_columns=RESULT_TEXT_COLUMNS, infer=False),
+    dimension=Dataset(BIO, text_columns=BIO_TEXT_COLUMNS, numeric_columns=MEASURES, infer=False),
     on=(KEY, KEY),
     fact_keys=FACT_KEYS,
     dimension_keys=DIMENSION_KEYS,

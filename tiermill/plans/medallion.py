@@ -18,12 +18,16 @@ from tiermill.sources.files import read_csv, read_parquet
 
 @dataclass(frozen=True)
 class Dataset:
-    """One input of the pipeline: which columns are cleaned, and which must hold numbers."""
+    """One input of the pipeline: which columns are cleaned, and which must hold numbers.
+
+    Without ``schema`` the types of the CSV file are inferred, or with ``infer=False`` all columns are text.
+    """
 
     name: str
     text_columns: Sequence[str] = ()
     numeric_columns: Sequence[str] = ()
     schema: T.StructType | str | None = None
+    infer: bool = True
 
 
 @dataclass(frozen=True)
@@ -82,7 +86,7 @@ def layer(lake: str, tier: str, name: str) -> str:
 def to_bronze(spark: SparkSession, landing: str, lake: str, datasets: Sequence[Dataset], show: bool = False) -> None:
     """CSV files as they landed, to parquet."""
     for data in datasets:
-        df = read_csv(spark, f"{landing}/{data.name}.csv", data.schema)
+        df = read_csv(spark, f"{landing}/{data.name}.csv", data.schema, data.infer)
         if show:
             show_preview(df)
         write_parquet(df, layer(lake, "bronze", data.name))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -9,11 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header line. Without a schema the types are inferred, which reads all the data once more."""
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, infer: bool = True
+) -> DataFrame:
+    """CSV with a header line.
+
+    Without a schema the types are inferred, which reads all the data once more; ``infer=False`` leaves every column
+    text and reads the header alone. A schema must name the columns in the order of the file.
+    """
     if schema is not None:
-        return spark.read.csv(path, header=True, schema=schema)
-    return spark.read.csv(path, header=True, inferSchema=True)
+        return spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
+    return spark.read.csv(path, header=True, inferSchema=infer)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -24,9 +33,22 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 def working_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder path for files that one task writes and another reads.
 
-    It lies in the shared folder that ``spark.checkpoint.dir`` names. Only where that is unset, as in
-    local tests, a temporary folder of this machine is taken.
+    It lies in the shared folder that ``spark.checkpoint.dir`` names. Where that is unset, a session on one machine
+    takes a temporary folder, removed when the process ends; a cluster has no such folder that all its machines see, so
+    there it is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="tiermill-")
-    return f"{base}/{purpose}-{uuid.uuid4().hex}"
+    if not shared:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = _own_folder()
+    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _own_folder() -> str:
+    """This process's temporary folder; nothing is made until something is written there."""
+    folder = f"{tempfile.gettempdir()}/tiermill-{uuid.uuid4().hex}"
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder

@@ -5,17 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tiermill.operators.averages import RunTime, enriched_averages, fits_broadcast
-from tiermill.operators.joins import SALT, Columns, named, spread
+from tiermill.operators.averages import RunTime, enriched_averages
+from tiermill.operators.joins import SALT, Columns, named, salted, spread
 from tiermill.operators.messages import decode, value_text
 from tiermill.sinks.files import BatchSink
 from tiermill.streaming.delivery import fan_out, start
 
-# Copies of a dimension that is too large to broadcast.
+# Copies of the dimension rows of a hot key.
 COPIES = 8
+# Messages printed of a micro-batch, and the bound on a micro-batch of the tail job.
+PRINTED = 1_000
 
 
 def average_messages(
@@ -31,29 +34,28 @@ def average_messages(
     exact_scale: int | None = None,
     stamp: str | None = "timestamp",
     run_ts: RunTime = None,
-    copies: int | None = None,
+    hot: Sequence[str] = (),
+    copies: int = COPIES,
 ) -> DataFrame:
     """Running averages over JSON messages joined to a static dimension table.
 
     Only the message fields in use are parsed. Messages that do not parse, or whose key the dimension lacks,
-    are dropped by the join. The groups are the state; it has no expiry, so it grows with the number of
-    groups and not with the number of messages.
+    are dropped by the join; a measure that is no number counts as null. The groups are the state; it has no expiry, so it
+    grows with the number of groups and not with the number of messages.
 
-    A dimension too large to broadcast is joined in ``copies`` copies, each message meeting one of them, so that a
-    key that fills a third of a micro-batch is divided over as many tasks. By default a small dimension is not
-    copied and a large one is copied COPIES times; for one from ``hold_dimension`` pass what it was held with.
+    Streams have no adaptive execution to split a key that fills much of a micro-batch. For keys listed in ``hot``
+    (``hot_keys`` finds them) the dimension's rows are copied ``copies`` times and the messages take turns; all other rows
+    are there once. A dimension from ``hold_dimension`` must have been held with the same two values.
     """
     if SALT not in dimension.columns:
         needed = sorted({on[1], *named(dimension_keys).values(), *named(dimension_measures).values()})
         dimension = dimension.select(*needed)
-        if copies is None:
-            copies = 1 if fits_broadcast(dimension) else COPIES
-        if copies > 1:
-            dimension = spread(dimension, copies)
-    elif copies is None:
-        raise ValueError("state how many copies of the dimension are held")
+        if hot:
+            dimension = spread(dimension, on[1], hot, copies)
     used = {on[0], *named(fact_keys).values(), *named(fact_measures).values()}
-    facts = decode(messages, schema, [name for name in schema.names if name in used], copies)
+    facts = decode(messages, schema, [name for name in schema.names if name in used])
+    if SALT in dimension.columns:
+        facts = facts.withColumn(SALT, salted(F.col(f"`{on[0]}`"), hot, copies))
     return enriched_averages(
         facts,
         dimension,
@@ -70,31 +72,46 @@ def average_messages(
     )
 
 
-def hold_dimension(dimension: DataFrame, key: str, partitions: int, copies: int = COPIES) -> DataFrame:
-    """Keep a large dimension on the executors, for all micro-batches: spread, partitioned and sorted by its key.
+def hold_dimension(
+    dimension: DataFrame, key: str, partitions: int, hot: Sequence[str] = (), copies: int = COPIES
+) -> DataFrame:
+    """Keep a large dimension on the executors, for all micro-batches: partitioned and sorted by its key.
 
     Otherwise it is read, shuffled and sorted again for every micro-batch. ``key`` must already be text. Pass the same
-    ``copies`` to ``average_messages``. What is held does not see later changes of the table; it is spilled to
-    disk, and rebuilt where an executor is lost.
+    ``hot`` and ``copies`` to ``average_messages``. What is held does not see later changes of the table; it is spilled
+    to disk, and rebuilt where an executor is lost.
     """
-    keys = [key]
-    if copies > 1:
-        dimension = spread(dimension, copies)
-        keys.append(SALT)
-    return dimension.repartition(partitions, *keys).sortWithinPartitions(*keys).persist()
+    keys = [key, SALT]
+    return spread(dimension, key, hot, copies).repartition(partitions, *keys).sortWithinPartitions(*keys).persist()
 
 
 def start_updates(
-    averages: DataFrame, sinks: Sequence[BatchSink], checkpoint: str | None = None, available_now: bool = False
+    averages: DataFrame, sinks: Sequence[BatchSink], checkpoint: str | None, available_now: bool = False
 ) -> StreamingQuery:
-    """Write, per micro-batch, the groups that received rows to every sink."""
+    """Write, per micro-batch, the groups that received rows to every sink.
+
+    ``checkpoint`` is the shared folder for positions and state. None is for trials alone: both then lie in a temporary
+    folder, and a restart begins anew.
+    """
     writer = averages.writeStream.foreachBatch(fan_out(*sinks)).outputMode("update")
     return start(writer, checkpoint, available_now)
 
 
-def tail(messages: DataFrame, available_now: bool = False) -> StreamingQuery:
-    """Print the text of each new message."""
-    writer = value_text(messages).writeStream.outputMode("append").format("console").option("truncate", "false")
+def print_messages(rows: int = PRINTED) -> BatchSink:
+    """Micro-batch sink: print up to ``rows`` messages and say how many more there were."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        shown = [row["value"] for row in batch.limit(rows).collect()]
+        print(f"batch {batch_id}", *shown, sep="\n")
+        if len(shown) == rows and (more := batch.count() - rows):
+            print(f"and {more} more")
+
+    return write
+
+
+def tail(messages: DataFrame, available_now: bool = False, rows: int = PRINTED) -> StreamingQuery:
+    """Print the text of each new message; of a micro-batch of more than ``rows``, so many and how many are left out."""
+    writer = value_text(messages).writeStream.outputMode("append").foreachBatch(fan_out(print_messages(rows)))
     return start(writer, None, available_now)
 
 

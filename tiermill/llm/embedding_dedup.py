@@ -20,10 +20,13 @@ from tiermill.llm.components import components, local_roots
 SIMILARITY = 0.95
 # Vectors that the centres are fitted on (the driver holds them), vectors per cell, and most cells.
 SAMPLE = 20_000
-PER_CELL = 1_000
+PER_CELL = 4_000
 MOST_CELLS = 4_096
 ROUNDS = 8
-BLOCK = 2_000
+BLOCK = 8_000
+# Rows of a block that are multiplied at once, and components of a vector that the first product takes.
+ROWS_AT_ONCE = 256
+HEAD = 16
 
 
 def _usable(vector: str) -> Column:
@@ -113,6 +116,29 @@ def _tiles(placed: DataFrame, block: int) -> DataFrame:
     return dealt.select("node", "copies", "vector", *cell, "tile.*")
 
 
+def _heads(units: np.ndarray) -> np.ndarray:
+    """The first components and the length of the rest: their products are never below the cosines."""
+    rest = np.sqrt(np.maximum((units[:, HEAD:] ** 2).sum(axis=1, keepdims=True), 0))
+    return np.concatenate([units[:, :HEAD], rest], axis=1).astype(np.float32)
+
+
+def _similar(left: np.ndarray, right: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row of left, row of right) with a cosine of at least ``similarity``, in double precision."""
+    left_heads, right_heads = _heads(left), _heads(right).T
+    found_left, found_right = [], []
+    for begin in range(0, len(left), ROWS_AT_ONCE):
+        some = left[begin : begin + ROWS_AT_ONCE]
+        i, j = np.nonzero(left_heads[begin : begin + ROWS_AT_ONCE] @ right_heads >= similarity - 1e-5)
+        if len(i) * 8 > len(some) * len(right):
+            i, j = np.nonzero(some @ right.T >= similarity)
+        else:
+            close = np.einsum("ij,ij->i", some[i], right[j]) >= similarity
+            i, j = i[close], j[close]
+        found_left.append(i + begin)
+        found_right.append(j)
+    return np.concatenate(found_left), np.concatenate(found_right)
+
+
 def _tile_links(similarity: float):
     """What one tile finds, per vector: how many others it is linked with, and the root that its links lead to."""
 
@@ -122,21 +148,13 @@ def _tile_links(similarity: float):
         copies, nodes = rows["copies"].to_numpy(), rows["node"].to_numpy()
         alone = rows["left"].iloc[0] == rows["right"].iloc[0] and not rows["guest"].iloc[0]
         left, right = (units, units) if alone else (units[:split], units[split:])
-        shift, found = 0 if alone else split, np.zeros(len(rows), np.int64)
-        root = np.arange(len(rows))
-        for begin in range(0, len(left), 256):
-            products = left[begin : begin + 256] @ right.T
-            linked = products >= similarity
-            for i, j in zip(*np.nonzero(np.abs(products - similarity) < 1e-12)):
-                linked[i, j] = float(np.dot(left[begin + i], right[j])) >= similarity
-            i, j = np.nonzero(linked)
-            i, j = i + begin, j + shift
-            i, j = (i[i != j], j[i != j]) if alone else (i, j)
-            found += np.bincount(i, weights=copies[j], minlength=len(rows)).astype(np.int64)
-            if not alone:
-                found += np.bincount(j, weights=copies[i], minlength=len(rows)).astype(np.int64)
-            root = root[local_roots(len(rows), root[i], root[j])] if len(i) else root
-            root = local_roots(len(rows), np.arange(len(rows)), root)
+        i, j = _similar(left, right, similarity) if len(left) and len(right) else (np.zeros(0, int),) * 2
+        j = j if alone else j + split
+        i, j = i[i != j], j[i != j]
+        found = np.bincount(i, weights=copies[j], minlength=len(rows)).astype(np.int64)
+        if not alone:
+            found += np.bincount(j, weights=copies[i], minlength=len(rows)).astype(np.int64)
+        root = local_roots(len(rows), i, j)
         some = np.flatnonzero(found)
         return pd.DataFrame({"node": nodes[some], "links": found[some], "root": nodes[root[some]]})
 

@@ -9,6 +9,8 @@ and one link that keeps what they found connected, never the pairs.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -122,10 +124,9 @@ def _heads(units: np.ndarray) -> np.ndarray:
     return np.concatenate([units[:, :HEAD], rest], axis=1).astype(np.float32)
 
 
-def _similar(left: np.ndarray, right: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (row of left, row of right) with a cosine of at least ``similarity``, in double precision."""
+def _similar(left: np.ndarray, right: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (row of left, row of right) with a cosine of at least ``similarity``, in double precision, by and by."""
     left_heads, right_heads = _heads(left), _heads(right).T
-    found_left, found_right = [], []
     for begin in range(0, len(left), ROWS_AT_ONCE):
         some = left[begin : begin + ROWS_AT_ONCE]
         i, j = np.nonzero(left_heads[begin : begin + ROWS_AT_ONCE] @ right_heads >= similarity - 1e-5)
@@ -134,9 +135,7 @@ def _similar(left: np.ndarray, right: np.ndarray, similarity: float) -> tuple[np
         else:
             close = np.einsum("ij,ij->i", some[i], right[j]) >= similarity
             i, j = i[close], j[close]
-        found_left.append(i + begin)
-        found_right.append(j)
-    return np.concatenate(found_left), np.concatenate(found_right)
+        yield i + begin, j
 
 
 def _tile_links(similarity: float):
@@ -148,13 +147,14 @@ def _tile_links(similarity: float):
         copies, nodes = rows["copies"].to_numpy(), rows["node"].to_numpy()
         alone = rows["left"].iloc[0] == rows["right"].iloc[0] and not rows["guest"].iloc[0]
         left, right = (units, units) if alone else (units[:split], units[split:])
-        i, j = _similar(left, right, similarity) if len(left) and len(right) else (np.zeros(0, int),) * 2
-        j = j if alone else j + split
-        i, j = i[i != j], j[i != j]
-        found = np.bincount(i, weights=copies[j], minlength=len(rows)).astype(np.int64)
-        if not alone:
-            found += np.bincount(j, weights=copies[i], minlength=len(rows)).astype(np.int64)
-        root = local_roots(len(rows), i, j)
+        found, root = np.zeros(len(rows), np.int64), np.arange(len(rows))
+        for i, j in _similar(left, right, similarity) if len(right) else ():
+            j = j if alone else j + split
+            i, j = i[i != j], j[i != j]
+            found += np.bincount(i, weights=copies[j], minlength=len(rows)).astype(np.int64)
+            if not alone:
+                found += np.bincount(j, weights=copies[i], minlength=len(rows)).astype(np.int64)
+            root = local_roots(len(rows), root[i], root[j])[root]
         some = np.flatnonzero(found)
         return pd.DataFrame({"node": nodes[some], "links": found[some], "root": nodes[root[some]]})
 

@@ -1,0 +1,151 @@
+"""Plain versions of the operators, for small tables."""
+
+import collections
+import hashlib
+import math
+import zlib
+
+import numpy as np
+import xxhash
+
+
+def words(text):
+    return (text or "").encode().split()
+
+
+def groups(count, pairs):
+    """Smallest index reachable from each."""
+    root = list(range(count))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return [find(x) for x in range(count)]
+
+
+def fingerprint(text, shingle=3):
+    some = words((text or "").encode().lower().decode())
+    shingles = [b" ".join(some[i : i + shingle]) for i in range(len(some) - shingle + 1)] or ([b" ".join(some)] if some else [])
+    hashes = np.array([xxhash.xxh64_intdigest(s, 42) for s in shingles], np.uint64)
+    return sum(1 << b for b in range(64) if 2 * int(((hashes >> np.uint64(b)) & np.uint64(1)).sum()) > len(hashes))
+
+
+def near_groups(rows):
+    """How many groups of near copies the rows form."""
+    prints = np.array([fingerprint(t) for _, t in rows], np.uint64)
+    near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 3
+    return len(set(groups(len(rows), [(a, b) for a, b in zip(*np.nonzero(near)) if a < b])))
+
+
+def near_copies(rows):
+    """(doc_id, fingerprint, component_id) of (doc_id, text) rows."""
+    prints = np.array([fingerprint(t) for _, t in rows], np.uint64)
+    near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 3
+    root = groups(len(rows), [(a, b) for a, b in zip(*np.nonzero(near)) if a < b])
+    ids = collections.defaultdict(list)
+    for (doc_id, _), r in zip(rows, root):
+        ids[r].append(doc_id)
+    smallest = {r: min((i for i in some if i is not None), default=None) for r, some in ids.items()}
+    return sorted(((i, f"{int(p):016x}", smallest[r]) for (i, _), p, r in zip(rows, prints, root)), key=repr)
+
+
+def without_repeats(rows, window=20):
+    """{doc_id: (n_words, n_removed, kept_sha256)} of rows in order of doc_id."""
+    seen, result = set(), {}
+    for doc_id, text in sorted(rows):
+        some = words(text)
+        gone = [False] * len(some)
+        for i in range(len(some) - window + 1):
+            key = b" ".join(some[i : i + window])
+            if key in seen:
+                gone[i : i + window] = [True] * window
+            seen.add(key)
+        kept = b" ".join(w for w, g in zip(some, gone) if not g)
+        result[doc_id] = (len(some), sum(gone), hashlib.sha256(kept).hexdigest())
+    return result
+
+
+def similar_vectors(rows, similarity=0.95):
+    """{id: (n_links, component_id, kept)} of (id, vector) rows with ids of their own."""
+    def usable(v):
+        return bool(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+    links, pairs = [0] * len(rows), []
+    for a in range(len(rows)):
+        for b in range(a):
+            x, y = rows[a][1], rows[b][1]
+            if usable(x) and usable(y) and len(x) == len(y):
+                if math.fsum(p * q for p, q in zip(x, y)) / math.hypot(*x) / math.hypot(*y) >= similarity:
+                    links[a] += 1
+                    links[b] += 1
+                    pairs.append((a, b))
+    root = groups(len(rows), pairs)
+    smallest = collections.defaultdict(list)
+    for (i, _), r in zip(rows, root):
+        smallest[r].append(i)
+    return {i: (n, min(smallest[r]), i == min(smallest[r])) for (i, _), n, r in zip(rows, links, root)}
+
+
+def base_scores(rows):
+    """[(doc_id, held_out, n_tokens, n_known, train_tokens, base_score)] of (doc_id, text) rows."""
+    tokens = [words((t or "").encode().lower().decode()) + [b""] for _, t in rows]
+    out = [zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for i, _ in rows]
+    counts = collections.Counter(w for some, held in zip(tokens, out) if not held for w in some)
+    total = sum(counts.values())
+    scale = total + 0.1 * (len(counts) + 1)
+    return [
+        (i, held, len(some), sum(counts[w] > 0 for w in some), total, math.fsum(math.log10((counts[w] + 0.1) / scale) for w in some))
+        for (i, _), some, held in zip(rows, tokens, out)
+    ]
+
+
+class KneserNey:
+    """Interpolated modified Kneser-Ney trigrams from lists of words."""
+
+    def __init__(self, texts):
+        three = collections.Counter()
+        for text in texts:
+            tokens = [b"<", b"<", *words(text), b">"]
+            three.update(zip(tokens, tokens[1:], tokens[2:]))
+        two = collections.Counter((v, w) for _, v, w in three)
+        one = collections.Counter(w for _, w in two)
+        self.levels = [one, two, three]
+        self.off = [self.discounts(c) for c in self.levels]
+        self.sums = [collections.defaultdict(lambda: [0, 0.0]) for _ in self.levels]
+        for level, counts in enumerate(self.levels):
+            for gram, n in counts.items():
+                entry = self.sums[level][gram[:-1] if level else ()]
+                entry[0] += n
+                entry[1] += self.off[level](n)
+        everything, taken = self.sums[0][()] if one else (0, 0.0)
+        rare = sum(n == 1 for n in one.values())
+        self.floor = taken / everything / (len(one) + rare + 1) if one else 1.0
+
+    @staticmethod
+    def discounts(counts):
+        n = collections.Counter(counts.values())
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
+        found = [1 - 2 * y * n[2] / n[1] if n[1] else 0.5, 2 - 3 * y * n[3] / n[2] if n[2] else 1.0, 3 - 4 * y * n[4] / n[3] if n[3] else 1.5]
+        found = [min(max(d, 0.05), i + 0.95) for i, d in enumerate(found)]
+        return lambda count: found[min(count, 3) - 1]
+
+    def chance(self, gram):
+        level = len(gram) - 1
+        lower = self.chance(gram[1:]) if level else self.floor
+        context = self.sums[level].get(gram[:-1])
+        if not context or not context[0]:
+            return lower
+        n = self.levels[level][gram if level else gram[0]]
+        own = (n - self.off[level](n)) / context[0] if n else 0.0
+        return own + (lower if not level else context[1] / context[0] * lower)
+
+    def perplexity(self, text):
+        tokens = [b"<", b"<", *words(text), b">"]
+        logs = [math.log10(self.chance(g)) for g in zip(tokens, tokens[1:], tokens[2:])]
+        return 10 ** (-sum(logs) / len(logs))

@@ -53,26 +53,35 @@ def numbered(rows: DataFrame, keys: Sequence[str], name: str, buckets: int = 102
     return ranked.withColumn(name, F.col("before") + F.col("__rank") - 1).drop("__bucket", "__rank", "before")
 
 
+def giving_way(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``df`` with its columns of these names (whatever their case) called ``<name>_in``, or ``<name>_in_in`` and so on."""
+    taken = {c.lower() for c in df.columns} | {n.lower() for n in names}
+    renamed = []
+    for column in df.columns:
+        name = column
+        while name.lower() in {n.lower() for n in names} or (name != column and name.lower() in taken):
+            name += "_in"
+        taken.add(name.lower())
+        renamed.append(name)
+    return df.toDF(*renamed)
+
+
 def one_row_each(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """One row of ``docs`` for each (doc_id, text_sha256) of ``chosen``, which must not repeat; null ids match.
 
     Rows that repeat both collapse before the shuffle, so a row repeated any number of times is no hot key. Which of
     them stays, where they differ in other columns, is left open.
     """
-    keyed = docs.withColumns({"__id": F.col("doc_id"), "__sha": text_sha256(F.col("text"))})
-    ids = chosen.select(F.col("doc_id").alias("__chosen"), F.col("text_sha256").alias("__chosen_sha"))
-    match = F.col("__id").eqNullSafe(F.col("__chosen")) & (F.col("__sha") == F.col("__chosen_sha"))
-    return keyed.dropDuplicates(["__id", "__sha"]).join(ids, match, "left_semi").select(*_named(docs))
+    keyed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), text_sha256(F.col("text")).alias("sha"))
+    ids = chosen.select(F.col("doc_id").alias("chosen"), F.col("text_sha256").alias("chosen_sha"))
+    match = F.col("id").eqNullSafe(F.col("chosen")) & (F.col("sha") == F.col("chosen_sha"))
+    return keyed.dropDuplicates(["id", "sha"]).join(ids, match, "left_semi").select("doc.*")
 
 
 def text_sha256(text: Column) -> Column:
     return F.sha2(F.encode(full_text(text), "UTF-8"), 256)
 
 
-def _named(df: DataFrame) -> list[Column]:
-    return [F.col(f"`{c}`") for c in df.columns]
-
-
 def extended(schema: T.StructType, more: str) -> T.StructType:
     """``schema`` and the fields of the DDL text ``more``, as a new schema."""
     return T.StructType([*schema.fields, *T.StructType.fromDDL(more).fields])

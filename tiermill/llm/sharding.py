@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import buckets_before, staged
+from tiermill.llm.common import buckets_before, giving_way, staged
 
 ROUNDS = 4
 # Copies of one row that one task writes out.
@@ -57,28 +57,31 @@ def row_numbers(rows: DataFrame, keys: Sequence[str] | None = None, buckets: int
     The numbers depend on the rows alone, not on files, partitions or their order: rows are dealt to hashed
     buckets, sorted there by ``keys`` (default: all columns) and then by the rest. Equal rows are counted before they
     are shuffled, so a row repeated any number of times is no hot key; they get numbers in a row. Nulls sort first. The
-    columns must be sortable; pass narrow rows (ids and digests) and join long texts back.
+    columns must be sortable; pass narrow rows (ids and digests) and join long texts back. Columns of ``rows`` called
+    ``number`` or ``total`` are renamed ``number_in`` and ``total_in``.
     """
-    columns = rows.columns
-    order = [*(keys or []), *(c for c in columns if c not in (keys or []))]
-    quoted = [F.col(f"`{c}`") for c in order]
-    bucket = F.pmod(F.xxhash64(*quoted), F.lit(buckets)).cast("int")
-    counted = rows.groupBy(bucket.alias("__bucket"), *quoted).agg(F.count(F.lit(1)).alias("__copies"))
+    names, places = giving_way(rows, ["number", "total"]).columns, range(len(rows.columns))
+    order = [rows.columns.index(k) for k in keys or []]
+    order += [i for i in places if i not in order]
+    rows = rows.toDF(*[f"c{i}" for i in places])
+    columns = [f"c{i}" for i in order]
+    bucket = F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
+    counted = rows.groupBy(bucket.alias("bucket"), *columns).agg(F.count(F.lit(1)).alias("copies"))
     counted = staged(counted, "row-numbers")
-    within = Window.partitionBy("__bucket").orderBy(*quoted).rowsBetween(Window.unboundedPreceding, -1)
-    first = counted.withColumn("__first", F.coalesce(F.sum("__copies").over(within), F.lit(0)))
-    before = F.broadcast(buckets_before(counted, "__bucket", F.col("__copies")))  # one row per bucket
-    first = first.join(before, "__bucket").withColumn("__first", F.col("before") + F.col("__first"))
-
-    few = first.filter(F.col("__copies") <= COPIES_AT_ONCE).withColumn("__part", F.lit(0).cast("bigint"))
-    last_part = F.call_function("div", F.col("__copies") - 1, F.lit(COPIES_AT_ONCE))
-    many = first.filter(F.col("__copies") > COPIES_AT_ONCE)
-    many = many.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("bigint"), last_part))).repartition("__part")
-    start = F.col("__part") * COPIES_AT_ONCE
-    copy = F.sequence(start, F.least(F.col("__copies"), start + COPIES_AT_ONCE) - 1)
-    each = few.unionByName(many).withColumn("__copy", F.explode(copy))
-    number = (F.col("__first") + F.col("__copy")).cast("bigint")
-    return each.select(*[F.col(f"`{c}`") for c in columns], number.alias("number"), "total")
+    within = Window.partitionBy("bucket").orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
+    first = counted.withColumn("first", F.coalesce(F.sum("copies").over(within), F.lit(0)))
+    before = F.broadcast(buckets_before(counted, "bucket", F.col("copies")))  # one row per bucket
+    first = first.join(before, "bucket").withColumn("first", F.col("before") + F.col("first"))
+
+    few = first.filter(F.col("copies") <= COPIES_AT_ONCE).withColumn("part", F.lit(0).cast("bigint"))
+    last_part = F.call_function("div", F.col("copies") - 1, F.lit(COPIES_AT_ONCE))
+    many = first.filter(F.col("copies") > COPIES_AT_ONCE)
+    many = many.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), last_part))).repartition("part")
+    start = F.col("part") * COPIES_AT_ONCE
+    copy = F.sequence(start, F.least(F.col("copies"), start + COPIES_AT_ONCE) - 1)
+    each = few.unionByName(many).withColumn("copy", F.explode(copy))
+    number = (F.col("first") + F.col("copy")).cast("bigint")
+    return each.select(*[F.col(f"c{i}").alias(names[i]) for i in places], number.alias("number"), "total")
 
 
 def shard_rows(
@@ -87,17 +90,16 @@ def shard_rows(
     """``rows`` with their ``shard`` and gapless ``slot`` in it, in a shuffled order that ``seed`` settles.
 
     Shard counts differ by one at most. ``number`` and ``total`` stay in the result, so that any row's place can be
-    computed again with ``permuted``. An empty table gives no rows; equal rows get different slots. Columns called ``number``,
-    ``total``, ``shard`` or ``slot`` must be renamed first (an error says so).
+    computed again with ``permuted``. An empty table gives no rows; equal rows get different slots. Columns of ``rows``
+    called ``number``, ``total``, ``shard`` or ``slot`` are renamed with ``_in`` behind.
     """
-    clash = {"number", "total", "shard", "slot"} & {c.lower() for c in rows.columns}
-    if clash:
-        raise ValueError(f"columns to rename first: {sorted(clash)}")
-    spread = row_numbers(rows, keys, buckets)
-    spread = spread.withColumn("__at", permuted(F.col("number"), F.col("total"), seed))
-    return spread.withColumns(
-        {"shard": (F.col("__at") % shards).cast("int"), "slot": F.call_function("div", F.col("__at"), F.lit(shards))}
-    ).drop("__at")
+    renamed = giving_way(rows, ["number", "total", "shard", "slot"])
+    keys = [renamed.columns[rows.columns.index(k)] for k in keys or []]
+    spread = row_numbers(renamed, keys, buckets)
+    at = permuted(F.col("number"), F.col("total"), seed)
+    spread = spread.select("*", at.alias("__at"))
+    shard, slot = (F.col("__at") % shards).cast("int"), F.call_function("div", F.col("__at"), F.lit(shards))
+    return spread.withColumns({"shard": shard, "slot": slot}).drop("__at")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

@@ -210,14 +210,14 @@ def _company(texts: DataFrame, markers: np.ndarray) -> np.ndarray:
     width = 2 * len(markers) + 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(BUCKETS * width)
+        sums = np.zeros(BUCKETS * width, np.int64)
         for batch in batches:
             for hashes, numbers in _gathered(t.as_py() for t in batch.column(0)):
                 buckets = _buckets(hashes)
                 real = (numbers[1:] >= 0) & (numbers[:-1] >= 0)
                 left, right = buckets[:-1][real], buckets[1:][real]
-                sums += np.bincount(right * width + marker_of[left], minlength=len(sums))
-                sums += np.bincount(left * width + len(markers) + 1 + marker_of[right], minlength=len(sums))
+                np.add.at(sums, right * width + marker_of[left], 1)
+                np.add.at(sums, left * width + len(markers) + 1 + marker_of[right], 1)
         yield _sent(sums, _PARTS)
 
     found = _added(texts.select("text").mapInArrow(run, _SENT), BUCKETS * width // _PARTS).reshape(-1, width)
@@ -235,14 +235,14 @@ def _trained(texts: DataFrame, model: Model) -> tuple[Model, np.ndarray]:
         start = held.value
         local = replace(start, weights=start.weights.copy())
         squares = np.full_like(start.weights, 1e-2)
-        seen, pairs = np.zeros((features, 1), np.float32), np.zeros(counted)
+        seen, pairs = np.zeros((features, 1), np.float32), np.zeros(counted, np.int64)
         for batch in batches:
             for hashes, numbers in _gathered(t.as_py() for t in batch.column(0)):
                 real = numbers[2:] >= 0
                 here = _buckets(hashes)[2:][real]
                 rows = [r[real] for r in _features(hashes)]
                 target = start.classes[here]
-                pairs += np.bincount(start.classes[_buckets(hashes)[1:-1][real]] * BUCKETS + here, minlength=counted)
+                np.add.at(pairs, start.classes[_buckets(hashes)[1:-1][real]] * BUCKETS + here, 1)
                 miss = local.class_chances(rows)
                 miss[np.arange(len(target)), target] -= 1
                 for row in rows:
@@ -322,10 +322,10 @@ def _scored(docs: DataFrame, model: Model, frequent: dict[bytes, int], scale: fl
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, logs = held.value
-        look, kind = logs.get, pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))
+        look = logs.get
         for batch in batches:
             texts = batch.column(2)
-            totals, known, base, others = [], [], [], []
+            totals, known, base, tokens, times, ends = [], [], [], [], [], [0]
             for text in texts:
                 found, rest, count = 0.0, Counter(), 0
                 for some in _tokens(text.as_py()):
@@ -337,12 +337,16 @@ def _scored(docs: DataFrame, model: Model, frequent: dict[bytes, int], scale: fl
                 totals.append(count)
                 known.append(count - sum(rest.values()))
                 base.append(found)
-                others.append([{"token": w, "n": n} for w, n in rest.items()])
+                tokens += rest
+                times += rest.values()
+                ends.append(len(tokens))
             gains = np.zeros(len(texts))
             for hashes, numbers in _gathered(t.as_py() for t in texts):
                 real = numbers[2:] >= 0
                 gains += np.bincount(numbers[2:][real], model.gains(hashes)[real], minlength=len(texts))
-            columns = [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in (totals, known)), pa.array(base), pa.array(gains), pa.array(others, kind)]
+            others = pa.StructArray.from_arrays([pa.array(tokens, pa.binary()), pa.array(times, pa.int64())], ["token", "n"])
+            others = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), others)
+            columns = [*batch.columns[:2], *(pa.array(c, pa.int64()) for c in (totals, known)), pa.array(base, pa.float64()), pa.array(gains), others]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "known", "base", "gain", "others"])
 
     rows = docs.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), full_text().alias("text"))
@@ -363,7 +367,8 @@ def text_scores(docs: DataFrame) -> DataFrame:
     scale = train_tokens + ALPHA * (kinds + 1)
     model = fit(texts, counts, train_tokens, kinds)
     frequent = counts.filter(F.col("n") > train_tokens / FREQUENT)  # fewer than FREQUENT
-    found = {bytes(t): n for t, n in zip(*frequent.toPandas()[["token", "n"]].to_numpy().T)} if train_tokens else {}
+    table = frequent.toArrow() if train_tokens else None
+    found = dict(zip(table["token"].to_pylist(), table["n"].to_pylist())) if table else {}
     scored = staged(_scored(docs, model, found, scale).withColumn("row", F.monotonically_increasing_id()), "scored-texts")
     rest = scored.select("row", F.explode("others").alias("other")).select("row", "other.*").withColumnRenamed("n", "times")
     rest = rest.join(counts, "token", "left")

@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import importlib
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -352,7 +353,21 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query by name."""
-    return {**table_queries(), **(llm_queries.queries() if llm_queries else {})}
+    found = {**table_queries(), **(llm_queries.queries() if llm_queries else {})}
+    return {name: _with_package(query) for name, query in found.items()}
+
+
+def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """``query``, its Python workers told where this package lies, wherever the session was started."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        here, env = os.path.dirname(os.path.abspath(__file__)), spark.sparkContext.environment
+        paths = env.get("PYTHONPATH", "").split(os.pathsep)
+        if here not in paths:
+            env["PYTHONPATH"] = os.pathsep.join([here, *filter(None, paths)])
+        return query(spark, sf_dir)
+
+    return run
 
 
 def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -30,6 +30,7 @@ BITS = 3
 SEED = 42
 STEP = 8
 HALF = 32
+DEEPEST = 56
 # Fingerprints in a bucket beyond which it is divided, and variants that a task holds at once.
 FULL_BUCKET = 200_000
 VARIANTS_AT_ONCE = 1 << 22
@@ -88,10 +89,10 @@ def _flips(bits: int, count: int) -> list[int]:
 
 def _deeper(rows: DataFrame, depth: int) -> DataFrame:
     """Rows (fp, prefix) of variants that begin with ``prefix`` (``depth`` bits), one per beginning of STEP bits more."""
-    if depth:
-        flipped = F.bit_count(F.col("prefix").bitwiseXOR(F.shiftrightunsigned("fp", 64 - depth)))
-    else:
-        flipped = F.lit(0)
+    changed = F.col("prefix").bitwiseXOR(F.shiftrightunsigned("fp", 64 - depth)) if depth else F.lit(0).cast("bigint")
+    flipped = F.bit_count(changed)
+    if depth >= HALF:  # a second flip must be in the same half
+        flipped = F.when(F.shiftrightunsigned(changed, depth - HALF) != 0, F.lit(2)).otherwise(flipped)
     patterns: Column = F.when(flipped == 0, F.array(*map(F.lit, _flips(STEP, 2))))
     patterns = patterns.when(flipped == 1, F.array(*map(F.lit, _flips(STEP, 1)))).otherwise(F.array(F.lit(0)))
     own = F.shiftrightunsigned("fp", 64 - depth - STEP).bitwiseAND(F.lit((1 << STEP) - 1).cast("bigint"))
@@ -110,7 +111,7 @@ def buckets(fps: DataFrame, full: int = FULL_BUCKET) -> DataFrame:
         # at most (rows / full) buckets, however the fingerprints are distributed
         crowded = rows.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > full).select("prefix")
         crowded = staged(crowded, "crowded-buckets")
-        if depth >= HALF or crowded.isEmpty():
+        if depth >= DEEPEST or crowded.isEmpty():  # the deepest buckets cannot hold many different fingerprints
             ready.append(rows.withColumn("depth", F.lit(depth)))
             break
         ready.append(rows.join(F.broadcast(crowded), "prefix", "left_anti").select("fp", "prefix", F.lit(depth).alias("depth")))
@@ -125,15 +126,18 @@ def buckets(fps: DataFrame, full: int = FULL_BUCKET) -> DataFrame:
 # --- links within a bucket ------------------------------------------------------------------------
 
 
-def _masks(depth: int, flipped: int) -> tuple[np.ndarray, np.ndarray]:
-    """Flips behind the first ``depth`` bits, of which ``flipped`` are flipped: those of the near ball, and of the far shell."""
+def _masks(depth: int, above: int, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """Flips behind the first ``depth`` bits: those of the near ball, and of the far shell.
+
+    Of the first bits ``above`` are flipped in the upper half and ``below`` in the lower.
+    """
     upper = [1 << i for i in range(HALF, 64 - depth)]
-    lower = [1 << i for i in range(HALF)]
-    if flipped == 0:
+    lower = [1 << i for i in range(min(HALF, 64 - depth))]
+    if above + below == 0:
         near = [0, *upper, *lower]
         far = [x | y for half in (upper, lower) for x, y in combinations(half, 2)]
-    elif flipped == 1:
-        near, far = [0], upper
+    elif above + below == 1:
+        near, far = [0], upper if above else lower
     else:
         near, far = [], [0]
     return np.array(near, np.uint64), np.array(far, np.uint64)
@@ -141,9 +145,12 @@ def _masks(depth: int, flipped: int) -> tuple[np.ndarray, np.ndarray]:
 
 def bucket_links(fps: np.ndarray, prefix: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (fp, fp) that join all fingerprints whose variants meet in the bucket, at most one per fingerprint."""
-    flipped = np.bitwise_count((fps >> np.uint64(64 - depth)) ^ np.uint64(prefix))
+    changed = (fps >> np.uint64(64 - depth)) ^ np.uint64(prefix)
+    above = np.bitwise_count(changed >> np.uint64(max(0, depth - HALF)))
+    below = np.bitwise_count(changed) - above
     low = fps & np.uint64((1 << 64 - depth) - 1)  # the beginnings are equal in the bucket
-    kinds = [(np.flatnonzero(flipped == n), *_masks(depth, n)) for n in range(3)]
+    cases = [(0, 0), (1, 0), (2, 0), (0, 1), (0, 2)]
+    kinds = [(np.flatnonzero((above == a) & (below == b)), *_masks(depth, a, b)) for a, b in cases]
     total = sum(len(own) * (len(near) + len(far)) for own, near, far in kinds)
     extra = max(0, int(np.ceil(np.log2(max(total, 1) / VARIANTS_AT_ONCE))))
     shift, part_of = np.uint64(64 - depth - extra), np.uint64((1 << extra) - 1)

@@ -15,6 +15,7 @@ counts alone; their gradient steps are taken on the summed counts. Everything th
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -22,7 +23,6 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +32,8 @@ from tiermill.llm.embedding_dedup import spherical_centres
 from tiermill.llm.words import words_in_pieces
 
 ALPHA = 0.1
-SEED = 42
-BUCKETS = 1 << 14
+BUCKET_BITS = 14
+BUCKETS = 1 << BUCKET_BITS
 CLASSES = 32
 MARKERS = 64
 FEATURES = (1 << 12, 1 << 12, 1 << 13)
@@ -65,8 +65,12 @@ def _tokens(text: str) -> Iterator[list[bytes]]:
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(w if len(w) <= SHORT else w[-ENDING:] + b"*", SEED) for w in words], np.uint64)
+    """A checksum of each word, or of a long one's ending, with its bits spread over 64."""
+    check = zlib.crc32
+    sums = np.fromiter([check(w) if len(w) <= SHORT else check(w[-ENDING:], 1) for w in words], np.uint64, len(words))
+    with np.errstate(over="ignore"):
+        sums = (sums + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        return (sums ^ (sums >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
 def _gathered(texts: Iterator[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -90,7 +94,7 @@ def _gathered(texts: Iterator[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _buckets(hashes: np.ndarray) -> np.ndarray:
-    return (hashes & np.uint64(BUCKETS - 1)).astype(np.int64)
+    return (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
 def _features(hashes: np.ndarray) -> list[np.ndarray]:
@@ -175,12 +179,15 @@ class Model:
     within: np.ndarray
     mass: np.ndarray
 
-    def class_chances(self, rows: list[np.ndarray]) -> np.ndarray:
-        chances = self.weights[rows[0]] + self.bias
+    def _odds(self, rows: list[np.ndarray]) -> np.ndarray:
+        odds = self.weights[rows[0]] + self.bias
         for more in rows[1:]:
-            chances += self.weights[more]
-        chances -= chances.max(axis=1, keepdims=True)
-        np.exp(chances, out=chances)
+            odds += self.weights[more]
+        odds -= odds.max(axis=1, keepdims=True)
+        return np.exp(odds, out=odds)
+
+    def class_chances(self, rows: list[np.ndarray]) -> np.ndarray:
+        chances = self._odds(rows)
         chances /= chances.sum(axis=1, keepdims=True)
         return chances
 
@@ -188,7 +195,8 @@ class Model:
         """log10 of a token's bucket's probability over the bucket's mass, from the third token on."""
         buckets = _buckets(hashes)
         here, before = buckets[2:], self.classes[buckets[1:-1]]
-        chances = self.class_chances(_features(hashes))[np.arange(len(here)), self.classes[here]]
+        odds = self._odds(_features(hashes))
+        chances = odds[np.arange(len(here)), self.classes[here]] / odds.sum(axis=1)
         return np.log10(np.maximum(chances, 1e-30)) + self.within[before, here] - np.log10(self.mass[here])
 
 
@@ -246,7 +254,7 @@ def _trained(texts: DataFrame, model: Model) -> tuple[Model, np.ndarray]:
                 miss = local.class_chances(rows)
                 miss[np.arange(len(target)), target] -= 1
                 for row in rows:
-                    order = np.argsort(row, kind="stable")
+                    order = np.argsort(row.astype(np.uint16), kind="stable")  # sorted by digits
                     ordered = row[order]
                     begins = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
                     used, slope = ordered[begins], np.add.reduceat(miss[order], begins, axis=0)

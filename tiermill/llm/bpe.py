@@ -22,8 +22,11 @@ from pyspark.sql import types as T
 from tiermill.llm.common import extended
 from tiermill.llm.vocabulary import SPLIT, Vocabulary, parsed, share
 
-# Words a worker remembers with their ids; all are forgotten when it is full.
-REMEMBERED_WORDS = 300_000
+# Words a worker remembers with their ids, and pairs of tokens; all are forgotten when it is full.
+REMEMBERED_WORDS = 200_000
+REMEMBERED_PAIRS = 300_000
+# Texts encoded or decoded before they are handed on.
+TEXTS_AT_ONCE = 256
 # Ids decoded at once.
 DECODED_IDS = 1 << 17
 NEVER = 1 << 62
@@ -104,7 +107,7 @@ class Encoder:
         """
         fitting = self.fitting.get((left, right))
         if fitting is None:
-            if len(self.fitting) >= 4 * REMEMBERED_WORDS:
+            if len(self.fitting) >= REMEMBERED_PAIRS:
                 self.fitting.clear()
             fitting = True
             for x, x_until in self._edges(left, 1):
@@ -185,6 +188,12 @@ def encoder(data: bytes) -> Encoder:
     return Encoder(parsed(data))
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for begin in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            yield batch.slice(begin, TEXTS_AT_ONCE)
+
+
 def encode_texts(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and ``ids``: the ids of each whole text as bytes, four to an id, little-endian.
 
@@ -195,7 +204,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, text: str = "text", keep: tup
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(held.value).encode
-        for batch in batches:
+        for batch in _few(batches):
             ids = [encode(t.as_py() or "").tobytes() for t in batch.column(len(keep))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.binary())], names=[*keep, "ids"])
 
@@ -211,7 +220,7 @@ def decode_texts(encoded: DataFrame, vocabulary: str, into: str = "decoded") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = encoder(held.value).decode
-        for batch in batches:
+        for batch in _few(batches):
             texts = [decode(np.frombuffer(i, "<u4")) if i is not None else None for i in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, into])
 

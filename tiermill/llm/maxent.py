@@ -34,7 +34,7 @@ from tiermill.llm.words import words_in_pieces
 ALPHA = 0.1
 BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
-CLASSES = 32
+CLASSES = 24
 MARKERS = 64
 FEATURES = (1 << 12, 1 << 12, 1 << 13)
 ROUNDS = 3
@@ -58,10 +58,14 @@ def is_held_out(doc_id: Column) -> Column:
 
 
 def _tokens(text: str) -> Iterator[list[bytes]]:
-    """Lower-cased words (A to Z only) in lists of a bounded size, then the end."""
+    """Lower-cased words (A to Z only) in lists of a bounded size, the last of which ends with the end."""
+    last: list[bytes] = []
     for some in words_in_pieces(text.encode().lower()):
-        yield some
-    yield [END]
+        if last:
+            yield last
+        last = some
+    last.append(END)
+    yield last
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
@@ -75,10 +79,14 @@ def _hashes(words: list[bytes]) -> np.ndarray:
 
 def _gathered(texts: Iterator[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(hashes, number of the text; -1 for the two of context before each run), some thousands at a time."""
+    yield from _hashed(enumerate(map(_tokens, texts)))
+
+
+def _hashed(texts: Iterator[tuple[int, Iterator[list[bytes]]]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     parts, numbers, size = [], [], 0
-    for number, text in enumerate(texts):
+    for number, lists in texts:
         context = np.zeros(2, np.uint64)
-        for some in _tokens(text):
+        for some in lists:
             for begin in range(0, len(some), BATCH):
                 run = np.concatenate([context, _hashes(some[begin : begin + BATCH])])
                 context = run[-2:]
@@ -334,22 +342,25 @@ def _scored(docs: DataFrame, model: Model, frequent: dict[bytes, int], scale: fl
         for batch in batches:
             texts = batch.column(2)
             totals, known, base, tokens, times, ends = [], [], [], [], [], [0]
-            for text in texts:
+
+            def looked_up(text: str) -> Iterator[list[bytes]]:
+                """The tokens, which are looked up as they pass."""
                 found, rest, count = 0.0, Counter(), 0
-                for some in _tokens(text.as_py()):
+                for some in _tokens(text):
                     values = [look(w) for w in some]
                     count += len(some)
-                    missing = [w for w, v in zip(some, values) if v is None]
-                    rest.update(missing)
-                    found += math.fsum(v for v in values if v is not None)
+                    rest.update([w for w, v in zip(some, values) if v is None])
+                    found += math.fsum([v for v in values if v is not None])
+                    yield some
                 totals.append(count)
                 known.append(count - sum(rest.values()))
                 base.append(found)
-                tokens += rest
-                times += rest.values()
+                tokens.extend(rest)
+                times.extend(rest.values())
                 ends.append(len(tokens))
+
             gains = np.zeros(len(texts))
-            for hashes, numbers in _gathered(t.as_py() for t in texts):
+            for hashes, numbers in _hashed(enumerate(looked_up(t.as_py()) for t in texts)):
                 real = numbers[2:] >= 0
                 gains += np.bincount(numbers[2:][real], model.gains(hashes)[real], minlength=len(texts))
             others = pa.StructArray.from_arrays([pa.array(tokens, pa.binary()), pa.array(times, pa.int64())], ["token", "n"])

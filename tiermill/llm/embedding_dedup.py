@@ -9,7 +9,7 @@ and one link that keeps what they found connected, never the pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -103,18 +103,25 @@ def _tiles(placed: DataFrame, block: int) -> DataFrame:
     """Rows dealt to pairs of blocks of a cell: (left, right) both at home, or left at home and right visiting."""
     cell = ["size", "cell"]
     counts = placed.groupBy(*cell).agg(F.count_if("home").alias("own"), F.count_if(~F.col("home")).alias("visiting"))
-    counts = counts.select(*cell, F.ceil(F.col("own") / block).cast("int").alias("blocks"), F.ceil(F.col("visiting") / block).cast("int").alias("guests"))
+    in_blocks = {"blocks": F.ceil(F.col("own") / block), "guests": F.ceil(F.col("visiting") / block)}
+    counts = counts.select(*cell, *[n.cast("int").alias(name) for name, n in in_blocks.items()])
     rows = placed.join(counts, cell)
     mine = F.pmod(F.xxhash64("node"), F.when(F.col("home"), F.col("blocks")).otherwise(F.col("guests"))).cast("int")
     rows = rows.withColumn("mine", mine)
-    tile = lambda left, right, guest, side: F.struct(left.alias("left"), right.alias("right"), guest.alias("guest"), side.alias("side"))
     me, no, yes = F.col("mine"), F.lit(False), F.lit(True)
-    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: tile(F.least(me, j), F.greatest(me, j), no, me > j))
-    guests = F.when(F.col("guests") > 0, F.transform(F.sequence(F.lit(0), F.greatest(F.col("guests") - 1, F.lit(0))), lambda r: tile(me, r, yes, no)))
-    hosts = F.when(F.col("blocks") > 0, F.transform(F.sequence(F.lit(0), F.greatest(F.col("blocks") - 1, F.lit(0))), lambda i: tile(i, me, yes, yes)))
+
+    def tile(left: Column, right: Column, guest: Column, side: Column) -> Column:
+        return F.struct(left.alias("left"), right.alias("right"), guest.alias("guest"), side.alias("side"))
+
+    def with_each(many: str, make: Callable[[Column], Column]) -> Column:
+        numbers = F.sequence(F.lit(0), F.greatest(F.col(many) - 1, F.lit(0)))
+        return F.when(F.col(many) > 0, F.transform(numbers, make)).otherwise(nothing)
+
     nothing = F.array().cast("array<struct<left:int,right:int,guest:boolean,side:boolean>>")
-    at_home = F.concat(others, F.coalesce(guests, nothing))
-    dealt = rows.withColumn("tile", F.explode(F.when(F.col("home"), at_home).otherwise(F.coalesce(hosts, nothing))))
+    others = with_each("blocks", lambda j: tile(F.least(me, j), F.greatest(me, j), no, me > j))
+    guests = with_each("guests", lambda r: tile(me, r, yes, no))
+    hosts = with_each("blocks", lambda i: tile(i, me, yes, yes))
+    dealt = rows.withColumn("tile", F.explode(F.when(F.col("home"), F.concat(others, guests)).otherwise(hosts)))
     return dealt.select("node", "copies", "vector", *cell, "tile.*")
 
 
@@ -198,10 +205,12 @@ def similar_vectors(
     roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     known = distinct.join(links, "node", "left").join(roots, "node", "left")
-    known = staged(known.select("vector", "first_id", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root")), "linked-vectors")
+    own = [F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root")]
+    known = staged(known.select("vector", "first_id", "copies", *own), "linked-vectors")
     smallest = known.groupBy("root").agg(F.min("first_id").alias("smallest"))
-    places = staged(known.join(smallest, "root").select(F.col("vector").alias("same"), "copies", "links", "smallest"), "vector-components")
-    placed_rows = rows.withColumn("key", F.when(_usable("vector"), F.col("vector"))).join(places, F.col("key") == F.col("same"), "left")
+    places = known.join(smallest, "root").select(F.col("vector").alias("same"), "copies", "links", "smallest")
+    keyed = rows.withColumn("key", F.when(_usable("vector"), F.col("vector")))
+    placed_rows = keyed.join(staged(places, "vector-components"), F.col("key") == F.col("same"), "left")
     component = F.when(F.col("copies").isNull(), F.col("id")).otherwise(F.col("smallest"))
     return placed_rows.select(
         F.col("id").alias(id_column),

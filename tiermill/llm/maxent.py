@@ -318,12 +318,13 @@ def fit(texts: DataFrame, counts: DataFrame, train_tokens: int, kinds: int) -> M
     markers = np.argsort(-mass, kind="stable")[:MARKERS]
     classes = _classes(mass, _company(texts, markers))
     bias = np.log(np.maximum(np.bincount(classes, mass, CLASSES), 1e-9)).astype(np.float32)
-    flat = np.broadcast_to((np.log10(mass) - np.log10(np.bincount(classes, mass, CLASSES))[classes]).astype(np.float32), (CLASSES, BUCKETS))
-    model = Model(classes, np.zeros((sum(FEATURES), CLASSES), np.float32), bias, flat.copy(), mass)
+    share = np.log10(mass) - np.log10(np.bincount(classes, mass, CLASSES))[classes]
+    within = np.tile(share.astype(np.float32), (CLASSES, 1))
+    model = Model(classes, np.zeros((sum(FEATURES), CLASSES), np.float32), bias, within, mass)
     pairs = np.zeros((CLASSES, BUCKETS))
-    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS))
+    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS))
     for turn in range(ROUNDS):
-        model, counted = _trained(texts.filter(share == turn), model)
+        model, counted = _trained(texts.filter(drawn == turn), model)
         pairs += counted
     return replace(model, within=_within(pairs, mass, classes))
 
@@ -333,8 +334,10 @@ def fit(texts: DataFrame, counts: DataFrame, train_tokens: int, kinds: int) -> M
 
 def _scored(docs: DataFrame, model: Model, frequent: dict[bytes, int], scale: float) -> DataFrame:
     """Per document its tokens, what the frequent ones and the model add, and its other tokens with their counts."""
-    held = docs.sparkSession.sparkContext.broadcast((model, {t: math.log10((n + ALPHA) / scale) for t, n in frequent.items()}))
-    schema = "doc_id {}, held_out boolean, n_tokens bigint, known bigint, base double, gain double, others array<struct<token:binary,n:bigint>>"
+    logs = {token: math.log10((n + ALPHA) / scale) for token, n in frequent.items()}
+    held = docs.sparkSession.sparkContext.broadcast((model, logs))
+    schema = "doc_id {}, held_out boolean, n_tokens bigint, known bigint, base double, gain double, "
+    schema += "others array<struct<token:binary,n:bigint>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, logs = held.value
@@ -365,7 +368,8 @@ def _scored(docs: DataFrame, model: Model, frequent: dict[bytes, int], scale: fl
                 gains += np.bincount(numbers[2:][real], model.gains(hashes)[real], minlength=len(texts))
             others = pa.StructArray.from_arrays([pa.array(tokens, pa.binary()), pa.array(times, pa.int64())], ["token", "n"])
             others = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), others)
-            columns = [*batch.columns[:2], *(pa.array(c, pa.int64()) for c in (totals, known)), pa.array(base, pa.float64()), pa.array(gains), others]
+            numbers = [pa.array(totals, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64())]
+            columns = [*batch.columns[:2], *numbers, pa.array(gains), others]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "known", "base", "gain", "others"])
 
     rows = docs.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), full_text().alias("text"))

@@ -216,7 +216,8 @@ def _merged(sketches: DataFrame, plan: Plan) -> DataFrame:
 def _answers(rows: DataFrame, name: str) -> DataFrame:
     """One row per chunk with the flags of its slices in order; a chunk bounds them."""
     parts = F.sort_array(F.collect_list(F.struct("slice", F.col("flags"))))
-    return rows.groupBy("chunk").agg(F.transform(parts, lambda p: p["slice"]).alias(f"{name}_slices"), F.transform(parts, lambda p: p["flags"]).alias(name))
+    gathered = rows.groupBy("chunk").agg(parts.alias("parts"))
+    return gathered.select("chunk", F.col("parts.slice").alias(f"{name}_slices"), F.col("parts.flags").alias(name))
 
 
 def _candidates(windows: Windows, plan: Plan, slices: list[int], flags: list[bytes]) -> np.ndarray:
@@ -275,10 +276,12 @@ def _digests(asked: DataFrame, plan: Plan) -> DataFrame:
                 used = [i for i in range(1 << plan.digest_bits) if at[i] < at[i + 1]]
                 parts = [slice(at[i], at[i + 1]) for i in used]
                 columns = [pa.array(used, pa.int64()), pa.array([chunk] * len(used), pa.int64())]
-                columns += [pa.array(c, pa.binary()) for c in ([_ascending(one[p]) for p in parts], [two[p].tobytes() for p in parts], [_packed(ids[p]) for p in parts])]
+                sent = [(_ascending(one[p]), two[p].tobytes(), _packed(ids[p])) for p in parts]
+                columns += [pa.array([s[i] for s in sent], pa.binary()) for i in range(3)]
                 yield pa.RecordBatch.from_arrays(columns, names=["slice", "chunk", "one", "two", "ids"])
 
-    return asked.select("chunk", "payload", "shared_slices", "shared").mapInArrow(run, "slice bigint, chunk bigint, one binary, two binary, ids binary")
+    schema = "slice bigint, chunk bigint, one binary, two binary, ids binary"
+    return asked.select("chunk", "payload", "shared_slices", "shared").mapInArrow(run, schema)
 
 
 def _earliest(digests: DataFrame) -> DataFrame:
@@ -341,8 +344,9 @@ def _without(windows: Windows, covered: np.ndarray, schema) -> Iterator[pa.Recor
         texts.append(joined.decode() if removed[-1] else text)
         begin += count
     table = windows.table.set_column(windows.table.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
-    for name, values in (("__n_words", pa.array(windows.words)), ("__n_removed", pa.array(removed, pa.int64())), ("__kept_sha256", pa.array(sums, pa.string()))):
-        table = table.append_column(name, values)
+    table = table.append_column("__n_words", pa.array(windows.words))
+    table = table.append_column("__n_removed", pa.array(removed, pa.int64()))
+    table = table.append_column("__kept_sha256", pa.array(sums, pa.string()))
     yield from table.combine_chunks().to_batches()
 
 

@@ -315,7 +315,7 @@ def stream_bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     worded = events.withColumn("value", F.expr("CASE WHEN event_id % 7 = 0 THEN 'abc' ELSE string(value) END"))
     messages = encode(worded.filter("event_id % 11 > 0 AND event_id % 13 > 0"), "user_id")
     for part, value in (("event_id % 11 = 0", "{'user_id"), ("event_id % 13 = 0", None)):
-        bad = events.filter(part).select(F.col("user_id").cast("string").alias("key"), F.lit(value).cast("string").alias("value"))
+        bad = encode(events.filter(part), "user_id").withColumn("value", F.lit(value).cast("string"))
         messages = messages.unionByName(bad)
     _run_event_stream(spark, sf_dir, folder, messages)
     return latest_per_key(read_parquet(spark, f"{folder}/table"), KEYS).drop("timestamp", "batch_id")

@@ -34,7 +34,7 @@ from tiermill.llm.words import words_in_pieces
 ALPHA = 0.1
 BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
-CLASSES = 24
+CLASSES = 16
 MARKERS = 64
 FEATURES = (1 << 12, 1 << 12, 1 << 13)
 ROUNDS = 3
@@ -350,10 +350,10 @@ def _scored(docs: DataFrame, model: Model, frequent: dict[bytes, int], scale: fl
                 """The tokens, which are looked up as they pass."""
                 found, rest, count = 0.0, Counter(), 0
                 for some in _tokens(text):
-                    values = [look(w) for w in some]
+                    values = list(map(look, some))
                     count += len(some)
                     rest.update([w for w, v in zip(some, values) if v is None])
-                    found += math.fsum([v for v in values if v is not None])
+                    found += math.fsum(filter(None, values))
                     yield some
                 totals.append(count)
                 known.append(count - sum(rest.values()))

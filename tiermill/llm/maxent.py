@@ -34,7 +34,7 @@ from tiermill.llm.words import words_in_pieces
 ALPHA = 0.1
 BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
-CLASSES = 16
+CLASSES = 32
 MARKERS = 64
 FEATURES = (1 << 12, 1 << 12, 1 << 13)
 ROUNDS = 3

@@ -1,10 +1,11 @@
 """Log-probabilities of texts under a hashed maximum-entropy model with a class-factored softmax.
 
-Words fall into hashed buckets (long words by their ending) and buckets into classes of words that keep the same company.
+Words fall into hashed buckets and buckets into classes of words that keep the same company.
 The probability of a word is that of its class given what is before it, times that of its bucket given the class and the class before
 it, times its share of the bucket by smoothed counts:
 
-* the class by a softmax over weights of hashed features: the word before, the one before that (a skip), and both;
+* the class by a softmax over weights of hashed features: the word before, the one before that (a skip), both, and
+  the ending of the word before, which is all that is known of a rare word;
 * the bucket by a softmax within the class, over weights of (class before, bucket).
 
 The class weights are trained in rounds. In each, every task goes through its share of the documents with gradient steps of
@@ -23,6 +24,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,12 +38,12 @@ BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
 CLASSES = 32
 MARKERS = 64
-FEATURES = (1 << 12, 1 << 12, 1 << 13)
+# Rows for the word before, the one before that, both, and the ending of the word before.
+FEATURES = (1 << 12, 1 << 12, 1 << 13, 1 << 12)
+ENDING, ENDING_BITS = 4, 12
 ROUNDS = 3
 BATCH = 1 << 14
 RATE = 0.3
-# Words kept whole; of longer ones the last bytes settle the bucket.
-SHORT, ENDING = 6, 4
 # Tokens more frequent than one in so many are looked up in the tasks: there are at most this many.
 FREQUENT = 1_000_000
 COUNTED_AT_ONCE = 300_000
@@ -69,12 +71,12 @@ def _tokens(text: str) -> Iterator[list[bytes]]:
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
-    """A checksum of each word, or of a long one's ending, with its bits spread over 64."""
+    """Hash of each whole word in the upper bits, and of its ending in the lower ENDING_BITS."""
+    whole = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     check = zlib.crc32
-    sums = np.fromiter([check(w) if len(w) <= SHORT else check(w[-ENDING:], 1) for w in words], np.uint64, len(words))
-    with np.errstate(over="ignore"):
-        sums = (sums + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-        return (sums ^ (sums >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    endings = np.fromiter([check(w[-ENDING:]) for w in words], np.uint64, len(words))
+    low = np.uint64((1 << ENDING_BITS) - 1)
+    return (whole & ~low) | (endings & low)
 
 
 def _gathered(texts: Iterator[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -111,7 +113,7 @@ def _features(hashes: np.ndarray) -> list[np.ndarray]:
     with np.errstate(over="ignore"):
         both = (before * np.uint64(0x9E3779B97F4A7C15)) ^ (skipped * np.uint64(0xC2B2AE3D27D4EB4F))
     base, rows = 0, []
-    for hashed, shift, size in ((before, 20, FEATURES[0]), (skipped, 20, FEATURES[1]), (both, 40, FEATURES[2])):
+    for hashed, shift, size in zip((before, skipped, both, before), (20, 20, 40, 0), FEATURES):
         rows.append(base + ((hashed >> np.uint64(shift)) & np.uint64(size - 1)).astype(np.int64))
         base += size
     return rows

@@ -2,14 +2,16 @@
 
 The templates' word n-grams are winnowed: of every few in a row the one with the smallest hash is kept, of a short template all. A
 text's n-grams are looked up in that index. Hits of a template that agree on where it would begin are a candidate, and
-the template is aligned with the words there, within a band around that beginning.
+the template is aligned with the words there, within a band around that beginning. Words that tell versions and names apart must
+be there; of notices that overlap, the one with the most words in common is reported.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections import defaultdict
-from collections.abc import Iterator, Mapping
+from collections.abc import Collection, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,12 +20,14 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from tiermill.llm.common import extended, full_text
-from tiermill.llm.license_texts import TEMPLATES
+from tiermill.llm.license_texts import OBLIGATORY, TEMPLATES
 
 GRAM = 3
 WINNOW = 4
 COVERAGE = 0.8
 WIDEST_BAND = 16
+# Of a template's fingerprints, the share that a candidate has within its band; at a coverage of 0.8 some four in ten are left.
+LEAST_HITS = 0.05
 PIECE = 1 << 20
 _WORD = re.compile(rb"[a-z0-9]+")
 _GAP = re.compile(rb"[^a-z0-9]")
@@ -64,28 +68,47 @@ def winnowed(grams: np.ndarray, window: int) -> np.ndarray:
     return np.unique(np.arange(len(rows)) + window - 1 - rows.argmin(axis=1))
 
 
+def _places(name: str, words: np.ndarray, phrases: Sequence[str]) -> frozenset[int]:
+    """Positions of the words of each phrase where it stands first."""
+    places = set()
+    for phrase in phrases:
+        wanted = _numbers(phrase.encode())
+        at = [i for i in range(len(words) - len(wanted) + 1) if np.array_equal(words[i : i + len(wanted)], wanted)]
+        if not at:
+            raise ValueError(f"template {name!r} has no {phrase!r}")
+        places.update(range(at[0], at[0] + len(wanted)))
+    return frozenset(places)
+
+
 @dataclass(frozen=True)
 class Index:
-    """Fingerprints in order, the template and position of each, and the templates' words."""
+    """Fingerprints in order, the template and position of each, and the templates' words and obligatory positions."""
 
     names: list[str]
     words: list[np.ndarray]
     prints: np.ndarray
     template: np.ndarray
     position: np.ndarray
+    needed: list[frozenset[int]]
+    least: list[float]
 
     @classmethod
-    def of(cls, templates: Mapping[str, str], gram: int = GRAM, window: int = WINNOW) -> Index:
-        names, words, found = list(templates), [], []
+    def of(
+        cls, templates: Mapping[str, str], gram: int = GRAM, window: int = WINNOW, obligatory: Mapping[str, Sequence[str]] | None = None
+    ) -> Index:
+        names, words, found, needed, least = list(templates), [], [], [], []
         for number, name in enumerate(names):
             words.append(_numbers(templates[name].lower().encode()))
             grams = _grams(words[-1], gram)
             if not len(grams):
                 raise ValueError(f"template {name!r} is shorter than {gram} words")
-            found += [(int(grams[p]), number, int(p)) for p in winnowed(grams, window)]
+            kept = winnowed(grams, window)
+            found += [(int(grams[p]), number, int(p)) for p in kept]
+            needed.append(_places(name, words[-1], (obligatory or {}).get(name, ())))
+            least.append(LEAST_HITS * len(kept))
         found.sort()
         prints, template, position = zip(*found)
-        return cls(names, words, np.array(prints, np.uint64), np.array(template), np.array(position))
+        return cls(names, words, np.array(prints, np.uint64), np.array(template), np.array(position), needed, least)
 
     def hits(self, grams: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(template, position in it, position in the text) of each equal fingerprint."""
@@ -97,32 +120,36 @@ class Index:
                 entry += 1
 
 
-def align(template: list[int], text: list[int], low: int, high: int) -> tuple[int, int, int]:
+def align(template: list[int], text: list[int], low: int, high: int, needed: Collection[int] = frozenset()) -> tuple[int, int, int]:
     """Best local alignment with text position minus template position between ``low`` and ``high``.
 
-    Two points for an equal word, one off for a word left out, put in or changed. Returns (equal words, first and behind the
-    last aligned position of the text).
+    Two points for an equal word, one off for a word left out, put in or changed. The template's words at the positions ``needed`` must
+    all be there, with nothing between neighbours. Returns (equal words, first and behind the last aligned position of the text).
     """
-    nothing = (0, 0, -1, -1)  # points, equal words, first, behind
+    nothing = (0, 0, -1, -1, 0)  # points, equal words, first, behind, needed words
     best, above = nothing, {}
     for i, word in enumerate(template):
-        here = {}
+        here, must, tight = {}, i in needed, i in needed and i + 1 in needed
         for j in range(max(0, i + low), min(len(text), i + high + 1)):
             before = above.get(j - 1, nothing)
             if text[j] == word:
-                found = (before[0] + 2, before[1] + 1, before[2] if before[0] > 0 else j, j + 1)
+                found = (before[0] + 2, before[1] + 1, before[2] if before[0] > 0 else j, j + 1, before[4] + must)
             else:
-                found = max(before, above.get(j, nothing), here.get(j - 1, nothing), key=lambda c: c[0])
+                put_in = nothing if tight else here.get(j - 1, nothing)
+                found = put_in if must else max(before, above.get(j, nothing), put_in, key=lambda c: c[0])
                 found = (found[0] - 1, *found[1:]) if found[0] > 1 else nothing
             here[j] = found
-            if found[0] > best[0]:
+            if found[0] > best[0] and found[4] == len(needed):
                 best = found
         above = here
     return best[1], best[2], best[3]
 
 
 def _matches(words: np.ndarray, index: Index, gram: int, coverage: float) -> list[tuple[int, float, int, int, int]]:
-    """(template, coverage, equal words, first and behind the last word) of the notices in a text, by place."""
+    """(template, coverage, equal words, first and behind the last word) of the notices in a text, by place.
+
+    Of those that overlap, the one with the most equal words, then with the larger coverage, is left.
+    """
     begins = defaultdict(list)
     for template, position, at in index.hits(_grams(words, gram)):
         begins[template].append(at - position)
@@ -130,7 +157,7 @@ def _matches(words: np.ndarray, index: Index, gram: int, coverage: float) -> lis
     for template, starts in begins.items():
         pattern = index.words[template]
         band = max(2, min(WIDEST_BAND, len(pattern) // 4))
-        starts = sorted(set(starts))
+        hits, starts = np.sort(starts), sorted(set(starts))
         groups = [[starts[0]]]
         for start in starts[1:]:
             if start - groups[-1][0] <= band:
@@ -140,25 +167,39 @@ def _matches(words: np.ndarray, index: Index, gram: int, coverage: float) -> lis
         reached = -1
         for group in groups:
             low = max(0, group[0] - band)
-            text = words[low : group[-1] + len(pattern) + band].tolist()
-            equal, first, behind = align(pattern.tolist(), text, group[0] - band - low, group[-1] + band - low)
+            text = words[low : group[-1] + len(pattern) + band]
+            near = np.searchsorted(hits, group[-1] + band, "right") - np.searchsorted(hits, group[0] - band)
+            if near < index.least[template] or np.isin(pattern, text).sum() < coverage * len(pattern):
+                continue
+            needed = index.needed[template]
+            equal, first, behind = align(pattern.tolist(), text.tolist(), group[0] - band - low, group[-1] + band - low, needed)
             if equal / len(pattern) >= coverage and low + first > reached:
                 found.append((template, equal / len(pattern), equal, low + first, low + behind))
                 reached = low + behind - 1
-    return sorted(found, key=lambda m: (m[3], m[0]))
+    left: list[tuple[int, float, int, int, int]] = []
+    for match in sorted(found, key=lambda m: (-m[2], -m[1], m[3], m[0])):
+        at = bisect(left, match[3], key=lambda m: m[3])  # left is in order and has no overlaps
+        if (at == 0 or left[at - 1][4] <= match[3]) and (at == len(left) or match[4] <= left[at][3]):
+            left.insert(at, match)
+    return left
 
 
 def license_notices(
-    docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, gram: int = GRAM, window: int = WINNOW, coverage: float = COVERAGE
+    docs: DataFrame,
+    templates: Mapping[str, str] = TEMPLATES,
+    gram: int = GRAM,
+    window: int = WINNOW,
+    coverage: float = COVERAGE,
+    obligatory: Mapping[str, Sequence[str]] = OBLIGATORY,
 ) -> DataFrame:
     """One row per notice found: doc_id, license, coverage, matched_words, first_word, last_word, begin, end.
 
     coverage is the share of the template's words that the text has in order; begin and end are the character span in
-    the text (end behind the last). Texts are searched whole; words are runs of a-z and digits, case aside. Notices of
-    one template do not overlap; different templates may. Null, empty and other texts without notices give no rows; repeated rows
-    each give theirs. The templates must be few: every task holds them.
+    the text (end behind the last). Texts are searched whole; words are runs of a-z and digits, case aside. Notices
+    do not overlap: the best is reported. The phrases that ``obligatory`` has for a template must be in the text. Null, empty and
+    other texts without notices give no rows; repeated rows each give theirs. The templates must be few: every task holds them.
     """
-    held = docs.sparkSession.sparkContext.broadcast(Index.of(templates, gram, window))
+    held = docs.sparkSession.sparkContext.broadcast(Index.of(templates, gram, window, obligatory))
     rows = docs.select("doc_id", full_text().alias("text"))
     schema = extended(
         rows.select("doc_id").schema,

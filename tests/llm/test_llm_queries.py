@@ -36,14 +36,15 @@ def result(spark, name):
 
 def test_all_are_registered():
     assert set(llm.queries()) <= set(registry.queries()) and set(llm.oracle_sql()) <= set(llm.queries())
-    assert {n.split("_")[0] for n in llm.queries()} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in llm.queries()} == {f"op{n}" for n in range(1, 14)} | {"pipeline"}
     assert not set(llm.queries()) & set(registry.table_queries())
 
 
 @pytest.mark.parametrize("name", sorted(llm.oracle_sql()))
 def test_query_equals_sql(spark, name):
     with duckdb.connect() as connection:
-        connection.execute(f"create view documents as select * from '{SF_DIR}/documents.parquet'")
+        for table in ("documents", "labels", "benchmark"):
+            connection.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
         expected = connection.sql(llm.oracle_sql()[name])
         columns, rows = sorted(expected.columns), expected.fetchall()
         rows = sorted(tuple(row[expected.columns.index(c)] for c in columns) for row in rows)

@@ -65,7 +65,9 @@ def test_targets_are_those_of_sharing_again(spark, sizes):
         assert r.full * sizes[source] + r.rest == (int(r.target + 0.5) if sizes[source] else 0)
 
 
-def test_odd_documents(spark, odd_documents, odd_rows):
+@pytest.mark.parametrize("broadcast", [mixing.BROADCAST_BYTES, -1])
+def test_odd_documents(spark, odd_documents, odd_rows, monkeypatch, broadcast):
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", broadcast)
     marked = odd_documents.withColumn("source", F.when(F.col("shard") % 4 > 0, F.concat(F.lit("s"), F.col("shard") % 4)))
     rows = [(r[0], r[1], f"s{n % 4}" if n % 4 else None) for n, r in enumerate(odd_rows)]
     mixed = mix_sources(marked)

@@ -19,6 +19,8 @@ WEIGHTS = (5, 2, 1)
 # Hexadecimal digits of a place, and after which of them buckets are refined: 4096 buckets, then as many in one of these.
 DIGITS = 16
 LEVELS = (3, 6, 9, 12, DIGITS)
+# Bytes of all sources' rows up to which they are broadcast to the documents; more are joined by a shuffle.
+BROADCAST_BYTES = 16 << 20
 # Copies of one row that one task writes out.
 COPIES_AT_ONCE = 100_000
 _GAPS = r"\x20\x09-\x0D"
@@ -84,7 +86,7 @@ def mix_sources(
     empty table gives no rows.
 
     One scan of the texts writes (id, source, place, size); these are summed by source and bucket where they lie, and
-    joined to one row per source.
+    joined to one row per source, which is broadcast if all sources' rows are counted to be small.
     """
     key = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
     narrow = docs.select("doc_id", "source", key.alias("key"), place(seed).alias("place"), word_count(full_text()).alias("size"))
@@ -92,20 +94,25 @@ def mix_sources(
     sizes = held.groupBy("key", "source").agg(F.sum("size").cast("bigint").alias("source_size"))
     aims = staged(source_targets(sizes, weights, budget, repeats), "mixing-targets")
 
+    width = aims.agg(F.coalesce(F.sum(F.octet_length("key") + 100), F.lit(0))).first()[0]
+
+    def few(rows: DataFrame) -> DataFrame:
+        return F.broadcast(rows) if width <= BROADCAST_BYTES else rows
+
     # First over all rows, then over those of one bucket a source, its repeated rows counted.
     ends = staged(_ends(held, aims, LEVELS[0], F.col("size")), f"mixing-{LEVELS[0]}")
-    inside = held.join(ends, (held["key"] == ends["key"]) & (F.left("place", F.lit(LEVELS[0])) == ends["edge"]), "left_semi")
+    inside = held.join(few(ends), (held["key"] == ends["key"]) & (F.left("place", F.lit(LEVELS[0])) == ends["edge"]), "left_semi")
     inside = staged(inside.groupBy(*inside.columns).agg(F.count(F.lit(1)).alias("copies")), "mixing-inside")
     for last, digits in zip(LEVELS, LEVELS[1:]):
         near = inside.join(ends.select("key", "edge"), "key").filter(F.left("place", F.lit(last)) == F.col("edge")).drop("edge")
         ends = staged(_ends(near, ends, digits, F.col("size") * F.col("copies")), f"mixing-{digits}")
 
     aims = aims.drop("source", "rest").join(ends, "key", "left")
-    each = held.join(aims, "key").filter(F.col("edge").isNull() | (F.col("place") != F.col("edge")))
+    each = held.join(few(aims), "key").filter(F.col("edge").isNull() | (F.col("place") != F.col("edge")))
     more = F.when(F.col("place") < F.col("edge"), F.col("size")).otherwise(0)
     each = each.withColumn("more", more)
     result = ["doc_id", "source", "size", "source_size", "target", ((F.col("full") * F.col("size")) + F.col("more")).cast("bigint").alias("taken")]
-    return each.select(*result).unionByName(_at_the_edge(inside.join(aims, "key").filter(F.col("place") == F.col("edge"))).select(*result))
+    return each.select(*result).unionByName(_at_the_edge(inside.join(few(aims), "key").filter(F.col("place") == F.col("edge"))).select(*result))
 
 
 def _at_the_edge(rows: DataFrame) -> DataFrame:

@@ -228,3 +228,39 @@ def test_adaptive_execution_splits_a_hot_key_of_a_plain_join(spark, conf, plan_o
     joined.collect()
     assert "skew=true" in plan_of(joined)
     assert joined.filter("double = 2 * k").count() == 60_000
+
+
+def exact_mean(pairs, digits):
+    """Half-up mean of (value in units of 10**-2, times) pairs."""
+    total, n = sum(v * t for v, t in pairs), sum(t for _, t in pairs)
+    sign, units = (-1 if total < 0 else 1), 10 ** (2 - digits)
+    return sign * ((2 * abs(total) + n * units) // (2 * n * units)) / 10**digits
+
+
+@pytest.mark.parametrize("reduce_first", [False, True])
+def test_weighted_sums_equal_whole_number_arithmetic(spark, reduce_first):
+    """Values of all sizes and both signs, keys repeated unevenly on both sides."""
+    rng = random.Random(5)
+    # multiples of 2**k hundredths whose doubles are exact
+    units = [rng.randint(-(2**45), 2**45) * 2 ** rng.choice([0, 0, 8, 20, 30]) for _ in range(400)]
+    facts = [(rng.choice([1, 1, 1, 2, 3, 4]), u) for u in units[:200]]
+    dims = [(rng.choice([1, 2, 2, 3, 5]), u) for u in units[200:]]
+    per_key = {k: (sum(f == k for f, _ in facts), sum(d == k for d, _ in dims)) for k in range(1, 6)}
+    left = spark.createDataFrame([(k, u / 4) for k, u in facts], "k int, v double").repartition(3)
+    right = spark.createDataFrame([(k, u / 4) for k, u in dims], "id int, h double").repartition(3)
+    row = enriched_averages(left, right, ("k", "id"), [], [], ["v"], ["h"], exact_scale=2, reduce_first=reduce_first).first()
+    expected = [
+        exact_mean([(u * 25, per_key[k][side]) for k, u in rows if per_key[k][side]], 2)
+        for side, rows in ((1, facts), (0, dims))
+    ]
+    assert (row.avg_v, row.avg_h) == pytest.approx(tuple(expected), rel=1e-15)
+
+
+def test_no_row_of_an_exact_average_needs_a_decimal(spark, skewed, plan_of):
+    facts, dims, _, _ = skewed
+    for reduce_first in (False, True):
+        df = enriched_averages(
+            facts, dims, ("k", "id"), ["g"], ["s"], ["v"], ["h"], exact_scale=2, stamp=None, reduce_first=reduce_first
+        )
+        partial = [line for line in plan_of(df).lower().splitlines() if "partial_sum" in line]
+        assert partial and not any("decimal" in line for line in partial)

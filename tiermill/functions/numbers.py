@@ -9,16 +9,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A scaled value is summed as two integers, its high part and its low LOW_BITS bits. Counted one by one, both sums
-# stay far from the limit of a bigint: the low parts for 2**43 rows of any value, the high parts for 2**33 rows
-# of the largest value allowed and correspondingly more rows of smaller ones. Sums that are weighted or summed again have
-# no such bound and are taken as decimals. Larger values up to LARGEST_EXACT go into a decimal of their own.
-LOW_BITS = 20
-LARGEST_SCALED = 2**50
+# A scaled value is summed as three integers ("limbs"): its low LOW_BITS bits, the HIGH_BITS above them, and what is beyond
+# (``top``, with the sign; values below LARGEST_SCALED keep their sign in ``high`` and have no top). Every limb of a row stays
+# below 2**HIGH_BITS, so its sum holds for 2**33 rows. Before sums are weighted or summed once more, what they have beyond their limb's
+# width is carried to the next one, and a fourth limb (``over``) takes the last carry. Products with a weight are split in
+# the same way, and their upper halves add up to no more than the number of joined rows. So no row needs a decimal.
+LOW_BITS, HIGH_BITS = 20, 30
+LARGEST_SCALED = 2 ** (LOW_BITS + HIGH_BITS)
 LARGEST_EXACT = 10**24
 # Up to this average, in scaled units, the rounding is done in integers.
 LARGEST_ROUNDED = 10**15
-PARTS = ("n", "sum", "high", "low", "big")
+LIMBS = ("low", "high", "top", "over")
 
 
 def is_number(column: Column, finite_only: bool = False) -> Column:
@@ -35,29 +36,32 @@ def is_number(column: Column, finite_only: bool = False) -> Column:
 
 
 def scaled(x: str, scale: int) -> str:
-    """``x * 10**scale`` to the nearest integer, halves away from zero; null beyond the exact range."""
-    limit = LARGEST_SCALED / 10**scale
-    return f"CASE WHEN abs({x}) < {limit!r}D THEN CAST({x} * {10**scale}.0D + 0.5D * sign({x}) AS BIGINT) END"
+    """``x * 10**scale`` to the nearest integer, halves away from zero, without its multiples of LARGEST_SCALED; null beyond the exact range."""
+    limit, most = LARGEST_SCALED / 10**scale, LARGEST_EXACT / 10**scale
+    whole = f"{x} * {10**scale}.0D"
+    return (
+        f"CASE WHEN abs({x}) < {limit!r}D THEN CAST({whole} + 0.5D * sign({x}) AS BIGINT) "
+        f"WHEN abs({x}) < {most!r}D THEN CAST(({whole}) % {LARGEST_SCALED}.0D + 0.5D * sign({x}) AS BIGINT) END"
+    )
 
 
 def value_parts(x: str, exact_scale: int | None) -> dict[str, str]:
     """What one row adds to the average of the double ``x``: the part's suffix and its SQL.
 
     Always ``n`` (1 unless null) and ``sum``. With ``exact_scale``, over a column ``x_scaled`` made by :func:`scaled`,
-    ``high`` and ``low`` are the scaled value in two parts, ``big`` is that of a value too large for them, and ``sum``
-    is left to the values that are not summed exactly (NaN, infinite, beyond LARGEST_EXACT); its total is null if
-    there are none.
+    ``low``, ``high`` and ``top`` are the limbs of the scaled value, and ``sum`` is left to the values that are not summed
+    exactly (NaN, infinite, beyond LARGEST_EXACT); its total is null if there are none.
     """
     if exact_scale is None:
         return {"n": f"CAST({x} IS NOT NULL AS BIGINT)", "sum": x}
     least, most = LARGEST_SCALED / 10**exact_scale, LARGEST_EXACT / 10**exact_scale
-    large = f"abs({x}) >= {least!r}D AND abs({x}) < {most!r}D"
+    above = f"CAST({x} * {10**exact_scale}.0D / {LARGEST_SCALED}.0D AS BIGINT)"
     return {
         "n": f"CAST({x} IS NOT NULL AS BIGINT)",
         "sum": f"CASE WHEN abs({x}) >= {most!r}D THEN {x} END",
-        "big": f"CASE WHEN {large} THEN CAST({x} * {10**exact_scale}.0D AS DECIMAL(25,0)) END",
+        "low": f"{x}_scaled & {2**LOW_BITS - 1}L",
         "high": f"shiftright({x}_scaled, {LOW_BITS})",
-        "low": f"{x}_scaled & {2**LOW_BITS - 1}",
+        "top": f"CASE WHEN abs({x}) >= {least!r}D AND abs({x}) < {most!r}D THEN {above} END",
     }
 
 
@@ -66,23 +70,56 @@ def average_parts(x: str, exact_scale: int | None) -> list[str]:
     return [f"sum({part}) AS {x}_{name}" for name, part in value_parts(x, exact_scale).items()]
 
 
-def merged_parts(x: str, weight: str | None, exact_scale: int | None) -> list[str]:
-    """Aggregates that merge parts of ``x``, each counted ``weight`` times, or once.
+def _low(value: str, bits: int) -> str:
+    return f"(({value}) & {2**bits - 1}L)"
+
+
+def _carry(value: str, bits: int) -> str:
+    return f"shiftright({value}, {bits})"
+
+
+def carried_parts(x: str, exact_scale: int | None) -> list[str]:
+    """The parts of ``x`` after a sum, each limb brought back within its width by carrying to the next."""
+    if exact_scale is None:
+        return [f"{x}_n", f"{x}_sum"]
+    top = f"coalesce({x}_top, 0L)"
+    high = f"({x}_high + {_carry(f'{x}_low', LOW_BITS)})"
+    beyond = f"({top} + {_carry(high, HIGH_BITS)})"
+    limbs = (_low(f"{x}_low", LOW_BITS), _low(high, HIGH_BITS), _low(beyond, HIGH_BITS), _carry(beyond, HIGH_BITS))
+    return [f"{x}_n", f"{x}_sum", *(f"{limb} AS {x}_{name}" for name, limb in zip(LIMBS, limbs))]
+
+
+def merged_parts(x: str, weight: str | None, exact_scale: int | None, summed: bool) -> list[str]:
+    """Aggregates that merge parts of ``x``, each counted ``weight`` (below 2**33) times, or once.
 
-    The exact parts are decimals here: how often a row counts, or how many rows a part stands for, has no bound.
+    ``summed`` says that the parts come from :func:`carried_parts`, and not from single rows.
     """
-    merged = []
-    for name in PARTS[:2] if exact_scale is None else PARTS:
-        part = f"{x}_{name}"
-        factor = f"CAST({part} AS DECIMAL(38,0))" if name in PARTS[2:] else part
-        merged.append(f"sum({factor if weight is None else f'{factor} * {weight}'}) AS {part}")
-    return merged
-
-
-def exact_total(x: str) -> str:
-    """The exact sums put together."""
-    high, low, big = (f"coalesce(CAST({x}_{part} AS DECIMAL(38,0)), 0)" for part in PARTS[2:])
-    return f"CAST({high} * {2**LOW_BITS} + {low} + {big} AS DECIMAL(38,0)) AS {x}_total"
+
+    def times(part: str) -> str:
+        return f"{x}_{part}" if weight is None else f"{x}_{part} * {weight}"
+
+    merged = [f"sum({times(part)}) AS {x}_{part}" for part in ("n", "sum")]
+    if exact_scale is None:
+        return merged
+    low, high, top = (times(limb) for limb in LIMBS[:3])
+    over = [times("over")] if summed else []
+    if weight is None:
+        limbs = [[low], [high], [top], over]
+    else:
+        limbs = [
+            [_low(low, LOW_BITS)],
+            [_carry(low, LOW_BITS), _low(high, HIGH_BITS)],
+            [_carry(high, HIGH_BITS), f"coalesce({_low(top, HIGH_BITS)}, 0L)"],
+            [f"coalesce({_carry(top, HIGH_BITS)}, 0L)", *over],
+        ]
+    return merged + [f"sum({' + '.join(terms or ['0L'])}) AS {x}_{name}" for name, terms in zip(LIMBS, limbs)]
+
+
+def exact_total(x: str, limbs: int) -> str:
+    """The sums of the first ``limbs`` limbs put together, once per group."""
+    units = (0, LOW_BITS, LOW_BITS + HIGH_BITS, LOW_BITS + 2 * HIGH_BITS)
+    terms = [f"coalesce(CAST({x}_{name} AS DECIMAL(38,0)), 0) * {2**unit}" for name, unit in zip(LIMBS[:limbs], units)]
+    return f"CAST({' + '.join(terms)} AS DECIMAL(38,0)) AS {x}_total"
 
 
 def plain_average(x: str, digits: int) -> str:

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiermill.functions.numbers import (
+    LIMBS,
     average_parts,
+    carried_parts,
     exact_average,
     exact_total,
     merged_parts,
@@ -62,12 +64,13 @@ def _finish(
     digits: int,
     exact_scale: int | None,
     stamp: list[Column],
+    limbs: int = len(LIMBS),
 ) -> DataFrame:
     """Keys, rounded averages and time from the parts of each group; ``names`` maps internal to output names."""
     if exact_scale is None:
         rounded = {x: plain_average(x, digits) for x in names}
     else:
-        parts = parts.selectExpr("*", *map(exact_total, names))
+        parts = parts.selectExpr("*", *[exact_total(x, limbs) for x in names])
         rounded = {x: exact_average(x, digits, exact_scale) for x in names}
     averages = [F.expr(rounded[x]).alias(name) for x, name in names.items()]
     return parts.select(*map(_quoted, keys), *averages, *stamp)
@@ -96,7 +99,7 @@ def group_averages(
     rows = df.selectExpr(*map(_quoted, keys), *_values(sources, exact_scale, "TRY_CAST" if df.isStreaming else "CAST"))
     parts = [F.expr(part) for x in names for part in average_parts(x, exact_scale)]
     grouped = rows.groupBy(*map(_quoted, keys)).agg(*parts)
-    return _finish(grouped, keys, names, digits, exact_scale, _stamp(stamp, run_ts))
+    return _finish(grouped, keys, names, digits, exact_scale, _stamp(stamp, run_ts), limbs=3)
 
 
 @dataclass(frozen=True)
@@ -129,7 +132,9 @@ class _Side:
     def reduced(self) -> DataFrame:
         """One row per (join key, group keys), with how many rows it stands for and what they add."""
         parts = [part for x in self.values for part in average_parts(x, self.exact_scale)]
-        return self.rows.groupBy(*self._by()).agg(*map(F.expr, [f"count(1) AS __{self.name}_rows", *parts]))
+        sums = self.rows.groupBy(*self._by()).agg(*map(F.expr, [f"count(1) AS __{self.name}_rows", *parts]))
+        carried = [part for x in self.values for part in carried_parts(x, self.exact_scale)]
+        return sums.selectExpr(*self._by(), f"__{self.name}_rows", *carried)
 
     def _by(self) -> list[str]:
         return [f"__{self.name}_on", *map(_quoted, self.keys)]
@@ -183,9 +188,9 @@ def enriched_averages(
     if reduce_first or (reduce_first is None and dimension.count() > BROADCAST_ROWS):
         right = right.hint("merge")
     joined = left.join(right, F.col("__fact_on") == F.col("__dim_on"), "inner")
-    merged = [part for x in fact_sources for part in merged_parts(x, "__dim_rows", exact_scale)]
+    merged = [part for x in fact_sources for part in merged_parts(x, "__dim_rows", exact_scale, bool(reduce_first))]
     dim_weight = "__fact_rows" if reduce_first else None  # otherwise each fact is a row of its own
-    merged += [part for x in dimension_sources for part in merged_parts(x, dim_weight, exact_scale)]
+    merged += [part for x in dimension_sources for part in merged_parts(x, dim_weight, exact_scale, True)]
     grouped = joined.groupBy(*map(_quoted, keys)).agg(*map(F.expr, merged))
     return _finish(grouped, keys, names, digits, exact_scale, _stamp(stamp, run_ts))
 

@@ -1,0 +1,115 @@
+"""Types of CSV columns found while landing, against Spark's inference."""
+
+import csv
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tiermill.plans.athletes import RESULT_FIELDS
+from tiermill.sources import csv_types
+from tiermill.sources.csv_types import kind_of, land_csv, type_of
+from tiermill.sources.files import read_csv, read_parquet
+from test_medallion import BIO_COLUMNS, BIOS, RESULT_ROWS, write_csv
+
+VALUES = """5|+5|-5| 5 |2147483647|2147483648|-2147483649|9223372036854775807|9223372036854775808|123456789012345678901234567890
+1.5|1e3|1E3|180d|180f|0x1p3|.5|5.|NaN|nan|Inf|-Inf|inf|Infinity|-Infinity|+Inf|2020-01-01|2020-1-1|2020-01|2020
+2020-01-01T10:00:00|2020-01-01 10:00:00|2020-01-01 10:00|2020-01-01T10:00:00.123|2020-01-01T10:00:00Z|2020-01-01 10:00:00+02:00
+10:00|true|TRUE|True|t|yes|false |x|1_000|1,5|--5|0005|1L|1e400|00|-0|1.0|2020-13-01|2020-02-30| |0x10|1e|T10:00
+2020-01-01T|1.5e-3|Tom|Ned|Ina|na|75-80|a:b|1:2:3|-|+|.|é|NULL|Never|10:61""".replace("\n", "|").split("|")
+
+
+def land(spark, folder, header, rows):
+    source, out = str(folder / "in.csv"), str(folder / "out.parquet")
+    with open(source, "w", newline="", encoding="utf-8") as file:
+        csv.writer(file).writerows([header, *rows])
+    return source, out, land_csv(spark, source, out)
+
+
+def comparable(df):
+    return sorted((tuple(None if v is None else str(v) for v in r) for r in df.collect()), key=repr)
+
+
+def test_every_value_alone_has_the_type_that_spark_infers(spark, tmp_path):
+    header = [f"c{n}" for n in range(len(VALUES))]
+    source, out, types = land(spark, tmp_path, header, [VALUES])
+    expected = read_csv(spark, source)
+    differing = {v: (types[c], t) for v, (c, t) in zip(VALUES, expected.dtypes) if types[c] != t}
+    assert differing == {}
+    assert comparable(read_parquet(spark, out)) == comparable(expected)
+
+
+MIXES = {
+    "int": ["1", "", "-7"], "bigint": ["1", "3000000000"], "double": ["1", "2.5", "NaN"], "date": ["2020-01-01", ""],
+    "timestamp": ["2020-01-01", "2021-05-06 07:08:09"], "boolean": ["true", "FALSE"], "decimal(25,0)": ["1", "1" * 25],
+    "string": ["1", "x"],
+}
+
+
+def test_columns_of_mixed_values(spark, tmp_path):
+    rng = random.Random(4)
+    columns = [list(values) for values in MIXES.values()] + [[], ["true", "1"], ["2020-01-01", "1.5"], ["1", "2020-01-01 10:00"]]
+    rows = [[rng.choice(c) if c else "" for c in columns] for _ in range(300)]
+    rows += [[c[n % len(c)] if c else "" for c in columns] for n in range(6)]
+    source, out, types = land(spark, tmp_path, [f"c{n}" for n in range(len(columns))], rows)
+    assert list(types.values()) == [*MIXES, "string", "string", "string", "string"]
+    expected = read_csv(spark, source)
+    assert expected.dtypes == [*types.items()]
+    assert comparable(read_parquet(spark, out)) == comparable(expected)
+
+
+def test_athlete_fixtures(spark, tmp_path):
+    for name, header, rows in (("bio", BIO_COLUMNS, BIOS), ("results", RESULT_FIELDS, RESULT_ROWS)):
+        source, out = tmp_path / f"{name}.csv", str(tmp_path / f"{name}.parquet")
+        write_csv(source, header, rows)
+        land_csv(spark, str(source), out)
+        expected = read_csv(spark, str(source))
+        assert read_parquet(spark, out).dtypes == expected.dtypes
+        assert comparable(read_parquet(spark, out)) == comparable(expected)
+
+
+@pytest.mark.parametrize("table", ["events", "customer", "orders", "part"])
+def test_given_tables(spark, tmp_path, table):
+    source, out = str(tmp_path / "in.csv"), str(tmp_path / "out.parquet")
+    read_parquet(spark, f"/root/testdata/sf0.001/{table}.parquet").write.csv(source, header=True)
+    types = land_csv(spark, source, out)
+    expected = read_csv(spark, source)
+    assert expected.dtypes == [*types.items()]
+    assert comparable(read_parquet(spark, out)) == comparable(expected)
+
+
+def test_the_file_is_read_once(spark, tmp_path, monkeypatch):
+    """Rows are counted as they leave the CSV scan."""
+    passes = spark.sparkContext.accumulator(0)
+    read = csv_types.read_csv
+
+    def counted(*args, **options):
+        df = read(*args, **options)
+
+        def count(batches):
+            for batch in batches:
+                passes.add(batch.num_rows)
+                yield batch
+
+        return df.mapInArrow(count, df.schema)
+
+    monkeypatch.setattr(csv_types, "read_csv", counted)
+    land(spark, tmp_path, ["a", "b"], [[n, f"x{n}"] for n in range(1000)])
+    assert passes.value == 1000
+
+
+def test_names_that_need_quotes_and_no_rows(spark, tmp_path):
+    _, out, types = land(spark, tmp_path, ["a b", "c.d", "e`f"], [["1", "2.5", "x"]])
+    assert types == {"a b": "int", "c.d": "double", "e`f": "string"}
+    assert tuple(read_parquet(spark, out).first()) == (1, 2.5, "x")
+    (tmp_path / "none").mkdir()
+    _, out, types = land(spark, tmp_path / "none", ["a"], [])
+    assert types == {"a": "string"} and read_parquet(spark, out).count() == 0
+
+
+def test_a_column_does_not_depend_on_the_order_of_its_rows(spark):
+    assert type_of(csv_types.INTEGER | csv_types.DATE, 0) == "string"
+    assert type_of(csv_types.LONG | csv_types.DECIMAL, 19) == "decimal(20,0)"
+    assert type_of(0, 0) == "string"
+    kind = spark.range(1).select(F.lit(None).cast("string").alias("t")).select(F.expr(kind_of("t"))).first()[0]
+    assert kind == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,14 +13,16 @@ from tiermill.operators.averages import RunTime, enriched_averages
 from tiermill.operators.columns import clean_columns, dedupe, keep_numeric
 from tiermill.operators.joins import Columns
 from tiermill.sinks.files import show_preview, write_parquet
+from tiermill.sources.csv_types import land_csv
 from tiermill.sources.files import read_csv, read_parquet
+from tiermill.sources.layers import read_layer, replace_layer
 
 
 @dataclass(frozen=True)
 class Dataset:
     """One input of the pipeline: which columns are cleaned, and which must hold numbers.
 
-    Without ``schema`` the types of the CSV file are inferred, or with ``infer=False`` all columns are text.
+    Without ``schema`` the types of the CSV file are inferred while it is landed, or with ``infer=False`` all columns are text.
     """
 
     name: str
@@ -83,39 +85,68 @@ def layer(lake: str, tier: str, name: str) -> str:
     return f"{lake}/{tier}/{name}.parquet"
 
 
-def to_bronze(spark: SparkSession, landing: str, lake: str, datasets: Sequence[Dataset], show: bool = False) -> None:
-    """CSV files as they landed, to parquet."""
+def read_tier(spark: SparkSession, lake: str, tier: str, name: str, versioned: bool = False) -> DataFrame:
+    """A dataset of a tier, written in place or in versions."""
+    return (read_layer if versioned else read_parquet)(spark, layer(lake, tier, name))
+
+
+def _writer(versioned: bool) -> Callable[[DataFrame, str], object]:
+    return replace_layer if versioned else write_parquet
+
+
+def to_bronze(
+    spark: SparkSession, landing: str, lake: str, datasets: Sequence[Dataset], show: bool = False, versioned: bool = False
+) -> None:
+    """CSV files as they landed, to parquet. Each file is read once, also where its types are inferred.
+
+    In all three stages ``versioned`` writes each layer as a new version that replaces the old one only when it is complete
+    (``replace_layer``); by default it is overwritten in place, and gone if the job dies in between.
+    """
+    write = _writer(versioned)
     for data in datasets:
-        df = read_csv(spark, f"{landing}/{data.name}.csv", data.schema, data.infer)
+        source, out = f"{landing}/{data.name}.csv", layer(lake, "bronze", data.name)
+        if data.schema is None and data.infer:
+            land_csv(spark, source, out, write)
+        else:
+            write(read_csv(spark, source, data.schema, data.infer), out)
         if show:
-            show_preview(df)
-        write_parquet(df, layer(lake, "bronze", data.name))
+            show_preview(read_tier(spark, lake, "bronze", data.name, versioned))
 
 
-def to_silver(spark: SparkSession, lake: str, datasets: Sequence[Dataset], show: bool = False) -> None:
+def to_silver(
+    spark: SparkSession, lake: str, datasets: Sequence[Dataset], show: bool = False, versioned: bool = False
+) -> None:
     """Bronze tables, refined."""
     for data in datasets:
-        source = read_parquet(spark, layer(lake, "bronze", data.name))
-        write_parquet(refine(source, data.text_columns, data.numeric_columns), layer(lake, "silver", data.name))
+        source = read_tier(spark, lake, "bronze", data.name, versioned)
+        refined = refine(source, data.text_columns, data.numeric_columns)
+        _writer(versioned)(refined, layer(lake, "silver", data.name))
         if show:
-            show_preview(read_parquet(spark, layer(lake, "silver", data.name)))
+            show_preview(read_tier(spark, lake, "silver", data.name, versioned))
 
 
-def to_gold(spark: SparkSession, lake: str, report: Report, run_ts: RunTime = None, show: bool = False) -> None:
+def to_gold(
+    spark: SparkSession, lake: str, report: Report, run_ts: RunTime = None, show: bool = False, versioned: bool = False
+) -> None:
     """The report over the silver tables."""
-    facts = read_parquet(spark, layer(lake, "silver", report.facts.name))
-    dimension = read_parquet(spark, layer(lake, "silver", report.dimension.name))
-    write_parquet(summarise(facts, dimension, report, run_ts), layer(lake, "gold", report.name))
+    facts, dimension = (read_tier(spark, lake, "silver", d.name, versioned) for d in (report.facts, report.dimension))
+    _writer(versioned)(summarise(facts, dimension, report, run_ts), layer(lake, "gold", report.name))
     if show:
-        show_preview(read_parquet(spark, layer(lake, "gold", report.name)))
+        show_preview(read_tier(spark, lake, "gold", report.name, versioned))
 
 
 def run_medallion(
-    spark: SparkSession, landing: str, lake: str, report: Report, run_ts: RunTime = None, show: bool = False
+    spark: SparkSession,
+    landing: str,
+    lake: str,
+    report: Report,
+    run_ts: RunTime = None,
+    show: bool = False,
+    versioned: bool = False,
 ) -> DataFrame:
     """All three stages in order; returns the gold table as read back from the lake."""
     datasets = [report.dimension, report.facts]
-    to_bronze(spark, landing, lake, datasets, show)
-    to_silver(spark, lake, datasets, show)
-    to_gold(spark, lake, report, run_ts, show)
-    return read_parquet(spark, layer(lake, "gold", report.name))
+    to_bronze(spark, landing, lake, datasets, show, versioned)
+    to_silver(spark, lake, datasets, show, versioned)
+    to_gold(spark, lake, report, run_ts, show, versioned)
+    return read_tier(spark, lake, "gold", report.name, versioned)

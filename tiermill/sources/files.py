@@ -46,6 +46,13 @@ def working_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to a fresh working folder and read back, so that what follows sees the same rows however often it looks."""
+    path = working_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @functools.cache
 def _own_folder() -> str:
     """This process's temporary folder; nothing is made until something is written there."""

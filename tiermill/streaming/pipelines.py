@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from tiermill.operators.averages import RunTime, enriched_averages
 from tiermill.operators.joins import SALT, Columns, named, salted, spread
 from tiermill.operators.messages import decode, value_text
 from tiermill.sinks.files import BatchSink
-from tiermill.streaming.delivery import fan_out, start
+from tiermill.streaming.delivery import SinkLedger, fan_out, named_sinks, start
 
 # Copies of the dimension rows of a hot key.
 COPIES = 8
@@ -36,6 +36,7 @@ def average_messages(
     run_ts: RunTime = None,
     hot: Sequence[str] = (),
     copies: int = COPIES,
+    watch: Callable[[DataFrame], DataFrame] = lambda facts: facts,
 ) -> DataFrame:
     """Running averages over JSON messages joined to a static dimension table.
 
@@ -45,7 +46,8 @@ def average_messages(
 
     Streams have no adaptive execution to split a key that fills much of a micro-batch. For keys listed in ``hot``
     (``hot_keys`` finds them) the dimension's rows are copied ``copies`` times and the messages take turns; all other rows
-    are there once. A dimension from ``hold_dimension`` must have been held with the same two values.
+    are there once. A dimension from ``hold_dimension`` must have been held with the same two values. ``watch`` is put
+    between decoding and the join; ``KeySketch.watched`` there finds the hot keys while the stream runs.
     """
     if SALT not in dimension.columns:
         needed = sorted({on[1], *named(dimension_keys).values(), *named(dimension_measures).values()})
@@ -53,7 +55,7 @@ def average_messages(
         if hot:
             dimension = spread(dimension, on[1], hot, copies)
     used = {on[0], *named(fact_keys).values(), *named(fact_measures).values()}
-    facts = decode(messages, schema, [name for name in schema.names if name in used])
+    facts = watch(decode(messages, schema, [name for name in schema.names if name in used]))
     if SALT in dimension.columns:
         facts = facts.withColumn(SALT, salted(F.col(f"`{on[0]}`"), hot, copies))
     return enriched_averages(
@@ -86,14 +88,22 @@ def hold_dimension(
 
 
 def start_updates(
-    averages: DataFrame, sinks: Sequence[BatchSink], checkpoint: str | None, available_now: bool = False
+    averages: DataFrame,
+    sinks: Sequence[BatchSink] | Mapping[str, BatchSink],
+    checkpoint: str | None,
+    available_now: bool = False,
+    ledger: bool = False,
 ) -> StreamingQuery:
     """Write, per micro-batch, the groups that received rows to every sink.
 
     ``checkpoint`` is the shared folder for positions and state. None is for trials alone: both then lie in a temporary
-    folder, and a restart begins anew.
+    folder, and a restart begins anew. ``ledger`` records beside the checkpoint which sink has finished which batch, so that a
+    batch that is run again goes only to the others; for sinks that append, and not for those that replace what they wrote.
     """
-    writer = averages.writeStream.foreachBatch(fan_out(*sinks)).outputMode("update")
+    if ledger and checkpoint is None:
+        raise ValueError("a ledger of the sinks needs a checkpoint")
+    records = SinkLedger(f"{checkpoint}/sinks") if ledger else None
+    writer = averages.writeStream.foreachBatch(fan_out(ledger=records, **named_sinks(sinks))).outputMode("update")
     return start(writer, checkpoint, available_now)
 
 

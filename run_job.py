@@ -31,6 +31,7 @@ def arguments() -> argparse.ArgumentParser:
         job = jobs.add_parser(name)
         job.add_argument("--lake", required=True, help="folder of the bronze, silver and gold layers")
         job.add_argument("--show", action="store_true", help="print the first rows of each table")
+        job.add_argument("--versions", action="store_true", help="replace layers by complete new versions, not in place")
         if name in ("bronze", "batch"):
             job.add_argument("--landing", required=True, help="folder of the CSV files")
     for name in ("publish", "stream"):
@@ -39,6 +40,8 @@ def arguments() -> argparse.ArgumentParser:
         reading = job.add_mutually_exclusive_group(required=True)
         reading.add_argument("--split", nargs=4, metavar=bounds, help="read the table in parts")
         reading.add_argument("--one-task", action="store_true", help="read the table in one task; for small tables")
+        if name == "publish":
+            job.add_argument("--changes", metavar="DIR", help="send only what changed since the last run, remembered in DIR")
         if name == "stream":
             progress = job.add_mutually_exclusive_group(required=True)
             progress.add_argument("--checkpoint", help="shared folder from which a restart goes on")
@@ -48,6 +51,10 @@ def arguments() -> argparse.ArgumentParser:
             held.add_argument("--hold", type=int, metavar="PARTITIONS", default=athlete_jobs.HELD_PARTITIONS)
             held.add_argument("--fresh", action="store_true", help="read the bios anew in every micro-batch")
             job.add_argument("--hot", nargs="*", default=(), metavar="ATHLETE", help="athletes with very many results")
+            following = job.add_argument_group("following", "find hot athletes and changes of the bios while running")
+            following.add_argument("--follow", action="store_true", help="needs --checkpoint; keeps a ledger of the sinks")
+            following.add_argument("--share", type=float, default=0.02, help="share of the messages that makes an athlete hot")
+            following.add_argument("--bio-version", metavar="QUERY", help="subquery whose one row differs when the bios changed")
             job.add_argument("--batch-column", help="column of the output table for the micro-batch number")
     jobs.add_parser("tail").add_argument("--max-per-batch", type=int, default=PRINTED, help="messages per micro-batch")
     return parser
@@ -70,22 +77,39 @@ def broker(spark: SparkSession) -> TopicConnection:
 
 
 def main(argv: list[str] | None = None) -> None:
-    args = arguments().parse_args(argv)
+    parser = arguments()
+    args = parser.parse_args(argv)
+    if getattr(args, "follow", False) and (args.trial or args.fresh or args.hot):
+        parser.error("--follow needs --checkpoint and finds hot athletes itself; it takes no --trial, --fresh or --hot")
     spark = SparkSession.builder.appName(f"athletes-{args.job}").getOrCreate()
     split = None
     if getattr(args, "split", None):
         column, lower, upper, parts = args.split
         split = KeyRange(column, lower, upper, int(parts))
     if args.job == "bronze":
-        to_bronze(spark, args.landing, args.lake, DATASETS, args.show)
+        to_bronze(spark, args.landing, args.lake, DATASETS, args.show, args.versions)
     elif args.job == "silver":
-        to_silver(spark, args.lake, DATASETS, args.show)
+        to_silver(spark, args.lake, DATASETS, args.show, args.versions)
     elif args.job == "gold":
-        to_gold(spark, args.lake, REPORT, show=args.show)
+        to_gold(spark, args.lake, REPORT, show=args.show, versioned=args.versions)
     elif args.job == "batch":
-        run_medallion(spark, args.landing, args.lake, REPORT, show=args.show)
+        run_medallion(spark, args.landing, args.lake, REPORT, show=args.show, versioned=args.versions)
     elif args.job == "publish":
-        athlete_jobs.publish_results(spark, database(spark), broker(spark), split)
+        state = [args.changes] if args.changes else []
+        athlete_jobs.publish_results(spark, database(spark), broker(spark), split, *state)
+    elif args.job == "stream" and args.follow:
+        athlete_jobs.follow_results(
+            spark,
+            database(spark),
+            broker(spark),
+            args.checkpoint,
+            split,
+            args.max_per_batch,
+            args.hold,
+            args.share,
+            args.bio_version,
+            args.batch_column,
+        ).awaitTermination()
     elif args.job == "stream":
         query = athlete_jobs.stream_results(
             spark,

@@ -140,3 +140,74 @@ def test_stream_job_holds_the_bios_by_default(spark, monkeypatch, tmp_path, conf
     query.stop()
     assert "InMemoryTableScan" in plan and "SortMergeJoin" in plan
     spark.catalog.clearCache()
+
+
+def test_following_stream_finds_hot_athletes_and_changed_bios(spark, monkeypatch, tmp_path, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    types = "athlete_id int, sex string, height string, weight string"
+    tables = {BIO: [(1, "F", "180", "70"), (2, "M", "190", "80")], "(v) AS v": [(1,)]}
+
+    def read_table(spark, database, table, split):
+        return spark.createDataFrame(tables[table], types if table == BIO else "v int")
+
+    def results(athletes, path):
+        rows = [tuple(({name: "x" for name in RESULT_SCHEMA.names} | {"athlete_id": a}).values()) for a in athletes]
+        write_messages(encode(spark.createDataFrame(rows, RESULT_SCHEMA).coalesce(1), "athlete_id"), path)
+
+    written = {"topic": [], "table": []}
+
+    def sink(kind):
+        return lambda *args: lambda batch, batch_id: written[kind].append(sorted(map(tuple, batch.drop("timestamp").collect())))
+
+    monkeypatch.setattr(athlete_jobs, "read_table", read_table)
+    monkeypatch.setattr(athlete_jobs, "read_topic", lambda *args, **kw: read_message_folder(spark, f"{tmp_path}/in/*", 1))
+    monkeypatch.setattr(athlete_jobs, "topic_sink", sink("topic"))
+    monkeypatch.setattr(athlete_jobs, "table_sink", sink("table"))
+    results(["1"] * 9 + ["2"], f"{tmp_path}/in/0")
+    options = dict(hold=2, share=0.5, version="(v) AS v", available_now=True)
+    query = athlete_jobs.follow_results(spark, None, None, f"{tmp_path}/state", None, **options)
+    query.awaitTermination()
+    tables[BIO][0], tables["(v) AS v"] = (1, "F", "182", "70"), [(2,)]
+    for n in (1, 2):
+        results(["1"] * 9, f"{tmp_path}/in/{n}")
+    query = athlete_jobs.follow_results(spark, None, None, f"{tmp_path}/state", None, **options)
+    query.awaitTermination()
+    assert [(g.version, g.hot) for g in query.generations] == [(("2",), ()), (("2",), ("1",))]
+    assert written["topic"] == written["table"] == [
+        [("x", "x", "F", "x", 180.0, 70.0), ("x", "x", "M", "x", 190.0, 80.0)],
+        [("x", "x", "F", "x", 181.0, 70.0)], [("x", "x", "F", "x", 181.33, 70.0)],
+    ]
+    spark.catalog.clearCache()
+
+
+@pytest.mark.parametrize("more", [["--trial"], ["--checkpoint", "c", "--fresh"], ["--checkpoint", "c", "--hot", "5"]])
+def test_following_needs_a_checkpoint_and_finds_hot_keys_itself(more):
+    with pytest.raises(SystemExit):
+        run_job.main(["stream", "--one-task", "--follow", *more])
+
+
+def test_following_and_changes_are_wired(spark, conf, monkeypatch):
+    conf("spark.tiermill.jdbc.url", "jdbc:mysql://db/x")
+    conf("spark.tiermill.topic.servers", "b:1")
+    calls = []
+
+    class Query:
+        def awaitTermination(self):
+            calls.append("awaited")
+
+    monkeypatch.setattr(athlete_jobs, "follow_results", lambda *args: calls.append(args[3:]) or Query())
+    run_job.main(["stream", "--one-task", "--checkpoint", "c", "--follow", "--share", "0.1", "--bio-version", "(q) v"])
+    assert calls == [("c", None, None, athlete_jobs.HELD_PARTITIONS, 0.1, "(q) v", None), "awaited"]
+    monkeypatch.setattr(athlete_jobs, "publish_results", lambda *args: calls.append(args[3:]))
+    run_job.main(["publish", "--one-task", "--changes", "DIR"])
+    assert calls[-1] == (None, "DIR")
+
+
+def test_publishing_changes_of_the_results(spark, monkeypatch, tmp_path):
+    sent = []
+    rows = [tuple(str(v) for v in row) for row in RESULT_ROWS]
+    monkeypatch.setattr(athlete_jobs, "read_table", lambda *args: spark.createDataFrame(rows, RESULT_SCHEMA))
+    monkeypatch.setattr(athlete_jobs, "write_topic", lambda messages, broker, topic: sent.append((topic, messages.count())))
+    for _ in range(2):
+        athlete_jobs.publish_results(spark, None, None, None, str(tmp_path / "state"))
+    assert sent == [(RESULTS, len(rows))]

@@ -6,8 +6,10 @@
 
 from __future__ import annotations
 
+import functools
 import importlib
 import os
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,19 +20,23 @@ from tiermill.operators.averages import enriched_averages, group_averages, lates
 from tiermill.operators.columns import cast_columns, clean_columns, dedupe, keep_numeric, map_columns
 from tiermill.operators.joins import enrich
 from tiermill.operators.messages import decode, encode, string_schema
+from tiermill.plans.history import compact_history, latest_state
 from tiermill.plans.medallion import Dataset, Report, refine, run_medallion
-from tiermill.plans.tables import valid_dimension
-from tiermill.sinks.files import message_folder_sink, parquet_sink, preview, write_messages, write_parquet
-from tiermill.sources.files import read_csv, read_parquet, working_folder
+from tiermill.plans.tables import publish_changes, valid_dimension
+from tiermill.sinks.files import message_folder_sink, parquet_sink, preview, write_messages
+from tiermill.sources.csv_types import land_csv
+from tiermill.sources.cuts import balanced_conditions
+from tiermill.sources.files import read_parquet, working_folder
 from tiermill.sources.topics import read_message_folder
+from tiermill.streaming.following import FollowingQuery, Generation, HeldDimension, KeySketch, files_version
 from tiermill.streaming.pipelines import average_messages, start_updates, tail_to_files
 
-# The operators for training data, present only if their subpackage is.
+# The operators for training data, present only if their subpackage can be imported, with all that it needs.
 try:
     llm_queries = importlib.import_module("tiermill.llm.queries")
 except ModuleNotFoundError as missing:
     if missing.name not in ("tiermill.llm", "tiermill.llm.queries"):
-        raise
+        warnings.warn(f"the queries for training data are left out: {missing}", stacklevel=2)
     llm_queries = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -153,6 +159,13 @@ def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events")
 
 
+def balanced_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table read by conditions, as a database would be: one per part, of about equally many rows."""
+    events = _table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    parts = [events.filter(c) for c in balanced_conditions(events, "user_id", 8, then="event_id")]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def cast_type_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     return cast_columns(events, {"event_id": "string", "user_id": "double"})
@@ -230,13 +243,36 @@ def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(encode(events, "user_id"), string_schema(events.columns))
 
 
+def publish_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table published as a folder of messages, read back as the stream's source would see them."""
+    folder = working_folder(spark, "topic")
+    write_messages(encode(_table(spark, sf_dir, "customer"), "c_custkey"), folder)
+    return _sent(spark, folder)
+
+
+def publish_second_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a second publication sends after a tenth of the rows has changed and some are gone."""
+    folder = working_folder(spark, "publication")
+    customer = _table(spark, sf_dir, "customer")
+    changed = customer.filter("c_custkey % 17 > 0").withColumn(
+        "c_name", F.expr("CASE WHEN c_custkey % 10 = 0 THEN concat(c_name, '!') ELSE c_name END")
+    )
+    for n, table in enumerate((customer, changed)):
+        publish_changes(table, "c_custkey", lambda m: write_messages(m, f"{folder}/{n}"), f"{folder}/state", deletions=True)
+    return _sent(spark, f"{folder}/1")
+
+
+def _sent(spark: SparkSession, folder: str) -> DataFrame:
+    return read_parquet(spark, folder).select("key", F.col("value").cast("string").alias("value"))
+
+
 # --- stored layers --------------------------------------------------------------------------------
 
 
 def csv_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = working_folder(spark, "bronze")
     _table(spark, sf_dir, "customer").write.csv(f"{folder}/customer.csv", header=True)
-    write_parquet(read_csv(spark, f"{folder}/customer.csv"), f"{folder}/customer.parquet")
+    land_csv(spark, f"{folder}/customer.csv", f"{folder}/customer.parquet")
     return cast_columns(read_parquet(spark, f"{folder}/customer.parquet"), {"c_custkey": "bigint"})
 
 
@@ -259,9 +295,20 @@ def medallion_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_medallion(spark, f"{folder}/landing", f"{folder}/lake", _event_report("string")).drop("timestamp")
 
 
-def _event_report(number: str) -> Report:
-    """Averages of events and customers whose files hold their numbers as ``number``."""
-    events, customer = EVENT_COLUMNS.format(number), CUSTOMER_COLUMNS.format(number)
+def medallion_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline run twice, each layer of the second run replacing that of the first when it was complete; types are found."""
+    folder = working_folder(spark, "medallion")
+    events, customer = _table(spark, sf_dir, "events"), _table(spark, sf_dir, "customer")
+    for n, landed in enumerate((events.filter("event_id % 2 = 0"), events)):
+        landed.write.csv(f"{folder}/landing-{n}/events.csv", header=True)
+        customer.write.csv(f"{folder}/landing-{n}/customer.csv", header=True)
+        gold = run_medallion(spark, f"{folder}/landing-{n}", f"{folder}/lake", _event_report(None), versioned=True)
+    return gold.drop("timestamp")
+
+
+def _event_report(number: str | None) -> Report:
+    """Averages of events and customers whose files hold their numbers as ``number``, or whose types are to be found."""
+    events, customer = (columns.format(number) if number else None for columns in (EVENT_COLUMNS, CUSTOMER_COLUMNS))
     return Report(
         facts=Dataset("events", ["event_type", "props"], ["value"], events),
         dimension=Dataset("customer", ["c_name", "c_mktsegment"], ["c_acctbal"], customer),
@@ -336,6 +383,55 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest.drop("batch_id")
 
 
+def stream_followed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream in which a third of the messages has one key: found in the first micro-batch and spread from the second on, over
+    customers held on the executors; every row has the time of the run."""
+    folder = working_folder(spark, "stream")
+    crowded = F.expr("CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END")
+    events = _table(spark, sf_dir, "events").withColumn("user_id", crowded)
+    messages = _message_stream(spark, encode(events, "user_id"), folder)
+
+    def customers() -> DataFrame:
+        wanted = _table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal")
+        return valid_dimension(wanted, "c_custkey", ["c_acctbal"])
+
+    def version() -> tuple[int, str]:
+        return files_version(spark, f"{sf_dir}/customer.parquet")
+
+    held = HeldDimension(customers, "c_custkey", spark.sparkContext.defaultParallelism, version)
+    sketch = KeySketch("user_id", share=0.2)
+
+    def averages(generation: Generation) -> DataFrame:
+        return average_messages(
+            messages,
+            string_schema(events.columns),
+            held.generation(*generation),
+            on=("user_id", "c_custkey"),
+            fact_keys=["event_type"],
+            dimension_keys=["c_mktsegment", "c_nationkey"],
+            fact_measures={"avg_value": "value"},
+            dimension_measures={"avg_acctbal": "c_acctbal"},
+            exact_scale=2,
+            run_ts=F.lit(RUN_TIME).cast("timestamp_ntz"),
+            hot=generation.hot,
+            watch=sketch.watched,
+        )
+
+    sinks = {"table": parquet_sink(f"{folder}/table")}
+    FollowingQuery(spark, averages, sinks, f"{folder}/checkpoint", version, sketch, True, ledger=True).awaitTermination()
+    held.release()
+    return latest_per_key(read_parquet(spark, f"{folder}/table"), KEYS).drop("batch_id")
+
+
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest rows of the history a stream wrote, from a snapshot of its first batches and those behind it."""
+    folder = working_folder(spark, "stream")
+    _run_event_stream(spark, sf_dir, folder, encode(_table(spark, sf_dir, "events"), "user_id"))
+    for through in (0, 2):
+        compact_history(spark, f"{folder}/table", f"{folder}/snapshot", KEYS, buckets=8, through=through)
+    return latest_state(spark, f"{folder}/table", f"{folder}/snapshot", KEYS).drop("timestamp", "batch_id")
+
+
 def stream_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = working_folder(spark, "tail")
     messages = _message_stream(spark, encode(_table(spark, sf_dir, "customer"), "c_custkey"), folder)
@@ -382,6 +478,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "inner_join": inner_join,
         "project_alias": project_alias,
         "parquet_scan": parquet_scan,
+        "balanced_scan": balanced_scan,
         "cast_columns": cast_type_columns,
         "clean_text": clean_text,
         "dedupe_rows": dedupe_rows,
@@ -394,12 +491,17 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "preview_limit": preview_limit,
         "json_envelope": json_envelope,
         "json_decode": json_decode,
+        "publish_folder": publish_folder,
+        "publish_changes": publish_second_time,
         "csv_to_bronze": csv_to_bronze,
         "medallion_avg": medallion_avg,
         "medallion_dirty": medallion_dirty,
+        "medallion_versions": medallion_versions,
         "stream_enrich_agg": stream_enrich_agg,
         "stream_bad_messages": stream_bad_messages,
         "stream_fan_out": stream_fan_out,
+        "stream_followed": stream_followed,
+        "stream_compacted": stream_compacted,
         "stream_passthrough": stream_passthrough,
     }
 
@@ -460,6 +562,7 @@ def table_sql() -> dict[str, str]:
             select o.o_orderkey as order_id, o.o_totalprice as total, c.c_name as buyer, c.c_mktsegment as segment
             from orders o join customer c on o.o_custkey = c.c_custkey""",
         "parquet_scan": "select * from events",
+        "balanced_scan": "select event_id, user_id, value from events",
         "cast_columns": """
             select cast(event_id as varchar) as event_id, cast(user_id as double) as user_id, event_type, value
             from events""",
@@ -490,6 +593,11 @@ def table_sql() -> dict[str, str]:
             from (select *, {_SIZE_SQL} as size_text from part) where try_cast(size_text as double) is not null
             order by p_partkey limit 10""",
         "json_envelope": f"select cast(c_custkey as varchar) as key, {_CUSTOMER_JSON_SQL} as value from customer",
+        "publish_folder": f"select cast(c_custkey as varchar) as key, {_CUSTOMER_JSON_SQL} as value from customer",
+        "publish_changes": f"""
+            select cast(c_custkey as varchar) as key,
+                case when c_custkey % 17 > 0 then {_CUSTOMER_JSON_SQL.replace("'c_name': c_name", "'c_name': c_name || '!'")} end as value
+            from customer where c_custkey % 10 = 0 or c_custkey % 17 = 0""",
         "json_decode": """
             select cast(event_id as varchar) as event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') as ts,
                 cast(user_id as varchar) as user_id, event_type, cast(value as varchar) as value, props
@@ -499,6 +607,7 @@ def table_sql() -> dict[str, str]:
         "medallion_dirty": f"""
             {cleaned_averages.replace("group by all", "")}
             where event_id % 10 <> 0 and c_custkey % 10 <> 0 group by all""",
+        "medallion_versions": cleaned_averages,
         "stream_enrich_agg": event_averages,
         "stream_bad_messages": f"""
             select event_type, c_mktsegment, c_nationkey,
@@ -507,5 +616,10 @@ def table_sql() -> dict[str, str]:
             from events join customer on user_id = c_custkey
             where event_id % 11 <> 0 and event_id % 13 <> 0 group by all""",
         "stream_fan_out": event_averages,
+        "stream_followed": f"""
+            select *, timestamp '{RUN_TIME}' as "timestamp" from ({event_averages.replace(
+                "from events", "from (select * replace (case when event_id % 3 = 0 then 1 else user_id end as user_id) from events)"
+            )})""",
+        "stream_compacted": event_averages,
         "stream_passthrough": f"select {_CUSTOMER_JSON_SQL} as value from customer",
     }

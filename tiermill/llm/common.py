@@ -69,13 +69,21 @@ def giving_way(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def one_row_each(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """One row of ``docs`` for each (doc_id, text_sha256) of ``chosen``, which must not repeat; null ids match.
 
-    Rows that repeat both collapse before the shuffle, so a row repeated any number of times is no hot key. Which of
-    them stays, where they differ in other columns, is left open.
+    Of rows that repeat both, the one whose other columns have the smallest hash stays, so that a rerun gives the same rows.
+    They collapse before the shuffle, so a row repeated any number of times is no hot key. Row numbers and digests are joined and
+    grouped; the rows themselves are written once and shuffled once.
     """
-    keyed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), text_sha256(F.col("text")).alias("sha"))
+    plain = [c for c in docs.schema.fields if not any(k in c.dataType.simpleString() for k in ("map<", "variant"))]
+    order = F.xxhash64(*[F.col("`" + c.name.replace("`", "``") + "`") for c in plain])
+    rows = docs.select(
+        F.struct("*").alias("doc"), F.col("doc_id").alias("id"), text_sha256(F.col("text")).alias("sha"), order.alias("order")
+    )
+    held = staged(rows.withColumn("row", F.monotonically_increasing_id()), "numbered-documents")
+    first = held.groupBy("id", "sha").agg(F.min(F.struct("order", "row")).alias("first"))
     ids = chosen.select(F.col("doc_id").alias("chosen"), F.col("text_sha256").alias("chosen_sha"))
     match = F.col("id").eqNullSafe(F.col("chosen")) & (F.col("sha") == F.col("chosen_sha"))
-    return keyed.dropDuplicates(["id", "sha"]).join(ids, match, "left_semi").select("doc.*")
+    kept = first.join(ids, match, "left_semi").select("first.row")
+    return held.join(kept, "row", "left_semi").select("doc.*")
 
 
 def text_sha256(text: Column) -> Column:

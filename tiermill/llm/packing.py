@@ -26,6 +26,8 @@ CAPACITY = 1024
 END_ID = 0
 # Pieces of one length that one task numbers.
 NUMBERED_AT_ONCE = 250_000
+# Copies of one piece that one task writes out.
+COPIES_AT_ONCE = 100_000
 
 
 @dataclass(frozen=True)
@@ -146,24 +148,29 @@ def token_pieces(
 def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (doc_id, start, length, ids_crc32 and more) with their ``sequence_id`` and ``offset``.
 
-    Equal pieces are interchangeable; the result depends on the rows alone. ``pieces`` is read several times.
+    Equal pieces are interchangeable; the result depends on the rows alone. They are counted before they are numbered, so a
+    piece repeated any number of times is no hot key. ``pieces`` is read once.
     """
-    spark = pieces.sparkSession
-    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    table = placements(pack_histogram(counts, capacity))
+    spark, columns = pieces.sparkSession, pieces.columns
+    pieces = staged(pieces.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies")), "counted-pieces")
+    sizes = pieces.groupBy("length").agg(F.sum("__copies").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()
+    table = placements(pack_histogram({r["length"]: r["n"] for r in sizes}, capacity))
     slots = spark.createDataFrame(
         table, "length bigint, first bigint, behind bigint, each bigint, first_sequence bigint, first_offset bigint"
     )
     # a frequent length is numbered in so many hashed parts that each is small
-    parts = spark.createDataFrame([(k, 1 + n // NUMBERED_AT_ONCE) for k, n in counts.items()], "length bigint, parts bigint")
+    parts = [(r["length"], 1 + r["kinds"] // NUMBERED_AT_ONCE) for r in sizes]
+    parts = spark.createDataFrame(parts, "length bigint, parts bigint")
     identity = ["doc_id", "start", "ids_crc32"]
     dealt = pieces.join(F.broadcast(parts), "length").withColumn("part", F.pmod(F.xxhash64(*identity), "parts")).drop("parts")
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = dealt.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = dealt.groupBy("length", "part").agg(F.sum("__copies").alias("n"))
     before = before.select("length", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    rank = F.row_number().over(Window.partitionBy("length", "part").orderBy(*identity)) - 1
-    ranked = dealt.withColumn("rank", rank).join(F.broadcast(before), ["length", "part"])
-    ranked = ranked.withColumn("rank", F.col("rank") + F.col("before")).withColumnRenamed("length", "piece_length")
+    order = identity + [c for c in columns if c not in identity]
+    within = Window.partitionBy("length", "part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = dealt.withColumn("rank", F.coalesce(F.sum("__copies").over(within), F.lit(0)))
+    ranked = ranked.join(F.broadcast(before), ["length", "part"]).withColumn("rank", F.col("rank") + F.col("before"))
+    ranked = _each_copy(ranked).withColumnRenamed("length", "piece_length")
     here = (F.col("piece_length") == F.col("length")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("behind"))
     nth = F.col("rank") - F.col("first")
     placed = ranked.join(F.broadcast(slots), here).withColumns(
@@ -172,7 +179,19 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             "offset": F.col("first_offset") + nth % F.col("each") * F.col("length"),
         }
     )
-    return placed.select(*pieces.columns, F.col("sequence_id").cast("bigint"), F.col("offset").cast("bigint"))
+    return placed.select(*columns, F.col("sequence_id").cast("bigint"), F.col("offset").cast("bigint"))
+
+
+def _each_copy(ranked: DataFrame) -> DataFrame:
+    """A row for each of the ``__copies`` of a row, ``rank`` counted on; of very many copies a task makes a bounded number."""
+    few = ranked.filter(F.col("__copies") <= COPIES_AT_ONCE).withColumn("__share", F.lit(0).cast("bigint"))
+    last = F.call_function("div", F.col("__copies") - 1, F.lit(COPIES_AT_ONCE))
+    many = ranked.filter(F.col("__copies") > COPIES_AT_ONCE)
+    many = many.withColumn("__share", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).repartition("__share")
+    begin = F.col("__share") * COPIES_AT_ONCE
+    copy = F.explode(F.sequence(begin, F.least(F.col("__copies"), begin + COPIES_AT_ONCE) - 1))
+    each = few.unionByName(many).withColumn("__copy", copy)
+    return each.withColumn("rank", F.col("rank") + F.col("__copy"))
 
 
 def pack_documents(
@@ -183,7 +202,7 @@ def pack_documents(
     A null text counts as empty: its document is the end id alone. Repeated rows are packed each. An empty table gives
     no rows. Texts are encoded once; the pieces are written to the shared folder.
     """
-    return place_pieces(staged(token_pieces(docs, vocabulary, capacity, end_id, with_ids), "token-pieces"), capacity)
+    return place_pieces(token_pieces(docs, vocabulary, capacity, end_id, with_ids), capacity)
 
 
 def packed_sequences(placed: DataFrame) -> DataFrame:

@@ -39,9 +39,10 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages that an earlier one has."""
     cut = cut_repeats(docs)
+    cut = cut.select(*[F.col(f"`{now}`").alias(c) for now, c in zip(cut.columns, docs.columns)])
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return cut
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -149,3 +149,30 @@ class KneserNey:
         tokens = [b"<", b"<", *words(text), b">"]
         logs = [math.log10(self.chance(g)) for g in zip(tokens, tokens[1:], tokens[2:])]
         return 10 ** (-sum(logs) / len(logs))
+
+
+def aligned(template, text, low, high, needed=()):
+    """(points, equal words) of the best local alignment in the band, cell by cell; of equal points that with the most equal words."""
+    needed = set(needed)
+    best, above = (0, 0), {}
+    for i, word in enumerate(template):
+        here, must, tight = {}, i in needed, i in needed and i + 1 in needed
+        for j in range(i + low, i + high + 1):
+            nothing = (0, 0, 0)
+            p, e, m = above.get(j - 1, nothing)
+            inside = 0 <= j < len(text)
+            found = [(p + 2, e + 1, m + must)] if inside and text[j] == word else []
+            if not must and not found:
+                found.append((p - 1, e, m))
+            if not must:
+                p, e, m = above.get(j, nothing)
+                found.append((p - 1, e, m))
+            if not tight:
+                p, e, m = here.get(j - 1, nothing)
+                found.append((p - 1, e, m))
+            found = max([*found, nothing])
+            here[j] = found if found[0] > 0 else nothing
+            if here[j][2] == len(needed) and here[j][:1] > best[:1]:
+                best = here[j][:2]
+        above = here
+    return best

@@ -1,6 +1,11 @@
 """Licence notices and texts to look for, and the words of them that tell versions and names apart."""
 
-from tiermill.llm.license_full_texts import FULL_TEXTS
+from pathlib import Path
+
+# Full texts of the longer licences, as published, one file each.
+FULL_TEXTS = {
+    f"{file.stem} full text": file.read_text(encoding="utf-8") for file in sorted((Path(__file__).parent / "license_data").glob("*.txt"))
+}
 
 # The usual wording of notices and grants, without names and years.
 _NOTICES = {
@@ -113,6 +118,21 @@ _OBLIGATORY = {
     "Unlicense": ["unencumbered software released into the public domain"],
     "MPL-2.0": ["mozilla public license v 2 0"],
     "CC0-1.0": ["waived all copyright"],
+    "0BSD full text": ["is hereby granted the software is provided"],
+    "BSD-2-Clause full text": ["redistributions in binary form must reproduce"],
+    "Unlicense full text": ["unencumbered software released into the public domain"],
+    "Zlib full text": ["the origin of this software must not be misrepresented"],
+    # title, version and date
+    "Apache-2.0 full text": ["apache license version 2 0 january 2004"],
+    "CC0-1.0 full text": ["cc0 1 0 universal"],
+    "GPL-1.0 full text": ["gnu general public license version 1 february 1989"],
+    "GPL-2.0 full text": ["gnu general public license version 2 june 1991"],
+    "GPL-3.0 full text": ["gnu general public license version 3 29 june 2007"],
+    "LGPL-2.0 full text": ["gnu library general public license version 2 june 1991"],
+    "LGPL-2.1 full text": ["gnu lesser general public license version 2 1 february 1999"],
+    "LGPL-3.0 full text": ["gnu lesser general public license version 3 29 june 2007"],
+    "MPL-1.1 full text": ["mozilla public license version 1 1"],
+    "MPL-2.0 full text": ["mozilla public license version 2 0"],
 }
 
 

@@ -11,13 +11,13 @@ from pyspark.sql import types as T
 from tiermill.sources.files import working_folder
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written to the shared working folder and read back.
+def staged(df: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
+    """``df`` written to the shared working folder and read back; ``compression`` is one of parquet's, or Spark's setting.
 
     Cuts the lineage: what follows reads the files, also after the loss of an executor.
     """
     path = working_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -70,20 +70,20 @@ def one_row_each(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """One row of ``docs`` for each (doc_id, text_sha256) of ``chosen``, which must not repeat; null ids match.
 
     Of rows that repeat both, the one whose other columns have the smallest hash stays, so that a rerun gives the same rows.
-    They collapse before the shuffle, so a row repeated any number of times is no hot key. Row numbers and digests are joined and
-    grouped; the rows themselves are written once and shuffled once.
+    They collapse before the shuffle, so a row repeated any number of times is no hot key; the rows are shuffled once, by
+    the key under which they are then joined.
     """
     plain = [c for c in docs.schema.fields if not any(k in c.dataType.simpleString() for k in ("map<", "variant"))]
     order = F.xxhash64(*[F.col("`" + c.name.replace("`", "``") + "`") for c in plain])
-    rows = docs.select(
-        F.struct("*").alias("doc"), F.col("doc_id").alias("id"), text_sha256(F.col("text")).alias("sha"), order.alias("order")
-    )
-    held = staged(rows.withColumn("row", F.monotonically_increasing_id()), "numbered-documents")
-    first = held.groupBy("id", "sha").agg(F.min(F.struct("order", "row")).alias("first"))
-    ids = chosen.select(F.col("doc_id").alias("chosen"), F.col("text_sha256").alias("chosen_sha"))
-    match = F.col("id").eqNullSafe(F.col("chosen")) & (F.col("sha") == F.col("chosen_sha"))
-    kept = first.join(ids, match, "left_semi").select("first.row")
-    return held.join(kept, "row", "left_semi").select("doc.*")
+
+    def key(sha: Column) -> Column:
+        known = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("-"))
+        return F.coalesce(F.concat(known, F.lit(":"), sha), F.lit(""))  # never null: no look for nulls, which would digest twice
+
+    keyed = docs.select(F.struct("*").alias("doc"), key(text_sha256(F.col("text"))).alias("key"), order.alias("order"))
+    first = keyed.groupBy("key").agg(F.min_by("doc", "order").alias("doc"))
+    kept = chosen.select(key(F.col("text_sha256")).alias("key"))
+    return first.join(kept, "key", "left_semi").select("doc.*")
 
 
 def text_sha256(text: Column) -> Column:

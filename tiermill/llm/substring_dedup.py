@@ -26,6 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiermill.llm.common import extended, giving_way, staged
+from tiermill.llm.packed import ascended as _ascended
+from tiermill.llm.packed import ascending as _ascending
+from tiermill.llm.packed import cut as _cut
+from tiermill.llm.packed import packed as _packed
+from tiermill.llm.packed import unpacked as _unpacked
 from tiermill.llm.words import Numbers, words_in_pieces
 
 WINDOW = 20
@@ -141,28 +146,6 @@ def _rolling(hashes: np.ndarray, first: np.ndarray, window: int, power: int) ->
 # --- what chunks and slices send each other -------------------------------------------------------
 
 
-def _packed(numbers: np.ndarray) -> bytes:
-    """Compressed by byte planes, in which similar numbers agree."""
-    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T)
-    return zstandard.compress(planes.tobytes(), 1)
-
-
-def _unpacked(data: bytes, kind: str) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
-
-
-def _ascending(numbers: np.ndarray) -> bytes:
-    """Rising 64-bit numbers as their gaps, in as few bytes as the widest needs."""
-    gaps = np.diff(numbers, prepend=np.uint64(0))
-    size = np.min_scalar_type(int(gaps.max(initial=0))).itemsize
-    return bytes([size]) + _packed(gaps.astype(f"<u{size}"))
-
-
-def _ascended(data: bytes) -> np.ndarray:
-    return np.cumsum(_unpacked(data[1:], f"<u{data[0]}"), dtype=np.uint64)
-
-
 def _bits(flags: np.ndarray) -> bytes:
     return zstandard.compress(np.packbits(flags).tobytes(), 1)
 
@@ -190,12 +173,6 @@ class Plan:
         return cls(text_at, id_at, window, width_bits, width_bits - cell_bits, max(2, math.ceil(math.log2(max(windows, 1) / DIGESTS_AT_ONCE))))
 
 
-def _cut(sorted_numbers: np.ndarray, bits: int, slice_bits: int) -> np.ndarray:
-    """Where the 2**slice_bits slices of numbers below 2**bits begin and end."""
-    borders = np.arange(1, 1 << slice_bits, dtype=np.uint64) << np.uint64(bits - slice_bits)
-    return np.concatenate([[0], np.searchsorted(sorted_numbers, borders), [len(sorted_numbers)]])
-
-
 def _ordered(cells: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Cells below 2**bits in rising order, and the place of each; sorted together as one number where they fit in it."""
     place_bits = max(len(cells) - 1, 1).bit_length()

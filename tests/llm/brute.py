@@ -176,3 +176,113 @@ def aligned(template, text, low, high, needed=()):
                 best = here[j][:2]
         above = here
     return best
+
+
+def model_scores(rows, maxent):
+    """{(doc_id, n-th row): score} by loops over tokens and dictionaries; the k-means of classes and the steps within
+    classes, which have tests of their own, are taken from ``maxent``."""
+    texts = [(i, [*words((t or "").encode().lower().decode()), b""]) for i, t in rows]
+    held = [zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for i, _ in rows]
+    counts = collections.Counter(w for (_, some), h in zip(texts, held) if not h for w in some)
+    scale = sum(counts.values()) + maxent.ALPHA * (len(counts) + 1)
+    every = sorted({w for _, some in texts for w in some})
+    hashes = dict(zip(every, maxent._hashes(every).tolist()))
+    hashes[None] = 0  # before a text begins
+    bucket = {w: h >> 50 for w, h in hashes.items()}
+
+    mass = np.full(maxent.BUCKETS, maxent.ALPHA / scale)
+    for w, n in counts.items():
+        mass[bucket[w]] += (n + maxent.ALPHA) / scale
+    mass = mass.astype(np.float32).astype(np.float64)
+    markers = np.argsort(-mass, kind="stable")[: maxent.MARKERS].tolist()
+    company, followers = np.zeros((maxent.BUCKETS, 2 * maxent.MARKERS)), np.zeros((maxent.CLASSES, maxent.BUCKETS))
+    training = [some for (_, some), h in zip(texts, held) if not h]
+    for some in training:
+        for a, b in zip(some, some[1:]):
+            if bucket[a] in markers:
+                company[bucket[b], markers.index(bucket[a])] += 1
+            if bucket[b] in markers:
+                company[bucket[a], maxent.MARKERS + markers.index(bucket[b])] += 1
+    classes = maxent._classes(mass, company)
+
+    def steps(some):
+        return zip(some, [None, *some], [None, None, *some])
+
+    plan = maxent.Plan.of(sum(len(some) for _, some in texts))
+
+    def context(before, skipped):
+        key = maxent._contexts(*(np.array([hashes[w]], np.uint64) for w in (before, skipped)), plan.pair_bits)
+        return int(key[0])
+
+    seen = collections.defaultdict(collections.Counter)
+    for some in training:
+        for here, before, skipped in steps(some):
+            seen[context(before, skipped)][int(classes[bucket[here]])] += 1
+            followers[classes[bucket[before]], bucket[here]] += 1
+    within = maxent._within(followers, mass, classes)
+
+    bias = np.log(np.maximum(np.bincount(classes, mass, maxent.CLASSES), 1e-9))
+    table = collections.defaultdict(lambda: np.zeros(maxent.CLASSES))
+
+    def features(key):
+        size = 1 << maxent.ROW_BITS
+        return [(0, key >> 2 * maxent.ROW_BITS & size - 1), (1, key >> maxent.ROW_BITS & size - 1), (2, key & size - 1)]
+
+    def chances(key, weights):
+        odds = np.exp(bias + sum((weights[f] for f in features(key)), np.zeros(maxent.CLASSES)))
+        return odds / odds.sum()
+
+    slices = collections.defaultdict(list)
+    for key in sorted(seen):
+        slices[key >> plan.pair_bits + 3 * maxent.ROW_BITS - plan.slice_bits].append(key)
+    for _ in range(maxent.ROUNDS):
+        change, times = collections.defaultdict(lambda: np.zeros(maxent.CLASSES)), collections.Counter()
+        for mine in slices.values():
+            weights = collections.defaultdict(lambda: np.zeros(maxent.CLASSES), {f: w.copy() for f, w in table.items()})
+            squares, occurred = collections.defaultdict(lambda: np.full(maxent.CLASSES, 1e-2)), collections.Counter()
+            size = min(max(len(mine) // 64, 512), maxent.BATCH)
+            for begin in range(0, len(mine), size):
+                miss = {}
+                for key in mine[begin : begin + size]:
+                    n = sum(seen[key].values())
+                    miss[key] = n * chances(key, weights)
+                    for c, times_seen in seen[key].items():
+                        miss[key][c] -= times_seen
+                for kind in range(3):
+                    slope = collections.defaultdict(lambda: np.zeros(maxent.CLASSES))
+                    for key, m in miss.items():
+                        slope[features(key)[kind]] += m
+                        occurred[features(key)[kind]] += sum(seen[key].values())
+                    for f, s in slope.items():
+                        squares[f] += s * s
+                        weights[f] = weights[f] - maxent.RATE * s / np.sqrt(squares[f])
+            for f, n in occurred.items():
+                change[f] += (weights[f] - table[f]) * n
+                times[f] += n
+        for f, n in times.items():
+            table[f] = table[f] + change[f] / n
+
+    def pair_log(key, c):
+        q, known = chances(key, table), seen.get(key, {})
+        n, weight = sum(known.values()), dict.fromkeys(known, 0.0)
+        for _ in range(200):
+            norm = 1 + sum(q[k] * (math.exp(w) - 1) for k, w in weight.items())
+            share = {k: q[k] * math.exp(w) / norm for k, w in weight.items()}
+            for k in weight:
+                step = (known[k] - n * share[k] - maxent.PRIOR * weight[k]) / (n * share[k] * (1 - share[k]) + maxent.PRIOR)
+                weight[k] += max(-1, min(1, step)) / 2
+        norm = 1 + sum(q[k] * (math.exp(w) - 1) for k, w in weight.items())
+        return math.log10(q[c] * math.exp(weight.get(c, 0.0)) / norm)
+
+    result, remembered = [], {}
+    for doc_id, some in texts:
+        score = 0.0
+        for here, before, skipped in steps(some):
+            b, c = bucket[here], int(classes[bucket[here]])
+            key = context(before, skipped), c
+            if key not in remembered:
+                remembered[key] = pair_log(*key)
+            score += remembered[key] + float(within[classes[bucket[before]], b])
+            score += math.log10((counts[here] + maxent.ALPHA) / scale) - math.log10(mass[b])
+        result.append((doc_id, len(some), score))
+    return result

@@ -264,13 +264,13 @@ def model_scores(rows, maxent):
 
     def pair_log(key, c):
         q, known = chances(key, table), seen.get(key, {})
-        n, weight = sum(known.values()), dict.fromkeys(known, 0.0)
-        for _ in range(200):
-            norm = 1 + sum(q[k] * (math.exp(w) - 1) for k, w in weight.items())
-            share = {k: q[k] * math.exp(w) / norm for k, w in weight.items()}
+        n, other = sum(known.values()), 1 - sum(q[k] for k in known)
+        weight = {k: math.log(times * other / q[k]) for k, times in known.items()}
+        for _ in range(maxent.STEPS):
+            norm = other + sum(q[k] * math.exp(w) for k, w in weight.items())
             for k in weight:
-                step = (known[k] - n * share[k] - maxent.PRIOR * weight[k]) / (n * share[k] * (1 - share[k]) + maxent.PRIOR)
-                weight[k] += max(-1, min(1, step)) / 2
+                expected = n * q[k] * math.exp(weight[k]) / norm
+                weight[k] += (known[k] - expected - maxent.PRIOR * weight[k]) / (max(known[k], expected) + maxent.PRIOR)
         norm = 1 + sum(q[k] * (math.exp(w) - 1) for k, w in weight.items())
         return math.log10(q[c] * math.exp(weight.get(c, 0.0)) / norm)
 

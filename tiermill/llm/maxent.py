@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -29,7 +28,6 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +35,7 @@ from pyspark.sql import functions as F
 from tiermill.llm.common import full_text, staged
 from tiermill.llm.embedding_dedup import spherical_centres
 from tiermill.llm.packed import ascended, ascending, cut, narrow, packed, unpacked, widened
-from tiermill.llm.words import Numbers, words_in_pieces
+from tiermill.llm.words import words_in_pieces
 
 ALPHA = 0.1
 BUCKET_BITS = 14
@@ -86,12 +84,21 @@ def _tokens(text: str) -> Iterator[list[bytes]]:
     yield last
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
+def _whole(words: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
+
+
+def _endings(words: list[bytes]) -> np.ndarray:
+    return np.array([zlib.crc32(w[-ENDING:]) & ((1 << ENDING_BITS) - 1) for w in words], np.uint16)
+
+
+def _with_ending(whole: np.ndarray, endings: np.ndarray) -> np.ndarray:
     """Hash of each whole word in the upper bits, and of its ending in the lower ENDING_BITS."""
-    whole = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    endings = np.fromiter((zlib.crc32(w[-ENDING:]) for w in words), np.uint64, len(words))
-    low = np.uint64((1 << ENDING_BITS) - 1)
-    return (whole & ~low) | (endings & low)
+    return (whole & ~np.uint64((1 << ENDING_BITS) - 1)) | endings.astype(np.uint64)
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return _with_ending(_whole(words), _endings(words))
 
 
 def _buckets(hashes: np.ndarray) -> np.ndarray:
@@ -127,52 +134,50 @@ def _features(hashes: np.ndarray) -> list[np.ndarray]:
 # --- chunks ---------------------------------------------------------------------------------------
 
 
-def _joined(words: list[bytes]) -> bytes:
-    return zstandard.compress(b"\n".join(words), 1)  # no word holds a line feed
-
-
-def _split(data: bytes) -> list[bytes]:
-    return zstandard.decompress(data).split(b"\n")
-
-
-_CHUNK = "chunk bigint, tokens bigint, kinds bigint, docs binary, words binary, counts binary, ids binary"
+_CHUNK = "chunk bigint, tokens bigint, kinds bigint, docs binary, words binary, endings binary, counts binary, ids binary"
+_LOADED = ("docs", "words", "endings", "ids")
 
 
 def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Rows of (doc_id, held_out, text) gathered: a chunk's rows, its different words, how often each is in training texts, and its tokens."""
+    """Rows of (doc_id, held_out, text) gathered: a chunk's rows, its different words, how often each is in training texts, and its tokens.
+
+    Words are told apart by 64 bits of hash; hashes are sent with their endings, by 76.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[pa.RecordBatch] = []
-        found: list[np.ndarray] = []
+        found: list[bytes] = []
         lengths: list[int] = []
-        words, size, number = Numbers(), 0, 0
+        size, number = 0, 0
 
         def flush() -> pa.RecordBatch:
             rows = pa.Table.from_batches(parts)
             held = rows.column(1).combine_chunks().to_numpy(zero_copy_only=False)
-            ids = np.concatenate(found)
-            counts = np.bincount(ids[np.repeat(~held, lengths)], minlength=len(words))
+            kinds, first, ids = np.unique(_whole(found), return_index=True, return_inverse=True)
+            endings = _endings([found[i] for i in first.tolist()])
+            counts = np.bincount(ids[np.repeat(~held, lengths)], minlength=len(kinds))
             rows = rows.append_column("length", pa.array(lengths, pa.int64())).combine_chunks()
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
                 stream.write_table(rows)
             chunk = TaskContext.get().partitionId() << 32 | number
-            numbers = [pa.array([n], pa.int64()) for n in (chunk, len(ids), len(words))]
-            data = (sink.getvalue().to_pybytes(), _joined(list(words)), narrow(counts), narrow(ids))
+            numbers = [pa.array([n], pa.int64()) for n in (chunk, len(ids), len(kinds))]
+            data = (sink.getvalue().to_pybytes(), ascending(kinds), packed(endings), narrow(counts), narrow(ids))
             names = [f.split()[0] for f in _CHUNK.split(", ")]
             return pa.RecordBatch.from_arrays([*numbers, *[pa.array([d], pa.binary()) for d in data]], names=names)
 
         for batch in batches:
             bytes_of, begin = pc.binary_length(batch.column(2)).to_pylist(), 0
             for row, text in enumerate(batch.column(2)):
-                mine = [words.of(some).astype(np.int32) for some in _tokens(text.as_py())]
-                found += mine
-                lengths.append(sum(map(len, mine)))
+                before = len(found)
+                for some in _tokens(text.as_py()):
+                    found += some
+                lengths.append(len(found) - before)
                 size += bytes_of[row] + 64
                 if size >= chunk_bytes:
                     parts.append(batch.slice(begin, row + 1 - begin).select([0, 1]))
                     yield flush()
-                    parts, found, lengths, words, size, number, begin = [], [], [], Numbers(), 0, number + 1, row + 1
+                    parts, found, lengths, size, number, begin = [], [], [], 0, number + 1, row + 1
             if begin < batch.num_rows:
                 parts.append(batch.slice(begin).select([0, 1]))
         if parts:
@@ -186,7 +191,6 @@ class Chunk:
     """The tokens of a chunk by their hashes, and those before them (nothing before a text begins)."""
 
     docs: pa.Table
-    words: list[bytes]
     ids: np.ndarray
     lengths: np.ndarray
     here: np.ndarray
@@ -195,17 +199,17 @@ class Chunk:
     training: np.ndarray
 
     @classmethod
-    def of(cls, docs: bytes, words: bytes, ids: bytes) -> Chunk:
-        table, words, ids = pa.ipc.open_stream(docs).read_all(), _split(words), widened(ids)
+    def of(cls, docs: bytes, words: bytes, endings: bytes, ids: bytes) -> Chunk:
+        table, ids = pa.ipc.open_stream(docs).read_all(), widened(ids)
         lengths = table.column("length").to_numpy()
-        here = _hashes(words)[ids]
+        here = _with_ending(ascended(words), unpacked(endings, "<u2"))[ids]
         before, skipped = np.zeros_like(here), np.zeros_like(here)
         before[1:], skipped[2:] = here[:-1], here[:-2]
         starts = np.cumsum(lengths) - lengths
         before[starts] = skipped[starts] = 0
         skipped[starts[lengths > 1] + 1] = 0
         held = table.column(1).combine_chunks().to_numpy(zero_copy_only=False)
-        return cls(table, words, ids, lengths, here, before, skipped, np.repeat(~held, lengths))
+        return cls(table, ids, lengths, here, before, skipped, np.repeat(~held, lengths))
 
     @property
     def follows(self) -> np.ndarray:
@@ -222,41 +226,45 @@ class Chunk:
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
     for batch in batches:
         for row in range(batch.num_rows):
-            yield Chunk.of(*(batch.column(c)[row].as_py() for c in ("docs", "words", "ids")))
+            yield Chunk.of(*(batch.column(c)[row].as_py() for c in _LOADED))
 
 
 # --- token counts ---------------------------------------------------------------------------------
 
 
-def token_totals(chunks: DataFrame, kinds: int) -> DataFrame:
+def token_totals(chunks: DataFrame, slice_bits: int) -> DataFrame:
     """(slice, words, totals, chunks, answers): each slice's words with their counts over all chunks, and those of each chunk's words in its order."""
-    slices = 1 << max(2, math.ceil(math.log2(max(kinds, 1) / SLICE_WORDS)))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                words, counts = _split(batch.column(1)[row].as_py()), widened(batch.column(2)[row].as_py())
-                to = np.fromiter((xxhash.xxh3_64_intdigest(w, 1) % slices for w in words), np.int64, len(words))
-                used = np.unique(to)
-                parts = [np.flatnonzero(to == s) for s in used]
-                columns = [pa.array(used), pa.array([batch.column(0)[row].as_py()] * len(used), pa.int64())]
-                columns += [pa.array([_joined([words[i] for i in p.tolist()]) for p in parts], pa.binary())]
-                columns += [pa.array([narrow(counts[p]) for p in parts], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["slice", "chunk", "words", "counts"])
+                chunk, words, endings, counts = (batch.column(i)[row].as_py() for i in range(4))
+                words, endings, counts = ascended(words), unpacked(endings, "<u2"), widened(counts)
+                at = cut(words, 64, slice_bits)
+                used = [s for s in range(1 << slice_bits) if at[s] < at[s + 1]]
+                parts = [slice(at[s], at[s + 1]) for s in used]
+                columns = [pa.array(used, pa.int64()), pa.array([chunk] * len(used), pa.int64())]
+                sent = [(ascending(words[p]), packed(endings[p]), narrow(counts[p])) for p in parts]
+                columns += [pa.array([s[i] for s in sent], pa.binary()) for i in range(3)]
+                yield pa.RecordBatch.from_arrays(columns, names=["slice", "chunk", "words", "endings", "counts"])
 
     def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("chunk")
-        totals: Counter = Counter()
-        for words, counts in zip(rows["words"], rows["counts"]):
-            for word, n in zip(_split(words), widened(counts).tolist()):
-                totals[word] += n
-        answers = [narrow(np.array([totals[w] for w in _split(words)], np.int64)) for words in rows["words"]]
-        merged = [_joined(list(totals))], [narrow(np.array([*totals.values()], np.int64))]
-        return pd.DataFrame(
-            {"slice": [int(key[0])], "words": merged[0], "totals": merged[1], "chunks": [rows["chunk"].tolist()], "answers": [answers]}
-        )
-
-    sent = chunks.select("chunk", "words", "counts").mapInArrow(send, "slice bigint, chunk bigint, words binary, counts binary")
+        sent = [ascended(w) for w in rows["words"]]
+        words, endings = np.concatenate(sent), np.concatenate([unpacked(e, "<u2") for e in rows["endings"]])
+        order = np.lexsort((endings, words))
+        new = np.ones(len(order), bool)
+        new[1:] = (words[order][1:] != words[order][:-1]) | (endings[order][1:] != endings[order][:-1])
+        begins = np.flatnonzero(new)
+        totals = np.add.reduceat(np.concatenate([widened(c) for c in rows["counts"]])[order], begins)
+        each = np.empty(len(order), np.int64)
+        each[order] = totals[np.cumsum(new) - 1]
+        answers = [narrow(part) for part in np.split(each, np.cumsum([len(w) for w in sent])[:-1])]
+        merged = {"slice": [int(key[0])], "words": [ascending(words[order][begins])], "totals": [narrow(totals)]}
+        return pd.DataFrame(merged | {"chunks": [rows["chunk"].tolist()], "answers": [answers]})
+
+    sent = chunks.select("chunk", "words", "endings", "counts")
+    sent = sent.mapInArrow(send, "slice bigint, chunk bigint, words binary, endings binary, counts binary")
     schema = "slice bigint, words binary, totals binary, chunks array<bigint>, answers array<binary>"
     return sent.groupBy("slice").applyInPandas(add, schema)
 
@@ -268,15 +276,6 @@ def _by_chunk(rows: DataFrame, name: str) -> DataFrame:
     return each.groupBy(F.col("to.chunks").alias("chunk")).agg(parts.alias("parts")).select("chunk", F.col("parts.answer").alias(name))
 
 
-def _totals_of(words: list[bytes], answers: list[bytes], slices: int) -> np.ndarray:
-    """Counts of a chunk's words from the slices' answers."""
-    to = np.fromiter((xxhash.xxh3_64_intdigest(w, 1) % slices for w in words), np.int64, len(words))
-    totals = np.zeros(len(words), np.int64)
-    for s, answer in zip(np.unique(to), answers):
-        totals[to == s] = widened(answer)
-    return totals
-
-
 # --- sums -----------------------------------------------------------------------------------------
 
 _SENT = "task bigint, part int, sums binary"
@@ -366,7 +365,7 @@ def _company(chunks: DataFrame, markers: np.ndarray, tasks: int) -> np.ndarray:
         if sums.any():
             yield _sent(sums, _PARTS)
 
-    found = _added(chunks.select("docs", "words", "ids").mapInArrow(run, _SENT), BUCKETS * width // _PARTS, tasks)
+    found = _added(chunks.select(*_LOADED).mapInArrow(run, _SENT), BUCKETS * width // _PARTS, tasks)
     found = found.reshape(-1, width) if len(found) else np.zeros((BUCKETS, width))
     return np.delete(found, [len(markers), width - 1], axis=1)
 
@@ -382,7 +381,7 @@ def _followers(chunks: DataFrame, classes: np.ndarray, tasks: int) -> np.ndarray
         if sums.any():
             yield _sent(sums, _PARTS)
 
-    found = _added(chunks.select("docs", "words", "ids").mapInArrow(run, _SENT), CLASSES * BUCKETS // _PARTS, tasks)
+    found = _added(chunks.select(*_LOADED).mapInArrow(run, _SENT), CLASSES * BUCKETS // _PARTS, tasks)
     return found.reshape(CLASSES, BUCKETS) if len(found) else np.zeros((CLASSES, BUCKETS), np.float32)
 
 
@@ -436,7 +435,7 @@ def shared_contexts(chunks: DataFrame, classes: np.ndarray, plan: Plan) -> DataF
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                chunk = Chunk.of(*(batch.column(c)[row].as_py() for c in ("docs", "words", "ids")))
+                chunk = Chunk.of(*(batch.column(c)[row].as_py() for c in _LOADED))
                 both = np.sort(chunk.keys(classes, plan.pair_bits) << np.uint64(1) | chunk.training.astype(np.uint64))
                 keys = both >> np.uint64(1)
                 begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -461,7 +460,7 @@ def shared_contexts(chunks: DataFrame, classes: np.ndarray, plan: Plan) -> DataF
             {"slice": [int(key[0])], "keys": [ascending(keys)], "counts": [narrow(counts)], "chunks": [rows["chunk"].tolist()], "places": [places]}
         )
 
-    sent = chunks.select("chunk", "docs", "words", "ids").mapInArrow(send, "slice bigint, chunk bigint, keys binary, counts binary")
+    sent = chunks.select("chunk", *_LOADED).mapInArrow(send, "slice bigint, chunk bigint, keys binary, counts binary")
     return sent.groupBy("slice").applyInPandas(add, "slice bigint, keys binary, counts binary, chunks array<bigint>, places array<binary>")
 
 
@@ -590,7 +589,7 @@ def _mass(totals: DataFrame, scale: float, slices: int) -> np.ndarray:
             for number, words, counts in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 counts = widened(counts)
                 known = np.where(counts > 0, (counts + ALPHA) / scale, 0)
-                yield _sent(np.bincount(_buckets(_hashes(_split(words))), known, BUCKETS), 1, number)
+                yield _sent(np.bincount(_buckets(ascended(words)), known, BUCKETS), 1, number)
 
     mass = _added(totals.select("slice", "words", "totals").mapInArrow(run, _SENT), BUCKETS, slices).astype(np.float64)
     return (mass if len(mass) else np.zeros(BUCKETS)) + ALPHA / scale
@@ -610,7 +609,7 @@ def fit(chunks: DataFrame, mass: np.ndarray, plan: Plan, tasks: int) -> tuple[Mo
     return model, shared
 
 
-def _scored(asked: DataFrame, model: Model, plan: Plan, slices: int, scale: float, schema: str) -> DataFrame:
+def _scored(asked: DataFrame, model: Model, plan: Plan, scale: float, schema: str) -> DataFrame:
     """Per document its tokens, how many are known, and the sums of both logarithms."""
     held = asked.sparkSession.sparkContext.broadcast(model)
 
@@ -619,9 +618,9 @@ def _scored(asked: DataFrame, model: Model, plan: Plan, slices: int, scale: floa
         mass = np.log10(model.mass)
         for batch in batches:
             for row in range(batch.num_rows):
-                docs, words, ids, totals, answers = (batch.column(i)[row].as_py() for i in range(5))
-                chunk = Chunk.of(docs, words, ids)
-                counts = _totals_of(chunk.words, totals, slices)
+                chunk = Chunk.of(*(batch.column(i)[row].as_py() for i in range(4)))
+                totals, answers = (batch.column(i)[row].as_py() for i in (4, 5))
+                counts = np.concatenate([widened(t) for t in totals])  # slices are ranges, and words in order
                 base = np.log10((counts + ALPHA) / scale)[chunk.ids]
                 keys = chunk.keys(model.classes, plan.pair_bits)
                 order = np.argsort(keys)
@@ -638,7 +637,7 @@ def _scored(asked: DataFrame, model: Model, plan: Plan, slices: int, scale: floa
                 result = [*chunk.docs.combine_chunks().to_batches()[0].columns, *map(pa.array, (known, base, np.minimum(base + gain, 0)))]
                 yield pa.RecordBatch.from_arrays(result, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-    return asked.select("docs", "words", "ids", "totals", "chances").mapInArrow(run, schema)
+    return asked.select(*_LOADED, "totals", "chances").mapInArrow(run, schema)
 
 
 def text_scores(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -656,15 +655,15 @@ def text_scores(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     rows = docs.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), full_text().alias("text"))
     chunks = staged(chunked(rows, chunk_bytes), "token-chunks")
     number, tokens, kinds = chunks.agg(F.count(F.lit(1)), F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
-    totals = staged(token_totals(chunks, kinds), "token-totals")
-    slices = 1 << max(2, math.ceil(math.log2(max(kinds, 1) / SLICE_WORDS)))
+    word_bits = max(2, math.ceil(math.log2(max(kinds, 1) / SLICE_WORDS)))
+    totals = staged(token_totals(chunks, word_bits), "token-totals")
     train_tokens, known = _training_counts(totals)
     scale, plan = train_tokens + ALPHA * (known + 1), Plan.of(tokens)
-    model, shared = fit(chunks, _mass(totals, scale, slices), plan, number)
+    model, shared = fit(chunks, _mass(totals, scale, 1 << word_bits), plan, number)
     asked = chunks.join(_by_chunk(totals, "totals"), "chunk").join(_by_chunk(_answered(shared, model), "chances"), "chunk")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
-    scored = _scored(asked, model, plan, slices, scale, schema)
+    scored = _scored(asked, model, plan, scale, schema)
     train = F.lit(int(train_tokens)).cast("bigint").alias("train_tokens")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", train, "base_score", "score")
 

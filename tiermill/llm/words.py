@@ -5,8 +5,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import numpy as np
-
 # Bytes of a text whose words are held at once.
 PIECE_BYTES = 1 << 20
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
@@ -20,14 +18,3 @@ def words_in_pieces(data: bytes, piece_bytes: int = PIECE_BYTES) -> Iterator[lis
         end = gap.start() if gap else len(data)
         yield data[begin:end].split()  # splits at just these characters
         begin = end + 1
-
-
-class Numbers(dict):
-    """Words numbered in the order in which they are first met; a look-up costs far less than hashing a word again."""
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        return number
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))

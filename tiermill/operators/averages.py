@@ -162,8 +162,9 @@ def enriched_averages(
     out. A dimension of up to BROADCAST_ROWS rows is left to Spark, which broadcasts it if it estimates it to be small; the
     facts then stay in place. Spark's estimate does not see rows that a generator or a join multiplies and is not
     taken back, so the rows are counted first (for plain files a look at their footers), and a larger dimension is sorted
-    and merged: the facts are shuffled as they are and adaptive execution splits a hot key. ``reduce_first=False`` leaves
-    the count out and the choice to Spark.
+    and merged: the facts are shuffled as they are and adaptive execution splits a hot key. The count reads the dimension once
+    more where it is no plain file; ``reduce_first=False`` leaves it out and the choice to Spark. The limit changes the way
+    alone: exact results stay the same, of the double form the last digit may move.
 
     ``reduce_first=True`` is for two large sides: the facts are reduced too, before they are shuffled, and both are sorted
     and merged. A key that holds a third of all facts is then as small as any other. The result is the same.

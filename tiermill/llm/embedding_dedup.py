@@ -1,9 +1,9 @@
 """Near-duplicate vectors: spherical k-means cells, blocked cosine products within them.
 
 Every vector belongs to the cell whose centre is nearest. Two vectors as similar as asked for may still lie on
-two sides of a border; then each is close to it. A vector therefore also visits those cells of lower number whose border it is close
-enough to, so that every pair of similar vectors meets exactly once, and no pair is missed. Cells are cut into blocks and
-a task compares two blocks, so that a crowded cell is many tasks. Tasks return, per vector, how many links they found
+two sides of a border; then their distances to it add up to no more than theirs to each other, so one of them is within half of that.
+A vector therefore also visits the cells whose border is that close: no pair is missed, and one that meets in both cells
+counts in the one of lower number. Cells are cut into blocks and a task compares two blocks, so that a crowded cell is many tasks. Tasks return, per vector, how many links they found
 and one link that keeps what they found connected, never the pairs.
 """
 
@@ -64,37 +64,38 @@ def _nearest(units: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 def _visits(units: np.ndarray, centres: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(vector, cell, whether it is at home there).
+    """(vector, cell) of the cells where each vector is, its own and those it visits, and the cell where each lives.
 
-    If x lives in c, y in c' and |x - y| <= t, then x.(c - c') <= (x - y).(c - c') <= t |c - c'|.
+    If x lives in c, y in c' and |x - y| <= t, then x.(c - c') + y.(c' - c) = (x - y).(c - c') <= t |c - c'|, and neither
+    part is negative, so one of them is at most half of that.
     """
-    reach = np.sqrt(2 - 2 * similarity)
+    reach = np.sqrt(2 - 2 * similarity) / 2
     products = units @ centres.T
     home = products.argmax(axis=1)
     apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
     margin = products[np.arange(len(units)), home][:, None] - products
-    near = margin <= reach * apart[home] + 1e-9
-    near &= np.arange(len(centres))[None, :] <= home[:, None]
-    vector, cell = np.nonzero(near)
-    return vector, cell, cell == home[vector]
+    vector, cell = np.nonzero(margin <= reach * apart[home] + 1e-9)
+    return vector, cell, home
 
 
 def _in_cells(distinct: DataFrame, centres: np.ndarray, similarity: float) -> DataFrame:
-    """(node, copies, vector, size, cell, home): each vector in its cell and in those it visits.
+    """(node, copies, vector, size, cell, lives, visits): each vector in its cell and in those it visits, with the numbers of all of them.
 
     Vectors of another size than the centres' are all in one cell.
     """
-    schema = extended(distinct.schema, "size int, cell int, home boolean")
+    schema = extended(distinct.schema, "size int, cell int, lives int, visits array<int>")
 
     def run(parts):
         for part in parts:
             sizes = part["vector"].map(len)
             for size, rows in part.groupby(sizes):
-                some = np.arange(len(rows)), np.zeros(len(rows), int), np.ones(len(rows), bool)
+                vector, cell, home = np.arange(len(rows)), np.zeros(len(rows), int), np.zeros(len(rows), int)
                 if size == centres.shape[1]:
-                    some = _visits(_matrix(rows["vector"]), centres, similarity)
-                vector, cell, home = some
-                yield rows.iloc[vector].assign(size=np.int32(size), cell=cell.astype(np.int32), home=home)
+                    vector, cell, home = _visits(_matrix(rows["vector"]), centres, similarity)
+                numbers = cell.astype(np.int32)
+                lists = np.split(numbers, np.flatnonzero(np.diff(vector)) + 1)
+                visits = [lists[i] for i in vector.tolist()]
+                yield rows.iloc[vector].assign(size=np.int32(size), cell=numbers, lives=home[vector].astype(np.int32), visits=visits)
 
     return distinct.mapInPandas(run, schema)
 
@@ -102,6 +103,7 @@ def _in_cells(distinct: DataFrame, centres: np.ndarray, similarity: float) -> Da
 def _tiles(placed: DataFrame, block: int) -> DataFrame:
     """Rows dealt to pairs of blocks of a cell: (left, right) both at home, or left at home and right visiting."""
     cell = ["size", "cell"]
+    placed = placed.withColumn("home", F.col("cell") == F.col("lives"))
     counts = placed.groupBy(*cell).agg(F.count_if("home").alias("own"), F.count_if(~F.col("home")).alias("visiting"))
     in_blocks = {"blocks": F.ceil(F.col("own") / block), "guests": F.ceil(F.col("visiting") / block)}
     counts = counts.select(*cell, *[n.cast("int").alias(name) for name, n in in_blocks.items()])
@@ -122,7 +124,7 @@ def _tiles(placed: DataFrame, block: int) -> DataFrame:
     guests = with_each("guests", lambda r: tile(me, r, yes, no))
     hosts = with_each("blocks", lambda i: tile(i, me, yes, yes))
     dealt = rows.withColumn("tile", F.explode(F.when(F.col("home"), F.concat(others, guests)).otherwise(hosts)))
-    return dealt.select("node", "copies", "vector", *cell, "tile.*")
+    return dealt.select("node", "copies", "vector", "lives", "visits", *cell, "tile.*")
 
 
 def _heads(units: np.ndarray) -> np.ndarray:
@@ -145,6 +147,18 @@ def _similar(left: np.ndarray, right: np.ndarray, similarity: float) -> Iterator
         yield i + begin, j
 
 
+def _met_before(hosts: pd.DataFrame, guests: pd.DataFrame, cell: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a host also visits a cell of lower number that guests come from, at [host, n], and the ``n`` of each guest."""
+    cells, which = np.unique(guests["lives"].to_numpy(), return_inverse=True)
+    counts = hosts["visits"].map(len).to_numpy()
+    visited = np.concatenate([np.zeros(0, np.int32), *hosts["visits"]])
+    at = np.minimum(np.searchsorted(cells, visited), len(cells) - 1)
+    there = (cells[at] == visited) & (visited < cell)
+    met = np.zeros((len(hosts), len(cells)), bool)
+    met[np.repeat(np.arange(len(hosts)), counts)[there], at[there]] = True
+    return met, which
+
+
 def _tile_links(similarity: float):
     """What one tile finds, per vector: how many others it is linked with, and the root that its links lead to."""
 
@@ -155,7 +169,13 @@ def _tile_links(similarity: float):
         alone = rows["left"].iloc[0] == rows["right"].iloc[0] and not rows["guest"].iloc[0]
         left, right = (units, units) if alone else (units[:split], units[split:])
         found, root = np.zeros(len(rows), np.int64), np.arange(len(rows))
+        met = None
+        if rows["guest"].iloc[0] and 0 < split < len(rows):
+            met, which = _met_before(rows.iloc[:split], rows.iloc[split:], int(rows["cell"].iloc[0]))
         for i, j in _similar(left, right, similarity) if len(right) else ():
+            if met is not None:
+                new = ~met[i, which[j]]
+                i, j = i[new], j[new]
             j = j if alone else j + split
             i, j = i[i != j], j[i != j]
             found += np.bincount(i, weights=copies[j], minlength=len(rows)).astype(np.int64)

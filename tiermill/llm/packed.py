@@ -42,3 +42,11 @@ def cut(sorted_numbers: np.ndarray, bits: int, slice_bits: int) -> np.ndarray:
     """Where the 2**slice_bits slices of numbers below 2**bits begin and end."""
     borders = np.arange(1, 1 << slice_bits, dtype=np.uint64) << np.uint64(bits - slice_bits)
     return np.concatenate([[0], np.searchsorted(sorted_numbers, borders), [len(sorted_numbers)]])
+
+
+def distinct(numbers: np.ndarray) -> np.ndarray:
+    """The different numbers, rising. By sorting: without further results ``np.unique`` hashes, many times slower for millions."""
+    ordered = np.sort(numbers)
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return ordered[new]

@@ -29,6 +29,7 @@ from tiermill.llm.common import extended, giving_way, staged
 from tiermill.llm.packed import ascended as _ascended
 from tiermill.llm.packed import ascending as _ascending
 from tiermill.llm.packed import cut as _cut
+from tiermill.llm.packed import distinct
 from tiermill.llm.packed import packed as _packed
 from tiermill.llm.packed import unpacked as _unpacked
 from tiermill.llm.words import words_in_pieces
@@ -190,7 +191,7 @@ def _sketches(held: DataFrame, plan: Plan) -> DataFrame:
             for chunk, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
                 windows = Windows.of(payload.as_py(), plan)
                 for row in range(ROWS):
-                    cells = np.unique(windows.cells(row, plan.width_bits))
+                    cells = distinct(windows.cells(row, plan.width_bits))
                     at = _cut(cells, plan.width_bits, plan.slice_bits)
                     slices = [i for i in range(1 << plan.slice_bits) if at[i] < at[i + 1]]
                     sent = [_ascending(cells[at[i] : at[i + 1]]) for i in slices]

@@ -8,7 +8,7 @@ import zstandard
 
 def packed(numbers: np.ndarray) -> bytes:
     """Compressed by byte planes, in which similar numbers agree."""
-    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T)
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize).T)
     return zstandard.compress(planes.tobytes(), 1)
 
 

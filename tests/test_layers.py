@@ -10,6 +10,7 @@ from test_medallion import BIO_COLUMNS, BIOS, RESULT_ROWS, write_csv
 from tiermill.plans import medallion
 from tiermill.plans.athletes import BIO, REPORT, RESULT_FIELDS, RESULTS
 from tiermill.plans.medallion import layer, read_tier, run_medallion
+from tiermill.sources import files
 from tiermill.sources.layers import current_version, next_version, read_layer, record_version, remove_old_versions, replace_layer, versions
 
 
@@ -114,3 +115,13 @@ def test_the_command_line_writes_versions(spark, landing, tmp_path):
         source = ["--landing", landing] if job == "bronze" else []
         run_job.main([job, *source, "--lake", lake, "--versions"])
     assert read_tier(spark, lake, "gold", REPORT.name, versioned=True).count() == 3
+
+
+def test_working_files_are_removed_on_demand(spark, tmp_path, conf):
+    conf("spark.checkpoint.dir", f"file://{tmp_path}/shared")
+    files.remove_working_files(spark)
+    held = files.written(spark.range(5), "kept")
+    files.working_folder(spark, "never-written")
+    assert held.count() == 5 and len(os.listdir(tmp_path / "shared")) == 1
+    assert files.remove_working_files(spark) == 1 and os.listdir(tmp_path / "shared") == []
+    assert files.remove_working_files(spark) == 0

@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+# Working folders of this process that nobody has removed.
+_MADE: list[str] = []
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None, infer: bool = True
 ) -> DataFrame:
@@ -43,7 +47,21 @@ def working_folder(spark: SparkSession, purpose: str) -> str:
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = _own_folder()
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def remove_working_files(spark: SparkSession) -> int:
+    """Delete the working folders that this process has asked for so far; returns how many there were.
+
+    Call it when every result has been written elsewhere: DataFrames that still read working files cannot be computed after it.
+    """
+    removed = 0
+    while _MADE:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        removed += folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return removed
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

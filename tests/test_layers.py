@@ -117,9 +117,9 @@ def test_the_command_line_writes_versions(spark, landing, tmp_path):
     assert read_tier(spark, lake, "gold", REPORT.name, versioned=True).count() == 3
 
 
-def test_working_files_are_removed_on_demand(spark, tmp_path, conf):
-    conf("spark.checkpoint.dir", f"file://{tmp_path}/shared")
-    files.remove_working_files(spark)
+def test_working_files_are_removed_on_demand(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "_own_folder", lambda: f"{tmp_path}/shared")
+    monkeypatch.setattr(files, "_MADE", [])
     held = files.written(spark.range(5), "kept")
     files.working_folder(spark, "never-written")
     assert held.count() == 5 and len(os.listdir(tmp_path / "shared")) == 1

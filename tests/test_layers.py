@@ -117,11 +117,12 @@ def test_the_command_line_writes_versions(spark, landing, tmp_path):
     assert read_tier(spark, lake, "gold", REPORT.name, versioned=True).count() == 3
 
 
-def test_working_files_are_removed_on_demand(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(files, "_own_folder", lambda: f"{tmp_path}/shared")
-    monkeypatch.setattr(files, "_MADE", [])
+def test_working_files_are_removed_on_demand(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(files, "_MADE", made)
     held = files.written(spark.range(5), "kept")
     files.working_folder(spark, "never-written")
-    assert held.count() == 5 and len(os.listdir(tmp_path / "shared")) == 1
-    assert files.remove_working_files(spark) == 1 and os.listdir(tmp_path / "shared") == []
+    folder = made[0].removeprefix("file://")
+    assert held.count() == 5 and len(made) == 2 and os.path.isdir(folder)
+    assert files.remove_working_files(spark) == 1 and not os.path.exists(folder)
     assert files.remove_working_files(spark) == 0

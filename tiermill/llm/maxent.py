@@ -48,7 +48,7 @@ ROW_BITS = 12
 FEATURES = (1 << ROW_BITS,) * 3
 ENDING, ENDING_BITS = 4, ROW_BITS
 # Bits of a pair's own hash, beside its rows in the table: this much below those of the number of tokens.
-FEWER_BITS, MOST_BITS = 10, 22
+FEWER_BITS, MOST_BITS = 14, 22
 ROUNDS = 3
 BATCH = 1 << 14
 RATE = 0.3
@@ -135,7 +135,11 @@ def _features(hashes: np.ndarray) -> list[np.ndarray]:
 
 
 _CHUNK = "chunk bigint, tokens bigint, kinds bigint, docs binary, words binary, endings binary, counts binary, ids binary"
-_LOADED = ("docs", "words", "endings", "ids")
+_LOADED = ("docs", "words", "endings", "counts", "ids")
+
+
+def _by_count(counts: np.ndarray) -> np.ndarray:
+    return np.argsort(-counts, kind="stable")
 
 
 def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -162,7 +166,9 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
                 stream.write_table(rows)
             chunk = TaskContext.get().partitionId() << 32 | number
             numbers = [pa.array([n], pa.int64()) for n in (chunk, len(ids), len(kinds))]
-            data = (sink.getvalue().to_pybytes(), ascending(kinds), packed(endings), narrow(counts), narrow(ids))
+            rank = np.empty(len(kinds), np.int64)
+            rank[_by_count(counts)] = np.arange(len(kinds))  # frequent words get small numbers, which pack well
+            data = (sink.getvalue().to_pybytes(), ascending(kinds), packed(endings), narrow(counts), narrow(rank[ids]))
             names = [f.split()[0] for f in _CHUNK.split(", ")]
             return pa.RecordBatch.from_arrays([*numbers, *[pa.array([d], pa.binary()) for d in data]], names=names)
 
@@ -198,8 +204,8 @@ class Chunk:
     training: np.ndarray
 
     @classmethod
-    def of(cls, docs: bytes, words: bytes, endings: bytes, ids: bytes) -> Chunk:
-        table, ids = pa.ipc.open_stream(docs).read_all(), widened(ids)
+    def of(cls, docs: bytes, words: bytes, endings: bytes, counts: bytes, ids: bytes) -> Chunk:
+        table, ids = pa.ipc.open_stream(docs).read_all(), _by_count(widened(counts))[widened(ids)]
         lengths = table.column("length").to_numpy()
         here = _with_ending(ascended(words), unpacked(endings, "<u2"))[ids]
         before, skipped = np.zeros_like(here), np.zeros_like(here)
@@ -617,8 +623,8 @@ def _scored(asked: DataFrame, model: Model, plan: Plan, scale: float, schema: st
         mass = np.log10(model.mass)
         for batch in batches:
             for row in range(batch.num_rows):
-                chunk = Chunk.of(*(batch.column(i)[row].as_py() for i in range(4)))
-                totals, answers = (batch.column(i)[row].as_py() for i in (4, 5))
+                chunk = Chunk.of(*(batch.column(c)[row].as_py() for c in _LOADED))
+                totals, answers = (batch.column(c)[row].as_py() for c in ("totals", "chances"))
                 counts = np.concatenate([widened(t) for t in totals])  # slices are ranges, and words in order
                 base = np.log10((counts + ALPHA) / scale)[chunk.ids]
                 keys = chunk.keys(model.classes, plan.pair_bits)

@@ -73,6 +73,14 @@ def test_equal_scores_go_by_id(spark):
     assert found(search(*tables)) == plain_search(docs, items)
 
 
+@pytest.mark.parametrize("ids", [[None], ["a", None], ["b"]])
+def test_items_without_an_id_and_ids_that_are_text(spark, ids):
+    docs = [(None, "one two"), (3, "two"), (4, None)]
+    items = [(i, "two") for i in ids]
+    tables = spark.createDataFrame(docs, "doc_id short, text string"), spark.createDataFrame(items, "item_id string, text string")
+    assert found(search(*tables)) == plain_search(docs, items)
+
+
 def test_nothing_to_find(spark, odd_documents, no_documents):
     one = spark.createDataFrame([(1, "one", "")], ITEM_SCHEMA)
     assert search(no_documents, one).count() == 0

@@ -137,9 +137,9 @@ def _scored(index: Index, weights: np.ndarray, terms: np.ndarray, counts: np.nda
 
 def best_documents(counted: DataFrame, index: Index, weights: list[int], item_type: T.DataType, best: int) -> DataFrame:
     """(item, doc_id, score): of each task's documents the ``best`` for every item. ``counted`` is (doc_id, m, terms, counts)."""
-    held = counted.sparkSession.sparkContext.broadcast((index, weights))
-    id_type = counted.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("item", item_type), T.StructField("doc_id", id_type), T.StructField("score", T.LongType())])
+    spark, id_type = counted.sparkSession, counted.schema["doc_id"].dataType
+    held = spark.sparkContext.broadcast((index, weights))
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("doc_id", id_type), T.StructField("score", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, weighed = held.value[0], np.array(held.value[1], np.int64)
@@ -163,10 +163,11 @@ def best_documents(counted: DataFrame, index: Index, weights: list[int], item_ty
                 begin = end
         if doc_type is not None:
             ids = pa.array(heaps.doc, pa.int64(), mask=~heaps.known).cast(doc_type)
-            items = pa.array(index.items).take(pa.array(heaps.item))
-            yield pa.RecordBatch.from_arrays([items, ids, pa.array(heaps.score)], names=schema.names)
+            yield pa.RecordBatch.from_arrays([pa.array(heaps.item), ids, pa.array(heaps.score)], names=schema.names)
 
-    return counted.mapInArrow(run, schema)
+    items = T.StructType([T.StructField("n", T.LongType()), T.StructField("item", item_type)])
+    items = F.broadcast(spark.createDataFrame([*enumerate(index.items)], items))  # one block's
+    return counted.mapInArrow(run, schema).join(items, "n").select("item", "doc_id", "score")
 
 
 def _first(rows: DataFrame, by: list[Column], best: int) -> DataFrame:

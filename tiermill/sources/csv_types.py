@@ -68,7 +68,9 @@ def observed_kinds(text: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, s
         name = "`" + column.replace("`", "``") + "`"
         kind = kind_of(name)
         metrics.append(F.expr(f"bit_or({kind})").alias(f"k{n}"))
-        metrics.append(F.expr(f"max(CASE WHEN ({kind}) = {DECIMAL} THEN {digits_of(name)} END)").alias(f"d{n}"))
+        # only texts beyond a bigint or with a point at the end are decimals; others are not looked at once more
+        may_be = f"length({name}) > 18 OR {name} LIKE '%.'"
+        metrics.append(F.expr(f"max(CASE WHEN ({may_be}) AND ({kind}) = {DECIMAL} THEN {digits_of(name)} END)").alias(f"d{n}"))
 
     def types() -> dict[str, str]:
         found = seen.get

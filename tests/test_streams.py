@@ -3,6 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
 from tiermill.operators.averages import group_averages, latest_per_key
 from tiermill.operators.joins import enrich, hot_keys, salted, spread
 from tiermill.operators.messages import encode, string_schema
@@ -213,3 +214,26 @@ def test_files_per_micro_batch(spark, tmp_path):
             assert written.count() == 100 and len(written.inputFiles()) == files
     parquet_sink(f"{tmp_path}/table", 2)(df, 1)
     assert spark.read.parquet(f"{tmp_path}/table").count() == 200
+
+
+@pytest.mark.parametrize("name", ["stream_compacted", "stream_followed"])
+def test_micro_batches_have_a_file_for_every_core_and_few_state_partitions(spark, tmp_path, monkeypatch, conf, name):
+    conf("spark.sql.shuffle.partitions", "40")
+    cores, i = spark.sparkContext.defaultParallelism, F.col("id")
+    spark.range(0, 2000, 1, 1).select(
+        i.alias("event_id"), F.lit(AT).alias("ts"), (i % 50).alias("user_id"), F.concat(F.lit("e"), i % 3).alias("event_type"),
+        (i % 40 / 4).alias("value"), F.lit("{}").alias("props"),
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(0, 40, 1, 1).select(
+        i.alias("c_custkey"), F.lit("n").alias("c_name"), (i % 5).cast("int").alias("c_nationkey"),
+        (i * 1.25).alias("c_acctbal"), F.lit("S").alias("c_mktsegment"),
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    monkeypatch.setattr(registry, "working_folder", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    rows = registry.table_queries()[name](spark, str(tmp_path))
+    if name == "stream_compacted":
+        assert sorted(rows.collect()) == sorted(registry.gold_avg_stats(spark, str(tmp_path)).collect())
+    checkpoint = tmp_path / "stream" / "checkpoint"
+    taken = [log.read_text().count('"path"') for log in (checkpoint / "sources" / "0").iterdir() if log.name.isdigit()]
+    assert taken == [cores] * registry.MICRO_BATCHES
+    assert len([p for p in (checkpoint / "state" / "0").iterdir() if p.name.isdigit()]) == cores < 40
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "40"

@@ -118,6 +118,7 @@ class FollowingQuery:
 
     ``build`` makes the averages for a generation. ``awaitTermination`` is what starts the query again, so something must wait for it.
     A batch is put off at most once. After a restart of the process the sketch begins anew: hot keys are known after a batch.
+    ``partitions`` is as for ``start_updates``.
     """
 
     def __init__(
@@ -130,9 +131,11 @@ class FollowingQuery:
         sketch: KeySketch | None = None,
         available_now: bool = False,
         ledger: bool = False,
+        partitions: int | None = None,
     ) -> None:
         self.spark, self.build, self.sinks, self.checkpoint = spark, build, sinks, checkpoint
         self.version, self.sketch, self.available_now, self.ledger = version, sketch, available_now, ledger
+        self.partitions = partitions
         self.generations: list[Generation] = []
         self.query: StreamingQuery | None = None
         self._put_off: int | None = None
@@ -157,8 +160,9 @@ class FollowingQuery:
                     raise PutOff(f"batch {batch_id}: {generation} has become {present}")
             deliver(batch, batch_id)
 
-        writer = self.build(generation).writeStream.foreachBatch(unless_outdated).outputMode("update")
-        self.query = start(writer, self.checkpoint, self.available_now)
+        averages = self.build(generation)
+        writer = averages.writeStream.foreachBatch(unless_outdated).outputMode("update")
+        self.query = start(averages, writer, self.checkpoint, self.available_now, self.partitions)
 
     def awaitTermination(self, timeout: float | None = None) -> bool | None:
         """Wait until the query stops, starting it again where its plan is out of date; as the method of a streaming query.

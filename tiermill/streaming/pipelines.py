@@ -93,18 +93,21 @@ def start_updates(
     checkpoint: str | None,
     available_now: bool = False,
     ledger: bool = False,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Write, per micro-batch, the groups that received rows to every sink.
 
     ``checkpoint`` is the shared folder for positions and state. None is for trials alone: both then lie in a temporary
     folder, and a restart begins anew. ``ledger`` records beside the checkpoint which sink has finished which batch, so that a
     batch that is run again goes only to the others; for sinks that append, and not for those that replace what they wrote.
+    ``partitions`` divides the state, from the first start on, into so many parts in place of ``spark.sql.shuffle.partitions``. Each
+    micro-batch commits every part and writes a file of it to every sink, so a state of few groups should have few.
     """
     if ledger and checkpoint is None:
         raise ValueError("a ledger of the sinks needs a checkpoint")
     records = SinkLedger(f"{checkpoint}/sinks") if ledger else None
     writer = averages.writeStream.foreachBatch(fan_out(ledger=records, **named_sinks(sinks))).outputMode("update")
-    return start(writer, checkpoint, available_now)
+    return start(averages, writer, checkpoint, available_now, partitions)
 
 
 def print_messages(rows: int = PRINTED) -> BatchSink:
@@ -122,7 +125,7 @@ def print_messages(rows: int = PRINTED) -> BatchSink:
 def tail(messages: DataFrame, available_now: bool = False, rows: int = PRINTED) -> StreamingQuery:
     """Print the text of each new message; of a micro-batch of more than ``rows``, so many and how many are left out."""
     writer = value_text(messages).writeStream.outputMode("append").foreachBatch(fan_out(print_messages(rows)))
-    return start(writer, None, available_now)
+    return start(messages, writer, None, available_now)
 
 
 def tail_to_files(
@@ -130,4 +133,4 @@ def tail_to_files(
 ) -> StreamingQuery:
     """Append the text of each new message to parquet files."""
     writer = value_text(messages).writeStream.outputMode("append").format("parquet").option("path", path)
-    return start(writer, checkpoint, available_now)
+    return start(messages, writer, checkpoint, available_now)
